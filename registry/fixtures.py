@@ -56,7 +56,7 @@ def _geo(prefix: str, n: str, key: str, adm: str) -> str:
   CASE WHEN {key} IS NULL THEN NULL ELSE {place} END AS {prefix}_geo_full_name,
   {_code(key)} AS {prefix}_geo_country_code,
   CAST(NULL AS STRING) AS {adm},
-  CASE WHEN {key} IS NULL THEN NULL ELSE CAST(event_id % 1800 - 900 AS FLOAT) / CAST(10 AS FLOAT) END AS {prefix}_geo_lat,
+  CASE WHEN {key} IS NULL THEN NULL ELSE CAST(CAST(event_id % 1800 - 900 AS DOUBLE) / 10 AS FLOAT) END AS {prefix}_geo_lat,
   CASE WHEN {key} IS NULL THEN NULL ELSE CAST(user_id % 360 - 180 AS FLOAT) END AS {prefix}_geo_lon,
   CAST({key} AS STRING) AS {prefix}_geo_feat_id,"""
 

@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _shown(c: Column) -> Column:
@@ -157,7 +158,7 @@ def page_text(html: str | None) -> str | None:
     return re.sub("\n+", "\n", "".join(parser.pieces))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def extract_text(html: pd.Series) -> pd.Series:
     """Arrow-batched `page_text`; built-in functions cannot decode every named entity."""
     return html.map(page_text)

@@ -13,6 +13,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tinderbox.schemas import ddl
+
 Encoder = Callable[[pd.Series], np.ndarray]
 
 
@@ -41,8 +43,7 @@ def embed(df: DataFrame, text: str, vector: str, encoder: Encoder) -> DataFrame:
             vectors = encoder(pdf[text].fillna(""))
             yield pdf.assign(**{vector: list(np.asarray(vectors, dtype=np.float32))})
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInPandas(run, f"{ddl}, `{vector}` array<float>")
+    return df.mapInPandas(run, f"{ddl(df.schema)}, `{vector}` array<float>")
 
 
 def embed_distinct(df: DataFrame, text: str, vector: str, encoder: Encoder) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tinderbox.functions import text as X
 from tinderbox.operators.joins import cached_responses, pending
+from tinderbox.schemas import ddl
 
 # url -> (status code, body or None, error or None)
 Fetcher = Callable[[str], tuple[int, str | None, str | None]]
@@ -39,8 +40,7 @@ def fetch(urls: DataFrame, url: str, fetcher: Fetcher = offline) -> DataFrame:
                 request_err=[g[2] for g in got],
             )
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema.fields)
-    return urls.mapInPandas(run, f"{ddl}, status_code bigint, html string, request_err string")
+    return urls.mapInPandas(run, f"{ddl(urls.schema)}, status_code bigint, html string, request_err string")
 
 
 def is_success(status: Column, body: Column) -> Column:
@@ -100,8 +100,7 @@ def complete(
             pairs = [ask(text, slot) for text in pdf[prompt]]
             yield pdf.assign(**{answer: [p[0] for p in pairs], "error_msg": [p[1] for p in pairs]})
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spread.schema.fields)
-    return spread.mapInPandas(run, f"{ddl}, `{answer}` string, error_msg string")
+    return spread.mapInPandas(run, f"{ddl(spread.schema)}, `{answer}` string, error_msg string")
 
 
 def summarize(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tinderbox.schemas import ddl
+
 
 def _unpivot_row(row: DataFrame, columns: list[str], name: str, fields: dict[str, str]) -> DataFrame:
     """One wide aggregate row -> one row per column; `fields` maps output to name suffix."""
@@ -76,7 +78,7 @@ def faulty_rows(lines: DataFrame, schema: T.StructType, sep: str = "\t") -> Data
     options = {
         "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record",
     }
-    parsed = lines.withColumn("row", F.from_csv("value", marked.simpleString()[7:-1], options))
+    parsed = lines.withColumn("row", F.from_csv("value", ddl(marked), options))
     return parsed.where(F.col("row._corrupt_record").isNotNull()).drop("row")
 
 

@@ -131,6 +131,11 @@ def struct(ddl: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+def ddl(schema: T.StructType) -> str:
+    """`name type, ...` text of any schema, for readers that take text."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 @dataclass(frozen=True)
 class FeedSpec:
     """What an ingestion needs to know about one feed."""

@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 from tinderbox.sinks import storage
 
 
+def _spread(df: DataFrame, part: str) -> DataFrame:
+    return df.hint("rebalance", part)
+
+
 def _partitioned(df: DataFrame, part: str):
-    return df.hint("rebalance", part).write.partitionBy(part)
+    return _spread(df, part).write.partitionBy(part)
 
 
 def append(df: DataFrame, path: str, part: str) -> None:
@@ -26,8 +30,9 @@ def overwrite(df: DataFrame, path: str, part: str) -> None:
     _partitioned(df, part).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def _overwrite_touched(df: DataFrame, path: str, part: str) -> None:
-    _partitioned(df, part).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+def _overwrite_touched(spread: DataFrame, path: str, part: str) -> None:
+    writer = spread.write.partitionBy(part).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def _text(bound: object) -> str:
@@ -57,7 +62,7 @@ def replace_range(df: DataFrame, path: str, part: str, low: object, high: object
         F.raise_error(F.concat(F.lit(f"{part} outside the replaced range: "), F.col(part).cast("string")))
     )
     seen = Observation()
-    rows = df.withColumn(part, checked).observe(
+    rows = _spread(df.withColumn(part, checked), part).observe(
         seen, F.collect_set(F.col(part).cast("string")).alias("parts")
     )
     _overwrite_touched(rows, path, part)
@@ -70,7 +75,8 @@ def replace_observed(df: DataFrame, path: str, part: str) -> tuple | None:
     The bounds are observed while writing, so `df` is computed once. No rows, no change.
     """
     seen = Observation()
-    rows = df.observe(
+    # Observed above the shuffle: an empty input is optimized away together with what is below.
+    rows = _spread(df, part).observe(
         seen,
         F.min(part).alias("low"),
         F.max(part).alias("high"),
@@ -86,7 +92,7 @@ def replace_observed(df: DataFrame, path: str, part: str) -> tuple | None:
 
 def replace_present(df: DataFrame, path: str, part: str) -> None:
     """Replace only the partitions that occur in `df` (an increment of whole days)."""
-    _overwrite_touched(df, path, part)
+    _overwrite_touched(_spread(df, part), path, part)
 
 
 def swap_table(df: DataFrame, name: str, part: str | None = None) -> None:

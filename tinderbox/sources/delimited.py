@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tinderbox.schemas import FeedSpec
+from tinderbox.schemas import FeedSpec, ddl
 
 
 def scan(
@@ -38,16 +38,11 @@ def parse_lines(
     lines: DataFrame, schema: T.StructType, value: str = "value", sep: str = "\t"
 ) -> DataFrame:
     """The same reading for lines that are already rows (unpacked archives, streams)."""
-    row = F.from_csv(value, schema.simpleString()[7:-1], {"sep": sep, "mode": "PERMISSIVE"})
+    row = F.from_csv(value, ddl(schema), {"sep": sep, "mode": "PERMISSIVE"})
     keep = [c for c in lines.columns if c != value]
     return lines.withColumn("__row", row).select(*keep, "__row.*")
 
 
-def tolerant(schema: T.StructType, text: Column, cast: str) -> Column:
-    """One text cell read as `cast` after removing surrounding quotes."""
-    return F.trim(text, F.lit('"')).try_cast(cast)
-
-
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns cast to a declared schema, unreadable cells as NULL."""
     return df.select(
