@@ -24,6 +24,25 @@ def target_name(code_col: str, value: str) -> str:
     return f"{code_col}_desc"
 
 
+# (dictionary, code column, its key, its description, target column or None for the default)
+Lookup = tuple[DataFrame, str, str, str, str | None]
+
+
+def describe_all(df: DataFrame, lookups: Iterable[Lookup]) -> DataFrame:
+    """Left joins of one description column each; existing target columns are replaced.
+
+    Grouping a dictionary by its code keeps the join row-preserving whatever the dictionary
+    holds, and lets the optimizer drop a lookup when nobody reads its target.
+    """
+    joined, added = df, {}
+    for i, (dim, code_col, key, value, target) in enumerate(lookups):
+        side = dim.groupBy(F.col(key).alias(f"__k{i}")).agg(F.min(value).alias(f"__v{i}"))
+        joined = joined.join(side, F.col(code_col) == F.col(f"__k{i}"), "left")
+        added[target or target_name(code_col, value)] = F.col(f"__v{i}")
+    kept = [F.col(c) for c in df.columns if c not in added]
+    return joined.select(*kept, *[c.alias(name) for name, c in added.items()])
+
+
 def describe(
     df: DataFrame,
     dim: DataFrame,
@@ -32,16 +51,5 @@ def describe(
     value: str,
     target: str | None = None,
 ) -> DataFrame:
-    """Left join of one description column; an existing target column is replaced."""
-    target = target or target_name(code_col, value)
-    side = dim.select(F.col(key).alias("__code"), F.col(value).alias(target))
-    return df.drop(target).join(side, F.col(code_col) == F.col("__code"), "left").drop("__code")
-
-
-def describe_all(
-    df: DataFrame, specs: Iterable[tuple[DataFrame, str, str, str, str | None]]
-) -> DataFrame:
-    """Apply `(dim, code_col, key, value, target)` enrichments in turn."""
-    for dim, code_col, key, value, target in specs:
-        df = describe(df, dim, code_col, key, value, target)
-    return df
+    """One lookup of `describe_all`."""
+    return describe_all(df, [(dim, code_col, key, value, target)])

@@ -14,10 +14,15 @@ from tinderbox.operators.joins import join_null_safe
 
 
 def value_counts(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Rows (keys, measure, value, n), one per distinct value."""
-    long = df.select(*keys, *[F.col(v).cast("double").alias(v) for v in values]).unpivot(
-        [F.col(k) for k in keys], [F.col(v) for v in values], "measure", "value"
-    )
+    """Rows (keys, measure, value, n), one per distinct value.
+
+    An exploded array rather than `unpivot`, whose plan Spark does not recognize as the same
+    when it meets it twice; this one is shuffled once and reused.
+    """
+    pairs = [
+        F.struct(F.lit(v).alias("measure"), F.col(v).cast("double").alias("value")) for v in values
+    ]
+    long = df.select(*keys, F.explode(F.array(*pairs)).alias("p")).select(*keys, "p.*")
     usable = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     return usable.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tinderbox import schemas
 from tinderbox.functions import feed_fields, geo, scalars
-from tinderbox.operators.enrich import describe, describe_all
+from tinderbox.operators.enrich import describe_all
 
 
 @dataclass(frozen=True)
@@ -25,38 +25,33 @@ class Dictionaries:
 
 
 def silver_events(bronze: DataFrame, d: Dictionaries) -> DataFrame:
-    """Sixteen map-side dictionary lookups and place parts; no shuffle."""
-    df = bronze
+    """Sixteen dictionary lookups, place parts and real dates; no shuffle of the events."""
+    places, lookups = {}, []
     for who in ("a1", "a2", "action"):
         name = F.col(f"{who}_geo_full_name")
-        df = df.withColumns(
-            {
-                f"{who}_geo_location": geo.location_part(name),
-                f"{who}_geo_state": geo.state_part(name),
-            }
-        )
-        df = describe(
-            df, d.fips_country, f"{who}_geo_country_code", "fips_country_code", "country_name",
-            f"{who}_geo_country",
-        )
-        df = describe(
-            df, d.geo_type, f"{who}_geo_id", "geo_type", "geo_type_desc", f"{who}_geo_type"
-        )
+        places[f"{who}_geo_location"] = geo.location_part(name)
+        places[f"{who}_geo_state"] = geo.state_part(name)
+        lookups += [
+            (d.fips_country, f"{who}_geo_country_code", "fips_country_code", "country_name",
+             f"{who}_geo_country"),
+            (d.geo_type, f"{who}_geo_id", "geo_type", "geo_type_desc", f"{who}_geo_type"),
+        ]
     for level in ("ev_root", "ev_base", "ev"):
-        df = describe(df, d.cameo_event, f"{level}_code", "ev_code", "ev_desc", f"{level}_desc")
-    df = describe(df, d.quad_classes, "quad_class", "quad_class", "ev_desc", "quad_class_desc")
+        lookups.append((d.cameo_event, f"{level}_code", "ev_code", "ev_desc", f"{level}_desc"))
+    lookups.append((d.quad_classes, "quad_class", "quad_class", "ev_desc", "quad_class_desc"))
     for who in ("a1", "a2"):
         for kind in ("type1", "type2"):
-            df = describe(
-                df, d.cameo_actor_type, f"{who}_{kind}_code", "a_type_code", "a_type_desc",
-                f"{who}_{kind}_desc",
+            lookups.append(
+                (d.cameo_actor_type, f"{who}_{kind}_code", "a_type_code", "a_type_desc",
+                 f"{who}_{kind}_desc")
             )
-        df = describe(
-            df, d.cameo_country, f"{who}_country_code", "cameo_country_code", "country_name",
-            f"{who}_country_name",
+        lookups.append(
+            (d.cameo_country, f"{who}_country_code", "cameo_country_code", "country_name",
+             f"{who}_country_name")
         )
-    df = df.withColumns({c: scalars.int_date(F.col(c)) for c in ("ev_date", "date_added")})
-    return df.select(*schemas.SILVER_EVENTS_COLUMNS)
+    dates = {c: scalars.int_date(F.col(c)) for c in ("ev_date", "date_added")}
+    named = describe_all(bronze.withColumns({**places, **dates}), lookups)
+    return named.select(*schemas.SILVER_EVENTS_COLUMNS)
 
 
 def silver_gkg(bronze: DataFrame) -> DataFrame:
@@ -110,11 +105,11 @@ def silver_counts(bronze: DataFrame, d: Dictionaries) -> DataFrame:
     df = listed_counts(bronze, default_id=None).withColumns(
         {"geo_location": geo.location_part(name), "geo_state": geo.state_part(name)}
     )
-    df = describe(df, d.geo_type, "geo_id", "geo_type", "geo_type_desc", "geo_type")
-    df = describe(
-        df, d.fips_country, "geo_country_code", "fips_country_code", "country_name", "geo_country"
-    )
-    return df.select(*schemas.SILVER_COUNTS_COLUMNS)
+    lookups = [
+        (d.geo_type, "geo_id", "geo_type", "geo_type_desc", "geo_type"),
+        (d.fips_country, "geo_country_code", "fips_country_code", "country_name", "geo_country"),
+    ]
+    return describe_all(df, lookups).select(*schemas.SILVER_COUNTS_COLUMNS)
 
 
 def enriched_events(bronze: DataFrame, d: Dictionaries) -> DataFrame:

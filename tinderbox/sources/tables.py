@@ -15,6 +15,12 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.read.table(name)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores; a larger scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def sample_files(
     spark: SparkSession, folder: str, suffix: str, start: date, end: date, fraction: float,
     seed: int = 0,
