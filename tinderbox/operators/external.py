@@ -57,7 +57,10 @@ def scrape(
     hashed = wanted.select(url, F.col(day).alias("part_date")).withColumn(
         "url_hash", X.url_hash(F.col(url))
     )
-    stored = responses.withColumn("ok", is_success(F.col("status_code"), F.col("html")))
+    stored = responses.select(
+        "url_hash", "response_id", "status_code", "html", "request_err",
+        is_success(F.col("status_code"), F.col("html")).alias("ok"),
+    )
     looked_up = cached_responses(hashed, stored, "url_hash", "ok", "response_id")
     names = [url, "part_date", "url_hash", "status_code", "html", "request_err"]
     hits = looked_up.where("is_hit").select(*names)

@@ -102,6 +102,8 @@ def swap_table(df: DataFrame, name: str, part: str | None = None) -> None:
     (writer.partitionBy(part) if part else writer).saveAsTable(f"{name}_next")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {name}_next RENAME TO {name}")
+    if part:  # registered partitions still name the folder the table was built in
+        spark.catalog.recoverPartitions(name)
 
 
 def external_table(

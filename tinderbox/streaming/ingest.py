@@ -27,6 +27,7 @@ def stream_archives(
     """Stream of typed rows from zipped files."""
     files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.zip")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
