@@ -12,6 +12,7 @@ from registry.fields import TEMPLATE, prompt_sql
 from tinderbox.functions import text
 from tinderbox.operators import embedding as E
 from tinderbox.operators import external as X
+from tinderbox.sources.tables import spread_small
 
 _TEXT = """regexp_replace(replace(replace(replace(
   regexp_replace(regexp_replace(
@@ -25,7 +26,8 @@ _TEXT = f"replace({_TEXT}, chr(1), '&')"
 
 @query("extract_text", f"SELECT page_id, url, {_TEXT} AS page_text FROM pages")
 def _(spark, d):
-    return fx.table(spark, d, "pages").select("page_id", "url", text.extract_text("html").alias("page_text"))
+    pages = spread_small(fx.table(spark, d, "pages"))
+    return pages.select("page_id", "url", text.extract_text("html").alias("page_text"))
 
 
 @query(
@@ -128,7 +130,7 @@ def _vector_sql(rows: str, key: str, body: str) -> str:
     SELECT doc_id, CAST(slot AS INTEGER) AS slot, {R('weight')} AS weight FROM vec""",
 )
 def _(spark, d):
-    docs = fx.table(spark, d, "documents").select("doc_id", "text")
+    docs = spread_small(fx.table(spark, d, "documents").select("doc_id", "text"))
     vectors = E.embed(docs, "text", "vector", E.hashed_words(_DIM)).drop("text")
     entries = vectors.select("doc_id", F.posexplode("vector").alias("slot", "weight"))
     return rounded(entries.where("weight <> 0"))

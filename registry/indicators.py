@@ -9,6 +9,7 @@ from registry.relational import ENRICHED_CTE, SILVER_CTE
 from tinderbox.functions import geo, heat
 from tinderbox.functions.scalars import blank_to_null
 from tinderbox.operators import aggregates as A
+from tinderbox.operators.medians import exact_medians
 from tinderbox.plans import gold, silver
 
 _DIVIDED = ["0", "3", "7"]
@@ -200,26 +201,29 @@ def _(spark, d):
       a2_geo_state, action_geo_location, action_geo_state FROM silver""",
 )
 def _(spark, d):
-    parts = {}
+    split, parts = {}, {}
     for who in ("a1", "a2", "action"):
-        name = F.col(f"{who}_geo_full_name")
-        parts[f"{who}_geo_location"] = geo.location_part(name)
-        parts[f"{who}_geo_state"] = geo.state_part(name)
-    return bronze(spark, d).select("ev_id", *[c.alias(n) for n, c in parts.items()])
+        split[f"{who}_parts"] = geo.name_parts(F.col(f"{who}_geo_full_name"))
+        parts[f"{who}_geo_location"] = geo.location_part(F.col(f"{who}_parts"))
+        parts[f"{who}_geo_state"] = geo.state_part(F.col(f"{who}_parts"))
+    named = bronze(spark, d).withColumns(split)
+    return named.select("ev_id", *[c.alias(n) for n, c in parts.items()])
 
 
 @query("geo_parts_view", f"WITH {ENRICHED_CTE} SELECT ev_id, country, state, city FROM enriched")
 def _(spark, d):
-    full = F.col("action_geo_full_name")
-    return bronze(spark, d).select(
+    parts = F.col("parts")
+    named = bronze(spark, d).withColumn("parts", geo.name_parts(F.col("action_geo_full_name")))
+    return named.select(
         "ev_id",
-        geo.country_part(full).alias("country"),
-        geo.state_part(full).alias("state"),
-        geo.city_part(full).alias("city"),
+        geo.country_part(parts).alias("country"),
+        geo.state_part(parts).alias("state"),
+        geo.city_part(parts).alias("city"),
     )
 
 
-_BLEND = "((gstein_scale + avg_tone) / 2) * num_mentions"
+# Tone in whole hundredths: sums stay exact, so no engine's order of addition shows.
+_BLEND = "((gstein_scale + round(avg_tone * 100)) / 2) * num_mentions"
 ZONE_DAY_CTE = f"""{EV_SQL}, zd AS (SELECT ev_date,
     CASE WHEN geo_key IN (0, 3, 7) THEN state ELSE country END AS geo_zone, country,
     avg({_BLEND}) AS heat_indicator, median(lat) AS lat, median(lon) AS lon, count(*) AS frequency
@@ -227,11 +231,14 @@ ZONE_DAY_CTE = f"""{EV_SQL}, zd AS (SELECT ev_date,
   GROUP BY 1, 2, 3)"""
 
 
-def zone_days(spark, d):
+ZONE_DAY_KEYS = ["ev_date", "geo_zone", "country"]
+
+
+def zone_events(spark, d):
     zone = geo.zone_state(F.col("geo_key").cast("string"), F.col("country"), F.col("state"), _DIVIDED)
-    blend = heat.tone_blend(F.col("gstein_scale"), F.col("avg_tone"), F.col("num_mentions"))
-    hot = ev(spark, d).withColumns({"geo_zone": zone, "heat": blend}).where("geo_zone IS NOT NULL")
-    return A.zone_day(hot, ["ev_date", "geo_zone", "country"], "heat", "lat", "lon")
+    tone = F.round(F.col("avg_tone") * 100)
+    blend = heat.tone_blend(F.col("gstein_scale"), tone, F.col("num_mentions"))
+    return ev(spark, d).withColumns({"geo_zone": zone, "heat": blend}).where("geo_zone IS NOT NULL")
 
 
 @query(
@@ -240,7 +247,7 @@ def zone_days(spark, d):
       {R('lat')} AS lat, {R('lon')} AS lon, frequency FROM zd""",
 )
 def _(spark, d):
-    return rounded(zone_days(spark, d))
+    return rounded(A.zone_day(zone_events(spark, d), ZONE_DAY_KEYS, "heat", "lat", "lon"))
 
 
 @query(
@@ -249,7 +256,8 @@ def _(spark, d):
     FROM zd GROUP BY geo_zone""",
 )
 def _(spark, d):
-    return rounded(A.zone_centroid(zone_days(spark, d), ["geo_zone"], "lat", "lon"))
+    daily = exact_medians(zone_events(spark, d), ZONE_DAY_KEYS, ["lat", "lon"])
+    return rounded(A.zone_centroid(daily, ["geo_zone"], "lat", "lon"))
 
 
 @query(

@@ -7,9 +7,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from registry.base import EV_SQL, R, bronze, dicts, ev, query, rounded
-from registry.indicators import HEAT_CTE, ZONE_DAY_CTE, hot_events, zone_days
+from registry.indicators import HEAT_CTE, ZONE_DAY_CTE, ZONE_DAY_KEYS, hot_events, zone_events
 from tinderbox.operators import aggregates as A
 from tinderbox.operators import series as S
+from tinderbox.operators.medians import exact_medians
 from tinderbox.plans import gold, silver
 
 END = date(2024, 1, 31)
@@ -49,7 +50,7 @@ def _(spark, d):
     LEFT JOIN zd z ON z.ev_date = d.ev_date AND z.geo_zone = k.geo_zone AND z.country = k.country""",
 )
 def _(spark, d):
-    facts = zone_days(spark, d).select("ev_date", "geo_zone", "country", "heat_indicator", "frequency")
+    facts = A.zone_means(zone_events(spark, d), ZONE_DAY_KEYS, "heat")
     filled = S.dense_grid(
         facts, "ev_date", ["geo_zone", "country"], ["heat_indicator", "frequency"], date(2020, 1, 1)
     )
@@ -103,14 +104,12 @@ def _(spark, d):
     FROM pred JOIN c USING (geo_zone)""",
 )
 def _(spark, d):
-    daily = zone_days(spark, d)
+    hot = zone_events(spark, d)
+    daily = exact_medians(hot, ZONE_DAY_KEYS, ["lat", "lon"])
     centroids = A.zone_centroid(daily, ["geo_zone"], "lat", "lon")
-    grid = S.dense_grid(
-        daily.select("ev_date", "geo_zone", "country", "heat_indicator"),
-        "ev_date", ["geo_zone", "country"], ["heat_indicator"],
-    )
-    dense = grid.join(centroids, "geo_zone").withColumnRenamed("ev_date", "indicator_date")
-    return rounded(gold.zone_forecast(dense))
+    means = A.zone_means(hot, ZONE_DAY_KEYS, "heat")
+    grid = S.dense_grid(means, "ev_date", ["geo_zone", "country"], ["heat_indicator", "frequency"])
+    return rounded(gold.zone_forecast(grid.withColumnRenamed("ev_date", "indicator_date"), centroids))
 
 
 @query(
@@ -131,5 +130,4 @@ def _(spark, d):
 @query("conflict_zone_forecast")
 def _(spark, d):
     events = silver.silver_events(bronze(spark, d), dicts(spark, d))
-    dense, _centroids = gold.zone_series(events)
-    return rounded(gold.zone_forecast(dense))
+    return rounded(gold.zone_forecast(*gold.zone_series(events)))

@@ -10,32 +10,34 @@ HEAT_ZONE_COUNTRIES = ["US", "CH", "RS", "IN", "BR"]
 WIDE_ZONE_COUNTRIES = ["US", "CH", "BR", "IS", "IN", "UK", "RS"]
 
 
-def _parts(full_name: Column) -> Column:
+def name_parts(full_name: Column) -> Column:
+    """Comma-separated parts of a place name.
+
+    Give them a column of their own before taking parts, so that a name is split once.
+    """
     return F.split(full_name, ",")
 
 
-def _from_end(full_name: Column, k: int) -> Column:
-    p = _parts(full_name)
-    return F.trim(F.get(p, F.size(p) - k))
+def _from_end(parts: Column, k: int) -> Column:
+    return F.trim(F.get(parts, F.size(parts) - k))
 
 
-def country_part(full_name: Column) -> Column:
-    return _from_end(full_name, 1)
+def country_part(parts: Column) -> Column:
+    return _from_end(parts, 1)
 
 
-def state_part(full_name: Column) -> Column:
+def state_part(parts: Column) -> Column:
     """Second part from the end, NULL when the name has one part."""
-    return _from_end(full_name, 2)
+    return _from_end(parts, 2)
 
 
-def city_part(full_name: Column) -> Column:
-    return _from_end(full_name, 3)
+def city_part(parts: Column) -> Column:
+    return _from_end(parts, 3)
 
 
-def location_part(full_name: Column) -> Column:
+def location_part(parts: Column) -> Column:
     """First part of a name with exactly three parts."""
-    p = _parts(full_name)
-    return F.trim(F.when(F.size(p) == 3, F.get(p, F.lit(0))))
+    return F.trim(F.when(F.size(parts) == 3, F.get(parts, F.lit(0))))
 
 
 def zone_path(

@@ -50,9 +50,10 @@ def place_rollup(df: DataFrame, levels: list[str], lat: str, lon: str) -> DataFr
         F.col(levels[0]).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
     )
     prefixes = [levels[:n] for n in range(len(levels), 0, -1)]
-    totals = placed.groupingSets(
+    finest = placed.groupBy(*levels).agg(F.count(F.lit(1)).alias("n"))
+    totals = finest.groupingSets(
         [[F.col(c) for c in p] for p in prefixes], *[F.col(c) for c in levels]
-    ).agg(F.grouping_id().cast("bigint").alias("grouping_id"), F.count(F.lit(1)).alias("ev_count"))
+    ).agg(F.grouping_id().cast("bigint").alias("grouping_id"), F.sum("n").alias("ev_count"))
 
     # Equal positions are counted once at the finest level, then those counts are rolled up.
     fine = value_counts(placed, levels, [lat, lon])
@@ -94,12 +95,17 @@ def zone_table(
     return join_null_safe(named, exact_medians(usable, keys, [lat, lon]), keys, "left")
 
 
-def zone_day(df: DataFrame, keys: list[str], heat: str, lat: str, lon: str) -> DataFrame:
-    """Mean heat, median position and event count per zone and day."""
-    means = df.groupBy(*keys).agg(
+def zone_means(df: DataFrame, keys: list[str], heat: str) -> DataFrame:
+    """Mean heat and event count per zone and day."""
+    return df.groupBy(*keys).agg(
         F.avg(heat).alias("heat_indicator"), F.count(F.lit(1)).alias("frequency")
     )
-    return join_null_safe(means, exact_medians(df, keys, [lat, lon]), keys, "left")
+
+
+def zone_day(df: DataFrame, keys: list[str], heat: str, lat: str, lon: str) -> DataFrame:
+    """`zone_means` with the median position."""
+    middle = exact_medians(df, keys, [lat, lon])
+    return join_null_safe(zone_means(df, keys, heat), middle, keys, "left")
 
 
 def zone_centroid(daily: DataFrame, keys: list[str], lat: str, lon: str) -> DataFrame:

@@ -43,8 +43,12 @@ def prefer_success(responses: DataFrame, key: str, success: str, tie: str) -> Da
 def cached_responses(
     wanted: DataFrame, responses: DataFrame, key: str, success: str, tie: str
 ) -> DataFrame:
-    """Attach the best known response to each wanted row; `is_hit` marks the found ones."""
-    best = prefer_success(responses, key, success, tie).withColumn("is_hit", F.lit(True))
+    """Attach the best known response to each wanted row; `is_hit` marks the found ones.
+
+    The store is cut to the wanted keys first, so bodies nobody asked for are not shuffled.
+    """
+    asked = responses.join(wanted.select(key), key, "left_semi")
+    best = prefer_success(asked, key, success, tie).withColumn("is_hit", F.lit(True))
     return wanted.join(best, key, "left").withColumn(
         "is_hit", F.coalesce("is_hit", F.lit(False))
     )

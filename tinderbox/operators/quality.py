@@ -60,16 +60,18 @@ def profile(df: DataFrame, rsd: float = 0.02) -> DataFrame:
             F.max(value).alias(f"{c}__max"),
             F.avg(value).alias(f"{c}__mean"),
             F.stddev_samp(value).alias(f"{c}__std"),
-            F.percentile_approx(value, 0.25, 10000).alias(f"{c}__q1"),
-            F.percentile_approx(value, 0.5, 10000).alias(f"{c}__q2"),
-            F.percentile_approx(value, 0.75, 10000).alias(f"{c}__q3"),
+            F.percentile_approx(value, [0.25, 0.5, 0.75], 10000).alias(f"{c}__q"),
         ]
     names = {
         "n": "n", "nulls": "nulls", "approx_distinct": "distinct", "min_length": "minlen",
         "max_length": "maxlen", "min": "min", "max": "max", "mean": "mean", "std": "std",
         "q25": "q1", "q50": "q2", "q75": "q3",
     }
-    return _unpivot_row(df.agg(*aggs), simple, "column", names)
+    row = df.agg(*aggs)
+    quartiles = {
+        f"{c}__q{i + 1}": F.get(f"{c}__q", F.lit(i)) for c in simple for i in range(3)
+    }
+    return _unpivot_row(row.withColumns(quartiles), simple, "column", names)
 
 
 def faulty_rows(lines: DataFrame, schema: T.StructType, sep: str = "\t") -> DataFrame:

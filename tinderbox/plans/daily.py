@@ -12,6 +12,7 @@ from tinderbox.operators import embedding, external, ranking
 from tinderbox.operators.windows import in_int_window, in_window
 from tinderbox.plans import gold, silver
 from tinderbox.schemas import feed
+from tinderbox.session import WIDE_LOOKUPS, scoped
 from tinderbox.sinks import writers
 from tinderbox.sources import archives, catalog
 
@@ -64,9 +65,9 @@ def refresh_silver(
     spark: SparkSession, lake: Lake, d: silver.Dictionaries, start: date, end: date
 ) -> None:
     bronze = in_int_window(lake.read(spark, "bronze_events"), "date_added", start, end)
-    writers.replace_range(
-        silver.silver_events(bronze, d), lake.path("silver_events"), "date_added", start, end
-    )
+    rows = silver.silver_events(bronze, d)
+    with scoped(spark, WIDE_LOOKUPS):
+        writers.replace_range(rows, lake.path("silver_events"), "date_added", start, end)
 
 
 def refresh_heat(spark: SparkSession, lake: Lake, start: date, end: date) -> None:
@@ -91,7 +92,11 @@ def refresh_top_news(
     fetcher: external.Fetcher = external.offline, top_k: int = 1,
 ) -> None:
     heat = in_window(lake.read(spark, "heat_indicator_by_event"), "date_added", start, end)
-    top = ranking.hottest_urls(heat, top_k)
+    chosen = lake.path("top_news_events")
+    writers.replace_range(ranking.hottest_urls(heat, top_k), chosen, "date_added", start, end)
+    # Written first: scraping reads the choice several times, and fetches must not depend on
+    # a ranking that is computed again after a lost executor.
+    top = in_window(spark.read.parquet(chosen), "date_added", start, end)
     scraped = external.scrape(top, responses, "source_url", "date_added", fetcher)
     writers.replace_observed(scraped, lake.path("scraping_results"), "part_date")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tinderbox.functions import geo, heat, scalars, text
 from tinderbox.operators import aggregates as A
 from tinderbox.operators import series as S
+from tinderbox.operators.medians import exact_medians
 from tinderbox.operators.windows import require_distinct_columns
 
 # Root codes of threats, protests, assaults and mass violence.
@@ -136,7 +137,7 @@ def country_forecast(
 def zone_series(
     silver: DataFrame, roots: list[str] = CONFLICT_ROOTS, since: date = date(2020, 1, 1)
 ) -> tuple[DataFrame, DataFrame]:
-    """(dense daily heat per zone, zone positions) from conflict events."""
+    """(dense daily heat per zone and country, positions of zones) from conflict events."""
     zone = geo.zone_state(
         F.col("action_geo_country_code"), F.col("action_geo_country"), F.col("action_geo_state")
     )
@@ -153,26 +154,25 @@ def zone_series(
         )
         .where(F.col("geo_zone").isNotNull())
     )
-    daily = A.zone_day(hot, ["ev_date", "geo_zone", "country"], "heat", "lat", "lon")
-    centroids = A.zone_centroid(daily, ["geo_zone"], "lat", "lon")
+    keys = ["ev_date", "geo_zone", "country"]
+    # Means and positions stay apart: the grid reads only the former, which are cheap.
+    means = A.zone_means(hot, keys, "heat")
+    centroids = A.zone_centroid(exact_medians(hot, keys, ["lat", "lon"]), ["geo_zone"], "lat", "lon")
     grid = S.dense_grid(
-        daily.select("ev_date", "geo_zone", "country", "heat_indicator", "frequency"),
-        "ev_date", ["geo_zone", "country"], ["heat_indicator", "frequency"], since,
+        means, "ev_date", ["geo_zone", "country"], ["heat_indicator", "frequency"], since
     )
-    dense = grid.join(centroids, "geo_zone").withColumnRenamed("ev_date", "indicator_date")
-    return dense, centroids
+    return grid.withColumnRenamed("ev_date", "indicator_date"), centroids
 
 
 def zone_forecast(
-    dense: DataFrame, horizon: int = 1, freq: str = "W", forecaster: S.Forecaster = S.additive_model
+    dense: DataFrame, centroids: DataFrame, horizon: int = 1, freq: str = "W",
+    forecaster: S.Forecaster = S.additive_model,
 ) -> DataFrame:
     """Forecast per zone and country with the zone's position."""
-    keys = ["geo_zone", "country"]
     predicted = S.forecast_groups(
-        dense, keys, "indicator_date", "heat_indicator", horizon, freq, forecaster
+        dense, ["geo_zone", "country"], "indicator_date", "heat_indicator", horizon, freq, forecaster
     )
-    places = dense.select(*keys, "lat", "lon").distinct()
-    return S.with_attributes(predicted, places, keys)
+    return S.with_attributes(predicted, centroids, ["geo_zone"])
 
 
 def event_sentences(silver: DataFrame) -> DataFrame:

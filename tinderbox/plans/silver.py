@@ -26,11 +26,11 @@ class Dictionaries:
 
 def silver_events(bronze: DataFrame, d: Dictionaries) -> DataFrame:
     """Sixteen dictionary lookups, place parts and real dates; no shuffle of the events."""
-    places, lookups = {}, []
+    parts, places, lookups = {}, {}, []
     for who in ("a1", "a2", "action"):
-        name = F.col(f"{who}_geo_full_name")
-        places[f"{who}_geo_location"] = geo.location_part(name)
-        places[f"{who}_geo_state"] = geo.state_part(name)
+        parts[f"{who}_parts"] = geo.name_parts(F.col(f"{who}_geo_full_name"))
+        places[f"{who}_geo_location"] = geo.location_part(F.col(f"{who}_parts"))
+        places[f"{who}_geo_state"] = geo.state_part(F.col(f"{who}_parts"))
         lookups += [
             (d.fips_country, f"{who}_geo_country_code", "fips_country_code", "country_name",
              f"{who}_geo_country"),
@@ -50,7 +50,8 @@ def silver_events(bronze: DataFrame, d: Dictionaries) -> DataFrame:
              f"{who}_country_name")
         )
     dates = {c: scalars.int_date(F.col(c)) for c in ("ev_date", "date_added")}
-    named = describe_all(bronze.withColumns({**places, **dates}), lookups)
+    placed = bronze.withColumns(parts).withColumns({**places, **dates}).drop(*parts)
+    named = describe_all(placed, lookups)
     return named.select(*schemas.SILVER_EVENTS_COLUMNS)
 
 
@@ -101,9 +102,12 @@ def listed_counts(bronze: DataFrame, default_id: int | None = -1) -> DataFrame:
 
 def silver_counts(bronze: DataFrame, d: Dictionaries) -> DataFrame:
     """Counts with dates, lists, place parts and descriptions."""
-    name = F.col("geo_full_name")
-    df = listed_counts(bronze, default_id=None).withColumns(
-        {"geo_location": geo.location_part(name), "geo_state": geo.state_part(name)}
+    parts = F.col("parts")
+    df = (
+        listed_counts(bronze, default_id=None)
+        .withColumn("parts", geo.name_parts(F.col("geo_full_name")))
+        .withColumns({"geo_location": geo.location_part(parts), "geo_state": geo.state_part(parts)})
+        .drop("parts")
     )
     lookups = [
         (d.geo_type, "geo_id", "geo_type", "geo_type_desc", "geo_type"),
@@ -114,14 +118,14 @@ def silver_counts(bronze: DataFrame, d: Dictionaries) -> DataFrame:
 
 def enriched_events(bronze: DataFrame, d: Dictionaries) -> DataFrame:
     """The view behind the aggregate tables: raw events, place parts, zone, descriptions."""
-    full = F.col("action_geo_full_name")
-    df = bronze.withColumns(
-        {
-            "country": geo.country_part(full),
-            "state": geo.state_part(full),
-            "city": geo.city_part(full),
-        }
-    )
+    parts = F.col("parts")
+    places = {
+        "country": geo.country_part(parts),
+        "state": geo.state_part(parts),
+        "city": geo.city_part(parts),
+    }
+    named = bronze.withColumn("parts", geo.name_parts(F.col("action_geo_full_name")))
+    df = named.withColumns(places).drop("parts")
     df = describe_all(
         df,
         [

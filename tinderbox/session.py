@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +39,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# For writes of wide stored tables through many lookups: their fused method would exceed the
+# 8000 bytes the JVM still compiles, and runs twice as fast operator by operator (measured).
+WIDE_LOOKUPS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+@contextmanager
+def scoped(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings for the actions inside the block only."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by `spark.checkpoint.dir`.
 
