@@ -12,6 +12,7 @@ from registry.fields import TEMPLATE, prompt_sql
 from tinderbox.functions import text
 from tinderbox.operators import embedding as E
 from tinderbox.operators import external as X
+from tinderbox.plans import gold
 from tinderbox.sources.tables import spread_small
 
 _TEXT = """regexp_replace(replace(replace(replace(
@@ -163,6 +164,17 @@ def _(spark, d):
     )
 
 
+@query(
+    "embed_build_cache",
+    f"""WITH {EV_SQL} SELECT country, {16} AS dim FROM ev WHERE country IS NOT NULL GROUP BY 1""",
+)
+def _(spark, d):
+    cache, _model, _mean = E.build_cache(
+        ev(spark, d), "country", "vector", E.hashed_words(_DIM), 16, gold.COUNTRY_CACHE["prefix"]
+    )
+    return cache.select("country", F.size("vector").alias("dim"))
+
+
 @query("pca_embed")
 def _(spark, d):
     vectors = fx.table(spark, d, "embeddings")

@@ -73,7 +73,10 @@ def _lines(spark, d):
 
 @query(
     "faulty_rows",
-    f"SELECT event_id, {_LINE.format(s='VARCHAR')} AS value FROM events WHERE event_id % 11 < 4",
+    f"""WITH l AS (SELECT event_id, {_LINE.format(s='VARCHAR')} AS value FROM events),
+    p AS (SELECT *, string_split(value, chr(9)) AS f FROM l)
+    SELECT event_id, value FROM p WHERE len(f) <> 3 OR try_cast(f[1] AS BIGINT) IS NULL
+      OR try_cast(f[3] AS FLOAT) IS NULL""",
 )
 def _(spark, d):
     return Q.faulty_rows(_lines(spark, d), _SCHEMA)

@@ -12,6 +12,7 @@ from tinderbox.operators import frequency as Q
 from tinderbox.operators import ranking as K
 from tinderbox.operators import sampling as S
 from tinderbox.functions.scalars import split_list
+from tinderbox.plans import gold
 
 _TOP = f"""{HEAT_CTE}, u AS (SELECT *, row_number() OVER (PARTITION BY date_added, geo_zone, source_url
       ORDER BY heat_indicator DESC, ev_id) AS per_url FROM heat WHERE geo_zone IS NOT NULL AND geo_zone <> ''),
@@ -93,6 +94,18 @@ def _(spark, d):
     return rounded(Q.cumulative_share(known, "geo_full_name"))
 
 
+@query(
+    "place_name_table",
+    f"""WITH {_NAMES}, t AS (SELECT *, ln(1 + cnt) AS l, cnt / sum(cnt) OVER () AS fraction FROM n),
+    k AS (SELECT * FROM t ORDER BY cnt DESC, geo_full_name NULLS FIRST LIMIT 9000)
+    SELECT geo_full_name, cnt, {R('l')} AS log_1p_cnt, {R('fraction')} AS fraction,
+      {R('sum(fraction) OVER (ORDER BY cnt DESC, geo_full_name NULLS FIRST ROWS UNBOUNDED PRECEDING)')} AS fraction_cumsum
+    FROM k""",
+)
+def _(spark, d):
+    return rounded(gold.place_names(bronze(spark, d)))
+
+
 @query(
     "word_coverage",
     f"""WITH w AS (SELECT unnest(string_split_regex(text, '[^A-Za-z]+')) AS word FROM documents),

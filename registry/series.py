@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from registry.base import EV_SQL, R, bronze, dicts, ev, query, rounded
 from registry.indicators import HEAT_CTE, ZONE_DAY_CTE, ZONE_DAY_KEYS, hot_events, zone_events
+from registry.relational import SILVER_CTE
 from tinderbox.operators import aggregates as A
 from tinderbox.operators import series as S
 from tinderbox.operators.medians import exact_medians
@@ -127,7 +128,25 @@ def _(spark, d):
     return rounded(S.trend_forecast(counts.agg(F.count(F.lit(1)).alias("y")), ["country"], "day", "y", 7))
 
 
-@query("conflict_zone_forecast")
+_ZONE = """CASE WHEN action_geo_country_code IN ('US', 'CH', 'BR', 'IN', 'IS', 'RS', 'UK')
+    THEN action_geo_state ELSE action_geo_country END"""
+
+
+@query(
+    "conflict_zone_forecast",
+    f"""WITH {SILVER_CTE}, zd AS (SELECT ev_date, {_ZONE} AS geo_zone, action_geo_country AS country,
+      avg((gstein_scale + avg_tone) / 2 * num_mentions) AS heat_indicator,
+      median(action_geo_lat) AS lat, median(action_geo_lon) AS lon FROM silver
+      WHERE ev_root_code IN ('13', '14', '18', '20') AND ({_ZONE}) IS NOT NULL GROUP BY 1, 2, 3),
+    grid AS (SELECT d.ev_date, k.geo_zone, k.country, coalesce(z.heat_indicator, 0) AS y
+      FROM (SELECT DISTINCT ev_date FROM zd) d CROSS JOIN (SELECT DISTINCT geo_zone, country FROM zd) k
+      LEFT JOIN zd z ON z.ev_date = d.ev_date AND z.geo_zone = k.geo_zone AND z.country = k.country),
+    {_fit('grid', 'geo_zone, country', 'ev_date')},
+    {_ahead('geo_zone, country', 'last_day + CAST(8 - isodow(last_day + 1) AS INTEGER) + CAST(i - 1 AS INTEGER) * 7', 1)},
+    c AS (SELECT geo_zone, median(lat) AS lat, median(lon) AS lon FROM zd GROUP BY 1)
+    SELECT ds AS indicator_date, geo_zone, country, {_BAND}, {R('lat')} AS lat, {R('lon')} AS lon
+    FROM pred JOIN c USING (geo_zone)""",
+)
 def _(spark, d):
     events = silver.silver_events(bronze(spark, d), dicts(spark, d))
     return rounded(gold.zone_forecast(*gold.zone_series(events)))

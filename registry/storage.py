@@ -53,9 +53,10 @@ def _(spark, d):
 @query("stream_ingest", _SHOWN_SQL)
 def _(spark, d):
     folder, dest, mark = (new_dir(spark, n) for n in ("feed", "bronze", "progress"))
-    lines = feed_lines(bronze(spark, d))
-    for _round in range(2):  # the second run finds only the files that arrived since
-        lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == _round).write.mode("append").text(folder)
+    rows = bronze(spark, d)
+    early = F.col("date_added") <= 20240115
+    for arrived in (early, ~early):  # the second run finds only the files that came since
+        feed_lines(rows.where(arrived), rows.columns).write.mode("append").text(folder)
         ingest.ingest_available(ingest.stream_feed(spark, folder, EVENTS), dest, mark, EVENTS.partition)
     return _shown(spark.read.parquet(dest))
 
@@ -211,16 +212,15 @@ def _(spark, d):
     "incremental_files",
     f"""WITH {_CATALOG_CTE} SELECT date_str, filename FROM cat
     WHERE date_str BETWEEN '20240105' AND '20240120'
-      AND NOT EXISTS (SELECT 1 FROM orders WHERE CAST(dayofmonth(o_orderdate) AS INTEGER) % 7 = 1
-        AND '202401' || strftime(o_orderdate, '%d') = date_str)""",
+      AND NOT EXISTS (SELECT 1 FROM ev WHERE strftime(date_added, '%Y%m%d') = date_str
+        GROUP BY date_added HAVING sum(gstein_scale) > 0)""",
 )
 def _(spark, d):
     files = catalog.parse_listing(_listing(spark, d), "events", _BASE)
-    days = fx.table(spark, d, "orders").where(F.dayofmonth("o_orderdate") % 7 == 1)
-    done = days.select(
-        F.concat(F.lit("202401"), F.date_format("o_orderdate", "dd")).alias("date_str"),
-        F.lit("events").alias("event_type"),
-    ).distinct()
+    days = ev(spark, d).groupBy("date_added").agg(F.sum("gstein_scale").alias("score"))
+    done = days.where("score > 0").select(
+        F.date_format("date_added", "yyyyMMdd").alias("date_str"), F.lit("events").alias("event_type")
+    )
     _all, unread = catalog.new_files(files, done, "events", date(2024, 1, 5), date(2024, 1, 20))
     return unread.select("date_str", "filename")
 

@@ -285,3 +285,17 @@ def test_embeddings(spark):
     cache = spark.createDataFrame([("a b", [9.0, 9.0])], "t string, v array<float>")
     out = embedding.cached_or_encoded(df, cache, "t", "v", counting).collect()
     assert sorted(r.v[0] for r in out) == [1.0, 1.0, 9.0, 9.0] and calls.value == 2
+
+
+def test_build_cache_then_fall_back(spark):
+    df = spark.createDataFrame([(f"place {i}",) for i in range(20)], "t string")
+    encoder = embedding.hashed_words(16)
+    cache, model, mean = embedding.build_cache(df, "t", "v", encoder, 4, prefix="in: ")
+    assert cache.count() == 20 and len(cache.first().v) == 4
+
+    def finish(fresh):
+        return embedding.reduce_dims(fresh, "v", model, mean, "r").select("t", F.col("r").alias("v"))
+
+    wanted = spark.createDataFrame([("place 3",), ("elsewhere",)], "t string")
+    out = embedding.cached_or_encoded(wanted, cache, "t", "v", encoder, finish).collect()
+    assert [len(r.v) for r in out] == [4, 4]

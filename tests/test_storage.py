@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry import base, fixtures as fx
-from registry.external import digest_completer
+from registry.external import digest_completer, label_completer
 from registry.storage import feed_lines
 from tinderbox.functions.text import url_hash
 from tinderbox.operators import embedding
@@ -246,6 +246,10 @@ def test_daily_job(spark, sf, tmp_path):
     assert counts[0] == counts[1]
     assert counts[0][0] == counts[0][2] == counts[0][8] == rows.count() and counts[0][1] == len(by_day)
     assert all(counts[0])
+    for _round in range(2):  # the second run finds nothing to label
+        labels = daily.refresh_labels(spark, lake, "Label:\n{news_text}", label_completer, "m1", {"max_tokens": 9})
+        texts = lake.read(spark, "scraping_results").where("scraped_text is not null")
+        assert labels.count() == texts.select("url_hash").distinct().count() > 0
     daily.training_extract(lake.read(spark, "silver_events"), str(tmp_path / "train"), embedding.hashed_words(8), 0.5)
     assert spark.read.parquet(str(tmp_path / "train")).count() > 0
 

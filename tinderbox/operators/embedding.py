@@ -85,6 +85,21 @@ def explained_variance(model: PCAModel) -> list[float]:
     return [float(x) for x in np.cumsum(model.explainedVariance.toArray())]
 
 
+def build_cache(
+    df: DataFrame, text: str, vector: str, encoder: Encoder, k: int, prefix: str = ""
+) -> tuple[DataFrame, PCAModel, list[float]]:
+    """Reduced vector per distinct text, with the model and mean that reduce further texts.
+
+    `prefix` is put before each text for encoding only; the cache is keyed by the text.
+    """
+    worded = df.select(text).where(F.col(text).isNotNull()).distinct()
+    worded = worded.withColumn("__worded", F.concat(F.lit(prefix), F.col(text)))
+    vectors = embed(worded, "__worded", vector, encoder).select(text, vector)
+    model, mean = fit_pca(vectors, vector, k), centre(vectors, vector)
+    reduced = reduce_dims(vectors, vector, model, mean, "__reduced")
+    return reduced.select(text, F.col("__reduced").alias(vector)), model, mean
+
+
 def cached_or_encoded(
     df: DataFrame, cache: DataFrame, text: str, vector: str, encoder: Encoder, finish=None
 ) -> DataFrame:

@@ -54,11 +54,8 @@ def ingest(
     lines = archives.unpack(chosen, spec.header).where(F.col("error").isNull())
     rows = archives.parse_lines(lines.select("value"), spec.schema)
     # The increment is written before the files are recorded: a lost run is simply repeated.
-    pending = unread.select(*listing.columns).persist()
-    pending.count()
     writers.replace_present(rows, lake.path(spec.table), spec.partition)
-    writers.append(pending, known, "event_type")
-    pending.unpersist()
+    writers.append(unread.select(*listing.columns), known, "event_type")
 
 
 def refresh_silver(
@@ -112,6 +109,24 @@ def refresh_summaries(
     writers.replace_observed(out, lake.path("summary_results"), "part_date")
 
 
+def refresh_labels(
+    spark: SparkSession, lake: Lake, template: str, completer: external.Completer, model: str,
+    params: dict, limit: int | None = None,
+) -> DataFrame:
+    """Label texts that have no label for this template and model, and merge the labels in."""
+    root = lake.path("news_labels")
+    newest = [F.col("part_date").desc()]
+    texts = lake.read(spark, "scraping_results").where(F.col("scraped_text").isNotNull())
+    texts = ranking.first_per_key(texts, ["url_hash"], newest)
+    known = writers.latest_snapshot(spark, root)
+    if known is None:
+        known = spark.createDataFrame([], "url_hash string, prompt_tmpl_hash string, model string")
+    fresh = external.label(
+        texts, known, "url_hash", "scraped_text", template, completer, model, params, limit
+    )
+    return writers.upsert(fresh, root, ["label_hash"])
+
+
 def refresh_embeddings(
     spark: SparkSession, lake: Lake, encoder: embedding.Encoder, start: date, end: date
 ) -> None:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tinderbox.functions import geo, heat, scalars, text
 from tinderbox.operators import aggregates as A
 from tinderbox.operators import series as S
 from tinderbox.operators.medians import exact_medians
+from tinderbox.operators.ranking import top_by_count
 from tinderbox.operators.windows import require_distinct_columns
 
 # Root codes of threats, protests, assaults and mass violence.
@@ -192,3 +193,26 @@ def event_descriptions(enriched: DataFrame) -> DataFrame:
     keys = ["quad_class_desc", "ev_root_desc", "ev_desc"]
     full = text.full_description(*[F.col(k) for k in keys])
     return A.log_counts(enriched, keys).withColumn("full_desc", full)
+
+
+# How a name is worded for encoding, its reduced size, and how many are cached.
+COUNTRY_CACHE = {"prefix": "This event happened in the country of ", "k": 30}
+EVENT_CACHE = {"prefix": "Actor 1 did the following to Actor 2: ", "k": 40}
+PLACE_CACHE = {"prefix": "This event happened in: ", "k": 100}
+PLACE_CACHE_NAMES = 9000
+
+
+def country_names(enriched: DataFrame) -> DataFrame:
+    return A.log_counts(enriched.withColumn("country", F.col("action_geo_country")), ["country"])
+
+
+def place_names(enriched: DataFrame, limit: int = PLACE_CACHE_NAMES) -> DataFrame:
+    """Most frequent place names with their share and running share of all events."""
+    named = enriched.withColumn("geo_full_name", F.col("action_geo_full_name"))
+    counts = A.share_of_total(A.log_counts(named, ["geo_full_name"]))
+    top = top_by_count(counts, "geo_full_name", limit)
+    # `limit` rows at most, so one ordered window is small
+    upto = Window.orderBy(F.col("cnt").desc(), "geo_full_name").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return top.withColumn("fraction_cumsum", F.sum("fraction").over(upto))
