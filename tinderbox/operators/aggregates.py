@@ -50,11 +50,6 @@ def place_rollup(df: DataFrame, levels: list[str], lat: str, lon: str) -> DataFr
         F.col(levels[0]).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
     )
     prefixes = [levels[:n] for n in range(len(levels), 0, -1)]
-    finest = placed.groupBy(*levels).agg(F.count(F.lit(1)).alias("n"))
-    totals = finest.groupingSets(
-        [[F.col(c) for c in p] for p in prefixes], *[F.col(c) for c in levels]
-    ).agg(F.grouping_id().cast("bigint").alias("grouping_id"), F.sum("n").alias("ev_count"))
-
     # Equal positions are counted once at the finest level, then those counts are rolled up.
     fine = value_counts(placed, levels, [lat, lon])
     rows = F.array(
@@ -73,9 +68,18 @@ def place_rollup(df: DataFrame, levels: list[str], lat: str, lon: str) -> DataFr
         .groupBy(*keys, "measure", "value")
         .agg(F.sum("n").alias("n"))
     )
-    middle = medians_of_counts(counts, keys, [lat, lon])
     depth = sum((F.col(c).isNotNull().cast("int") for c in levels[1:]), F.lit(1))
-    return join_null_safe(totals, middle, keys, "left").withColumn("geo_granularity", depth)
+    return _counted(counts, keys, lat, lon).withColumn("geo_granularity", depth)
+
+
+def _counted(counts: DataFrame, keys: list[str], lat: str, lon: str, extra=()) -> DataFrame:
+    """Medians and event counts from the same value counts: every row has both positions.
+
+    The sum is conditional, not filtered, so that both branches share one shuffle.
+    """
+    events = F.sum(F.when(F.col("measure") == lat, F.col("n")))
+    totals = counts.groupBy(*keys).agg(events.alias("ev_count"), *extra)
+    return join_null_safe(totals, medians_of_counts(counts, keys, [lat, lon]), keys, "left")
 
 
 def zone_table(
@@ -89,10 +93,12 @@ def zone_table(
         & F.col(zone).isNotNull()
     )
     keys = [code, zone]
-    named = usable.groupBy(*keys).agg(
-        F.max(country).alias("country"), F.count(F.lit(1)).alias("ev_count")
+    counts = (
+        value_counts(usable, [*keys, country], [lat, lon])
+        .groupBy(*keys, "measure", "value")
+        .agg(F.sum("n").alias("n"), F.max(country).alias(country))
     )
-    return join_null_safe(named, exact_medians(usable, keys, [lat, lon]), keys, "left")
+    return _counted(counts, keys, lat, lon, [F.max(country).alias("country")])
 
 
 def zone_means(df: DataFrame, keys: list[str], heat: str) -> DataFrame:

@@ -14,7 +14,7 @@ from tinderbox.operators.joins import join_null_safe
 
 
 def value_counts(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Rows (keys, measure, value, n), one per distinct value.
+    """Rows (keys, measure, value, n), one per distinct non-null value.
 
     An exploded array rather than `unpivot`, whose plan Spark does not recognize as the same
     when it meets it twice; this one is shuffled once and reused.
@@ -23,16 +23,20 @@ def value_counts(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame
         F.struct(F.lit(v).alias("measure"), F.col(v).cast("double").alias("value")) for v in values
     ]
     long = df.select(*keys, F.explode(F.array(*pairs)).alias("p")).select(*keys, "p.*")
-    usable = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    usable = long.where(F.col("value").isNotNull())
     return usable.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def medians_of_counts(
     counts: DataFrame, keys: list[str], values: list[str], cell_width: float = 1.0
 ) -> DataFrame:
-    """Interpolated median per key from `value_counts` rows; one column per measure."""
+    """Interpolated median per key from `value_counts` rows; one column per measure.
+
+    NaN is the largest value, as in `median`.
+    """
     ids = [*keys, "measure"]
-    counts = counts.withColumn("cell", F.floor(F.col("value") / cell_width))
+    cell = F.when(F.isnan("value"), F.lit(2**62)).otherwise(F.floor(F.col("value") / cell_width))
+    counts = counts.select(*ids, "value", "n", cell.alias("cell"))
 
     along = Window.partitionBy(*ids).orderBy("cell")
     cells = (
