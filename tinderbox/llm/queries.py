@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tinderbox.llm import classifier, mixing, packing, pii, quality_rules
+from tinderbox.llm import classifier, cover_tree, mixing, near_dedup, packing, pii, quality_rules, warc
 from tinderbox.llm.common import table
-from tinderbox.session import tune
+from tinderbox.session import new_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +37,77 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+WARC_SQL = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), h AS (
+  SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex, sha256(payload) AS same FROM p
+), f AS (
+  SELECT same, min(page_id) AS first FROM h GROUP BY same
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+    ((strpos('0123456789abcdef', hex[(5 * i) // 4 + 1]) - 1) * 16 + strpos('0123456789abcdef', hex[(5 * i) // 4 + 2]) - 1)
+    >> (3 - (5 * i) % 4)) & 31 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM h JOIN f USING (same)
+"""
+
+
+@query("op2_warc", WARC_SQL)
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    folder = new_dir(spark, "warc")
+    warc.write_warc(table(spark, d, "pages"), folder)
+    return warc.page_records(spark, folder)
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query("op4_cover_tree_top_k", TOP_SQL)
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    vectors = cover_tree.integer_vectors(table(spark, d, "embeddings"))
+    return cover_tree.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w
+), e AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s
+), few AS (
+  SELECT doc_id, n, hash(shingle) AS shingle FROM e WHERE shingle IN (SELECT shingle FROM e GROUP BY shingle HAVING count(*) > 1)
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM few a JOIN few b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+
+@query("op5_minhash_near_dedup", NEAR_SQL)
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, d, "documents"), shingle_words=3, percent=85)
+
+
 @query("op6_quality_classifier")
 def op6(spark: SparkSession, d: str) -> DataFrame:
     return classifier.quality_classifier(table(spark, d, "documents"), table(spark, d, "labels"))
