@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,9 +32,11 @@ class Sample:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> Sample:
-    """At most `per_class` rows of each class, the first by hash of the id, of texts up to
-    `max_chars` long (both bounds hold for fitting only). Held-out rows, null labels, null ids and
-    null texts take no part; a document labelled twice counts once, with its smaller label."""
+    """At most `per_class` documents of each class, the first by hash of the id, with texts up to
+    `max_chars` long (both bounds hold for fitting only). Held-out rows, null labels, null ids and null
+    texts take no part. A document labelled twice counts with its smaller label, and one that the
+    table holds twice with its smaller text. Ids are drawn first, so only the drawn rows' texts move.
+    """
     known = (
         labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y"))
         .where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
@@ -41,19 +44,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         .agg(F.min("y").alias("y"))
     )
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    rows = (
-        docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-        .where(F.length("text") <= max_chars)
-        .join(known, "id")
-        .withColumn("draw", F.xxhash64("id", "text"))
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= max_chars)
+    present = texts.select("id").distinct().join(known, "id").withColumn("draw", F.xxhash64("id"))
+    drawn = reduce(
+        DataFrame.unionByName, [present.where(F.col("y") == y).orderBy("draw", "id").limit(per_class) for y in (0, 1)]
     )
-    drawn = [
-        r
-        for y in (0, 1)
-        for r in rows.where(F.col("y") == y).orderBy("draw", "id").limit(per_class).select("draw", "text", "y").collect()
-    ]
-    drawn.sort(key=lambda r: r["draw"])  # mixes the classes, the same way each time
-    return Sample([r["text"] for r in drawn], np.array([r["y"] for r in drawn], int), (sizes.get(0, 0), sizes.get(1, 0)))
+    # Broadcast: at most two times `per_class` ids.
+    rows = texts.join(F.broadcast(drawn), "id").groupBy("draw", "id", "y").agg(F.min("text").alias("text")).collect()
+    rows.sort(key=lambda r: (r["draw"], r["id"]))  # mixes the classes, the same way each time
+    return Sample([r["text"] for r in rows], np.array([r["y"] for r in rows], int), (sizes.get(0, 0), sizes.get(1, 0)))
 
 
 def sigmoid(x):
