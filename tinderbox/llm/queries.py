@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tinderbox.llm import classifier, cover_tree, mixing, near_dedup, packing, pii, quality_rules, warc
+from tinderbox.llm import classifier, cover_tree, mixing, near_dedup, packing, pii, prefix_free, quality_rules, warc
 from tinderbox.llm.common import table
 from tinderbox.session import new_dir, tune
 
@@ -83,7 +83,8 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
 
 NEAR_SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w
   FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
@@ -113,6 +114,11 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
     return classifier.quality_classifier(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+@query("op7_prefix_free_dedup")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_free.remove_repeats(table(spark, d, "documents"))
+
+
 @query("op8_pii")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return pii.find_pii(table(spark, d, "documents"))
