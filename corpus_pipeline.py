@@ -1,14 +1,16 @@
 """From raw documents to packed training sequences, in five stages.
 
-Each stage reads what its predecessor wrote and keeps every document but those it is there to drop.
+Each stage reads what its predecessor wrote and keeps every document but those it is there to drop. All but the
+last return the columns of their input. Nulls, empty texts, repeated rows and extra columns are handled as
+the operators' docstrings say: texts that are null or empty fall to the quality rules, rows without an id
+pass the near-duplicate stage, and an empty table gives an empty result of the last stage's columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tinderbox.llm import mixing, packing, pii, quality_rules
+from tinderbox.llm import mixing, near_dedup, packing, pii, quality_rules
 from tinderbox.llm.common import materialize, table
 from tinderbox.llm.queries import tokenizer_file
 from tinderbox.session import tune
@@ -22,6 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.drop_low_quality(docs, table(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates, the document with the smallest id stays."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind."""
     return pii.mask_pii(docs)
@@ -39,6 +46,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
+    ("near duplicates", near_duplicates),
     ("personal data", privacy),
     ("mixing", mix),
     ("packing", pack),

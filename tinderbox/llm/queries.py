@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tinderbox.llm import classifier, cover_tree, mixing, near_dedup, packing, pii, prefix_free, quality_rules, warc
+from tinderbox.llm import chat, classifier, cover_tree, mixing, near_dedup, packing, pii, prefix_free, quality_rules, warc
 from tinderbox.llm.common import table
 from tinderbox.session import new_dir, tune
 
@@ -62,6 +62,11 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
     return warc.page_records(spark, folder)
 
 
+@query("op3_chat_format")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    return chat.parse_transcripts(chat.as_transcripts(table(spark, d, "conversations")))
+
+
 TOP_SQL = """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
