@@ -125,17 +125,17 @@ def mix_sources(docs: DataFrame) -> DataFrame:
 def draw_mix(docs: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is drawn, with all its columns and no others.
 
-    Documents meet their draws by a number that is added to the written table, so neither repeated
-    ids nor clashing names confuse them.
+    Documents meet their draws by a row number of the table, which has to be read the same way twice (a
+    written one is), so neither repeated ids nor clashing names confuse them.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     numbered = docs.select(
-        whole, F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
-        F.monotonically_increasing_id().alias("doc_id"),
+        whole, "doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    drawn = _lined(numbered.drop("doc")).where("repeats > 0").select("doc_id", "repeats")
+    drawn = _lined(numbered.drop("doc")).where("repeats > 0").select("row", "repeats")
     copies = F.explode(F.sequence(F.lit(1), F.col("repeats")))
-    return numbered.join(drawn, "doc_id").select("doc", copies.alias("copy")).select("doc.*")
+    return numbered.join(drawn, "row").select("doc", copies.alias("copy")).select("doc.*")
 
 
 def queue_key(source: str) -> Column:

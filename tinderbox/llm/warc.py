@@ -1,8 +1,10 @@
 """WARC archives: a writer of one gzip member per record, and a splittable reader.
 
 The reader gives tasks byte ranges of the files. A task looks for gzip magic in its range, accepts a
-candidate when it decodes to a WARC head of the right length and is followed by another member or
-the end of the file, and owns the records that start inside its range, wherever they end.
+candidate when it decodes to a WARC head and a block of the stated length and is followed by another
+record's head or the end of the file, and owns the records that start inside its range, wherever they
+end. Only an archive stored uncompressed inside a record could still pass for records of its own; what
+`write_warc` writes cannot hold one, as UTF-8 text never contains gzip magic.
 """
 
 from __future__ import annotations
@@ -113,6 +115,15 @@ def _head(data: bytes) -> tuple[str, dict[str, str]]:
     return first, dict(line.split(": ", 1) for line in lines if ": " in line)
 
 
+def opens_record(file, at: int, size: int) -> bool:
+    """Whether a gzip member starts at `at` that decodes to the first words of a record."""
+    file.seek(at)
+    try:
+        return zlib.decompressobj(31).decompress(file.read(min(HEAD_LIMIT, size - at)), 7).startswith(b"WARC/1.")
+    except zlib.error:
+        return False
+
+
 def member(file, at: int, size: int) -> tuple[int, dict[str, str], bytes] | None:
     """(end, headers, block) of the record that starts at `at`, or None if none does."""
     decoder, data, pos, checked = zlib.decompressobj(31), bytearray(), at, False
@@ -131,10 +142,8 @@ def member(file, at: int, size: int) -> tuple[int, dict[str, str], bytes] | None
     except zlib.error:
         return None
     end = pos - len(decoder.unused_data)
-    if end < size:
-        file.seek(end)
-        if file.read(min(3, size - end)) != MAGIC:
-            return None
+    if end < size and not opens_record(file, end, size):
+        return None
     cut = data.find(b"\r\n\r\n")
     headers = _head(bytes(data[:cut]))[1]
     block = bytes(data[cut + 4 :])
@@ -198,7 +207,8 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES)
     """Records of all *.warc.gz files below a folder, read in ranges of `split_bytes`.
 
     Columns: path, member_start, headers, http_headers, and payload (null for revisits). An empty folder or
-    empty files give no rows; members that are no records are passed over; a payload that does not
+    empty files give no rows; members that are no records are passed over, with the record
+    right before them; a payload that does not
     match its digest stops the job.
     """
     files = (
