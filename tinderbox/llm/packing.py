@@ -12,10 +12,12 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,68 +33,85 @@ BRANCHES = 4
 CACHED_WORDS = 600_000
 
 
+def ragged(flat: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs number `at` of a ragged array, one after the other, and their lengths."""
+    first, lengths = starts[at], starts[at + 1] - starts[at]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(first - ends + lengths, lengths) + np.arange(total)], lengths
+
+
+def cut_stops(words: list[str]) -> tuple[list[str], list[str]]:
+    """Words without, and of, the stops at their ends, where only Latin letters stand before these; words
+    of plain letters in lower case. Other words stay whole."""
+    whole = pa.array(words, pa.string())
+    cut = pc.extract_regex(whole, "(?s)^(?P<core>.*?)(?P<tail>[.,]*)$")
+    core, tail = cut.field("core"), cut.field("tail")
+    letters = pc.match_substring_regex(core, "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$")
+    cased = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core)
+    return pc.if_else(letters, cased, whole).to_pylist(), pc.if_else(letters, tail, "").to_pylist()
+
+
 class WordIds:
     """Token ids of texts through a cache of words.
 
     White space always separates tokens and is dropped by this kind of tokenizer, so a text's ids are
-    those of its words; each distinct word is encoded once while the cache lasts. Lower case and
-    final stops of plain letters are taken off first, as the tokenizer separates them too.
+    those of its words. A word of letters that ends in stops is cut before these, as the tokenizer does,
+    and words of plain letters are lower-cased; each distinct part is encoded once while the cache lasts.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_file(path)
+        # For a-z alone, normalizing changes nothing and there is nothing to split.
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.parts: list[np.ndarray] = []
-        self.flat = np.empty(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        self.part_at: dict[str, int] = {"": 0}
+        self.parts, self.part_starts = np.empty(0, np.uint32), np.zeros(2, np.int64)
+        self.word_at: dict[bytes, int] = {}
+        self.words, self.word_starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn_parts(self, plain: list[str], other: list[str]) -> None:
+        found = [e.ids for e in self.letters.encode_batch_fast(plain, add_special_tokens=False)]
+        found += [e.ids for e in self.whole.encode_batch_fast(other, add_special_tokens=False)]
+        self.parts = np.concatenate([self.parts, np.fromiter(chain.from_iterable(found), np.uint32)])
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        self.part_starts = np.concatenate([self.part_starts, self.part_starts[-1] + ends])
+        base = len(self.part_at)
+        self.part_at.update(zip([*plain, *other], range(base, base + len(found)), strict=True))
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.place) + len(words) > CACHED_WORDS:
+        new = list(words - self.word_at.keys())
+        if len(self.word_at) + len(new) > CACHED_WORDS:
             self.clear()
             new = list(words)
-        else:
-            new = [w for w in words if w not in self.place]
         if not new:
             return
-        cores: dict[str, int] = {}
-        uses: list[tuple[int, int]] = []
-        for w in new:
-            word = w.decode("utf-8", "replace")
-            core = word.rstrip(".,")
-            tail = word[len(core) :]
-            if not (core.isalpha() and max(core) < "\u0250"):  # only where what a letter is leaves no doubt
-                core, tail = word, ""
-            elif core.isascii():
-                core = core.lower()
-            a = cores.setdefault(core, len(cores))
-            b = cores.setdefault(tail, len(cores)) if tail else -1
-            uses.append((a, b))
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(list(cores), add_special_tokens=False)]
-        found = [ids[a] + ids[b] if b >= 0 else ids[a] for a, b in uses]
-        base = len(self.place)
-        self.place.update(zip(new, range(base, base + len(new)), strict=True))
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for f in found for i in f), np.uint32, int(lengths.sum()))])
+        cores, tails = cut_stops([w.decode("utf-8", "replace") for w in new])
+        missing = pa.array(set(cores).union(tails) - self.part_at.keys(), pa.string())
+        plain = pc.match_substring_regex(missing, "^[a-z]+$")
+        self._learn_parts(missing.filter(plain).to_pylist(), missing.filter(pc.invert(plain)).to_pylist())
+        at = np.empty(2 * len(new), np.int64)
+        at[::2] = np.fromiter(map(self.part_at.__getitem__, cores), np.int64, len(new))
+        at[1::2] = np.fromiter(map(self.part_at.__getitem__, tails), np.int64, len(new))
+        ids, lengths = ragged(self.parts, self.part_starts, at)
+        self.words = np.concatenate([self.words, ids])
+        self.word_starts = np.concatenate([self.word_starts, self.word_starts[-1] + np.cumsum(lengths[::2] + lengths[1::2])])
+        base = len(self.word_at)
+        self.word_at.update(zip(new, range(base, base + len(new)), strict=True))
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         split = [t.split() for t in texts]
-        self.learn(set().union(*split) if split else set())
+        self.learn(set().union(*split))
         for words in split:
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            starts, lengths = self.starts[at], self.starts[at + 1] - self.starts[at]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            ids = np.empty(total + 1, np.uint32)
-            ids[:total] = self.flat[np.repeat(starts - ends + lengths, lengths) + np.arange(total)]
-            ids[total] = END_ID
-            yield ids
+            ids, _ = ragged(self.words, self.word_starts, np.fromiter(map(self.word_at.__getitem__, words), np.int64, len(words)))
+            yield np.append(ids, np.uint32(END_ID))
 
 
 def cutter(path: str, capacity: int) -> Callable:
