@@ -55,7 +55,8 @@ def brute_components(rows, size, percent):
 
 
 @pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
-def test_near_duplicates(spark, size, percent):
+def test_near_duplicates(spark, monkeypatch, size, percent):
+    monkeypatch.setattr(near_dedup, "GROUP_BLOCK", 128 if size == 5 else 7)
     rng = random.Random(size)
     texts = [t for _ in range(4) for t in variants(rng, 25)] + ["", None, "one", "One", "two words", "TWO words", "a b c", "x " * 40, "é " * 40]
     rows = list(enumerate(texts)) + [(3, texts[3]), (4, texts[90]), (None, texts[5]), (None, None)]

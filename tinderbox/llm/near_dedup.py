@@ -4,9 +4,10 @@ All signature coordinates come from two permutations: the first scatters shingle
 2**32 places, the second ranks the places, and coordinate k uses the second one shifted by k. Bands are
 chosen so that a pair at the threshold is missed with a chance below MISS.
 
-Equal sets are one class from the start. In each bucket the classes are compared with the smallest one,
-true links are contracted to components, and only classes of one bucket that are still apart are
-compared with each other; so a bucket of copies costs as many comparisons as it has members.
+Equal sets are one class from the start. In each bucket the classes are compared with the one of the smallest
+id, and true links are contracted to components. Only where members of one star are still apart are they
+compared with each other: in blocks of GROUP_BLOCK sets, whose intersections are one matrix product, so
+that pairs exist only inside a task. This last step grows with the square of such a star.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ MISS = 1e-6
 SCATTER = np.uint64(0x9E3779B97F4A7C15)
 RANK_STEP = np.uint32(0x9E3779B1)
 BLOCK = 256
+GROUP_BLOCK = 128
+COLUMNS = 4096
 
 
 def bands_for(percent: int, coordinates: int = COORDINATES, miss: float = MISS) -> tuple[int, int]:
@@ -112,6 +115,67 @@ def _shingler(size: int) -> Callable:
     return shingle
 
 
+def spanning_links(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between sets that join what the labels keep apart; of links between the same two labels,
+    or labels joined before, one is enough."""
+    sizes = np.array([len(s) for s in sets])
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    seen = np.bincount(at, minlength=len(values))
+    column = np.cumsum(seen > 1) - 1  # shingles of one set alone are in no intersection
+    row = np.repeat(np.arange(len(sets)), sizes)
+    row, at = row[seen[at] > 1], column[at[seen[at] > 1]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        low, high = np.searchsorted(at, (start, start + COLUMNS))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[row[low:high], at[low:high] - start] = 1
+        common += held @ held.T
+    union = sizes[:, None] + sizes[None, :] - common
+    linked = (100 * common >= percent * union) & (labels[:, None] != labels[None, :])
+    root = {int(x): int(x) for x in labels}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    out = []
+    for a, b in zip(*np.nonzero(np.triu(linked)), strict=True):
+        x, y = find(int(labels[a])), find(int(labels[b]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((int(a), int(b)))
+    return out
+
+
+def _comparer(percent: int) -> Callable:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, labels, sets = None, [], [], []
+
+        def links() -> pa.RecordBatch:
+            found = spanning_links(sets, np.array(labels), percent) if len(set(labels)) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([nodes[p[k]] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            shingles = batch.column("shingles")
+            flat, ends = shingles.flatten().to_numpy(), np.cumsum(shingles.value_lengths().to_numpy())
+            keys = zip(*(batch.column(c).to_pylist() for c in ("first", "i", "j")), strict=True)
+            for at, (group, node, label) in enumerate(zip(keys, batch.column("node").to_pylist(), batch.column("component").to_pylist(), strict=True)):
+                if group != key:
+                    if key is not None:
+                        yield links()
+                    key, nodes, labels, sets = group, [], [], []
+                nodes.append(node)
+                labels.append(label)
+                sets.append(flat[ends[at - 1] if at else 0 : ends[at]].copy())
+        if key is not None:
+            yield links()
+
+    return compare
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links) and
     kept (it is that id).
@@ -157,7 +221,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         return pairs.join(a, "a").join(b, "b").where(true_link).select("a", "b")
 
     sizes = crowded.select(F.col("node").alias("first"), F.col("n_shingles").alias("first_size")).distinct()
-    stars = (
+    pairs = (
         crowded.where("node <> first")
         .select("first", "node", "n_shingles").distinct()
         .join(sizes, "first")
@@ -166,19 +230,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     )
     split_ids = members.groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("doc_id")
     same_id = members.join(split_ids, "doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    found = components(confirmed(stars).unionByName(same_id))
+    found = components(confirmed(pairs).unionByName(same_id))
     labelled = materialize(
-        crowded.drop("first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled"
+        crowded.select("first", "node").distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled"
     )
-    apart = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-    mixed = labelled.join(apart, "bucket", "left_semi")
-    left = mixed.select("bucket", F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca"))
-    right = mixed.select("bucket", F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("component").alias("cb"))
-    open_pairs = (
-        left.join(right, "bucket").where((F.col("ca") < F.col("cb")) & compatible("na", "nb")).select("a", "b").distinct()
-        .join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    stars = labelled.select("first", "node", "component").distinct()
+    mixed = stars.groupBy("first").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("n")
+    ).where("x < y").drop("x", "y")
+    block = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
+    meeting = (
+        stars.join(mixed, "first").withColumn("block", block).join(sets, "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+        .select("first", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "shingles")
     )
-    late = materialize(confirmed(open_pairs), "late-links")
+    meeting = meeting.repartition("first", "i", "j").sortWithinPartitions("first", "i", "j")
+    late = materialize(meeting.mapInArrow(_comparer(percent), "a long, b long"), "late-links")
     roots = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = components(late.unionByName(roots)).select("node", "component")
     by_doc = members.join(final, "node", "left").select(
