@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tinderbox.sources.tables import spread_small
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -180,7 +179,7 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql}
     if "events" in used:
         slim = used["events"].select("event_id", "ts", "user_id", "event_type", "value")
-        used["events"] = spread_small(slim)
+        used["events"] = slim
     return spark.sql(sql, **used)
 
 

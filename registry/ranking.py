@@ -96,11 +96,10 @@ def _(spark, d):
 
 @query(
     "place_name_table",
-    f"""WITH {_NAMES}, t AS (SELECT *, ln(1 + cnt) AS l, cnt / sum(cnt) OVER () AS fraction FROM n),
-    k AS (SELECT * FROM t ORDER BY cnt DESC, geo_full_name NULLS FIRST LIMIT 9000)
-    SELECT geo_full_name, cnt, {R('l')} AS log_1p_cnt, {R('fraction')} AS fraction,
-      {R('sum(fraction) OVER (ORDER BY cnt DESC, geo_full_name NULLS FIRST ROWS UNBOUNDED PRECEDING)')} AS fraction_cumsum
-    FROM k""",
+    f"""WITH {_NAMES}, t AS (SELECT *, coalesce('=' || geo_full_name, 'null') AS k FROM n)
+    SELECT geo_full_name, cnt, {R('ln(1 + cnt)')} AS log_1p_cnt, {R('cnt / sum(cnt) OVER ()')} AS fraction,
+      {R("""sum(cnt) OVER (ORDER BY cnt DESC, substr(md5(k), 1, 3), k ROWS UNBOUNDED PRECEDING)
+        / sum(cnt) OVER ()""")} AS fraction_cumsum FROM t""",
 )
 def _(spark, d):
     return rounded(gold.place_names(bronze(spark, d)))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
 from datetime import date
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -25,6 +29,20 @@ def feed_lines(rows: DataFrame, names: list[str] | None = None) -> DataFrame:
     return rows.select(F.concat_ws("\t", *cells).alias("value"))
 
 
+def pack(lines: DataFrame, member: str = "part.csv") -> DataFrame:
+    """Zip lines into (path, length, content) rows, one archive per Arrow batch."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(member, "\n".join(pdf["value"]))
+            data = buffer.getvalue()
+            yield pd.DataFrame({"path": [member], "length": [len(data)], "content": [data]})
+
+    return lines.select("value").mapInPandas(run, "path string, length bigint, content binary")
+
+
 _SHOWN = """ev_id, ev_date, a1_name, a2_geo_country_code, ev_code, quad_class, num_mentions,
     action_geo_full_name, date_added, source_url"""
 _SHOWN_SQL = f"""WITH {BRONZE_SQL} SELECT {_SHOWN}, {R('gstein_scale')} AS gstein_scale,
@@ -45,7 +63,7 @@ def _(spark, d):
 
 @query("zip_scan", _SHOWN_SQL)
 def _(spark, d):
-    packed = archives.pack(feed_lines(bronze(spark, d)))
+    packed = pack(feed_lines(bronze(spark, d)))
     lines = archives.unpack(packed, EVENTS.header).where("error IS NULL")
     return _shown(delimited.parse_lines(lines.select("value"), EVENTS.schema))
 

@@ -164,7 +164,6 @@ def test_sentence_spacing(spark):
 def test_prompt(spark):
     template = "\n    Shorten:\n    {news_text}\n"
     assert one(spark, "abc", lambda c: text.build_prompt(template, c)) == "\nShorten:\nabc\n"
-    assert one(spark, "abc", lambda c: text.build_prompt(template, c, 2)) == "\nShorten:\nab\n"
 
 
 @pytest.mark.parametrize(

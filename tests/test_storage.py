@@ -1,5 +1,6 @@
 """Sources, sinks, streaming and the daily job on small files."""
 
+import hashlib
 import io
 import zipfile
 from datetime import date, datetime, timedelta, timezone
@@ -11,8 +12,8 @@ from registry import base, fixtures as fx
 from registry.external import digest_completer, label_completer
 from registry.storage import feed_lines
 from tinderbox.functions.text import url_hash
-from tinderbox.operators import embedding
-from tinderbox.plans import daily, silver
+from tinderbox.operators import embedding, external
+from tinderbox.plans import daily, gold, silver
 from tinderbox.schemas import feed
 from tinderbox.sinks import storage, writers
 from tinderbox.sources import archives, catalog, delimited, dictionaries, tables
@@ -50,11 +51,9 @@ def test_archives(spark, tmp_path):
     write_zip(tmp_path / "20240104.gkg.csv.zip", ["no member"], member="readme.txt")
     (tmp_path / "20240105.gkg.csv.zip").write_bytes(b"")
     (tmp_path / "20240106.gkg.CSV.zip").write_bytes(b"broken")
-    rows = archives.scan_archives(spark, str(tmp_path), GKG)
+    rows, errors = archives.scan_archives(spark, str(tmp_path), GKG)
     assert sorted(r.num_articles for r in rows.collect()) == [3, 4, 5]
-    found = archives.find_archives(spark, str(tmp_path), GKG)
-    errors = archives.unpack(found, GKG.header).where("error IS NOT NULL").collect()
-    assert sorted(r.path[-20:-8] for r in errors) == ["20240104.gkg", "20240106.gkg"]
+    assert sorted(r.path[-20:-8] for r in errors.collect()) == ["20240104.gkg", "20240106.gkg"]
     with pytest.raises(FileNotFoundError):
         archives.scan_archives(spark, str(tmp_path), EVENTS)
 
@@ -200,8 +199,143 @@ def test_streamed_archives_are_read_once(spark, tmp_path):
     for expected in ([3], [3], [3, 4]):
         if expected == [3, 4]:
             write_zip(src / "20240102.gkg.csv.zip", [header, "20240102\t4" + "\t" * 9])
-        ingest.ingest_available(ingest.stream_archives(spark, str(src), GKG), dest, mark, "pub_date")
+        (src / "20240103.gkg.csv.zip").write_bytes(b"broken")
+        rows, errors = ingest.stream_archives(spark, str(src), GKG)
+        ingest.ingest_available(rows, dest, mark, "pub_date")
+        ingest.ingest_available(errors, dest + "-errors", mark + "-errors")
         assert sorted(r.num_articles for r in spark.read.parquet(dest).collect()) == expected
+        assert [r.path[-20:] for r in spark.read.parquet(dest + "-errors").collect()] == ["20240103.gkg.csv.zip"]
+
+
+def zipped(lines, damage=False):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x.CSV", "\n".join(lines))
+    data = bytearray(buffer.getvalue())
+    if damage:
+        data[len(data) // 2] ^= 255
+    return bytes(data)
+
+
+def test_ingest_loses_nothing(spark, sf, tmp_path):
+    """Damaged, absent and empty files, files that differ from their checksum, and their repair."""
+    lake, folder = daily.Lake(str(tmp_path / "lake")), tmp_path / "feed"
+    folder.mkdir()
+    lines = [r.value for r in feed_lines(base.bronze(spark, sf).orderBy("ev_id")).limit(3000).collect()]
+
+    def dated(day):
+        return ["\t".join([*line.split("\t")[:56], str(day), *line.split("\t")[57:]]) for line in lines]
+
+    good = {day: zipped(dated(day)) for day in range(20240101, 20240107)}
+    sums = {day: hashlib.md5(data).hexdigest() for day, data in good.items()}
+    entries = [(str(d), f"{d}.export.CSV.zip", "1", sums[d], "u", "events") for d in good]
+    listing = spark.createDataFrame(entries, "date_str string, filename string, size_mb string, md5 string, full_url string, event_type string")
+    delivered = {**good, 20240102: b"broken", 20240103: zipped(dated(20240103), damage=True), 20240105: b"", 20240106: zipped(["other"])}
+    for day, data in delivered.items():
+        if day != 20240104:
+            (folder / f"{day}.export.CSV.zip").write_bytes(data)
+    (folder / "20231231.export.CSV.zip").write_bytes(good[20240101])  # not listed, so never opened
+    run = (spark, lake, "events", str(folder), listing, date(2024, 1, 1), date(2024, 1, 31))
+    assert daily.ingest(*run) == {"landed": 2, "damaged": 3, "absent": 1}
+
+    def landed():
+        return {r.date_added: r["count"] for r in lake.read(spark, "bronze_events").groupBy("date_added").count().collect()}
+
+    assert landed() == {20240101: len(lines)}
+    errors = {r.filename[:8]: r.error for r in lake.read(spark, "bronze_ingest_errors").collect()}
+    assert sorted(errors) == ["20240102", "20240103", "20240104", "20240106"] and errors["20240104"] == "absent"
+    assert daily.ingest(*run) == {"landed": 0, "damaged": 3, "absent": 1}
+    for day in (20240102, 20240103, 20240104, 20240106):
+        (folder / f"{day}.export.CSV.zip").write_bytes(good[day])
+    assert daily.ingest(*run) == {"landed": 4, "damaged": 0, "absent": 0}
+    assert landed() == {d: len(lines) for d in good if d != 20240105}
+    assert lake.read(spark, "bronze_scraping_checkpoints").count() == 6
+    plan = archives.unpack(archives.read_archives(spark, [str(folder)]), False)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_archive_lines_are_all_or_none(spark, tmp_path):
+    lines = [f"{i}\t{'é' * (i % 7)}" for i in range(200_000)]
+    (tmp_path / "a.zip").write_bytes(zipped(["head", *lines]))
+    (tmp_path / "b.zip").write_bytes(zipped(["head", *lines], damage=True))
+    out = archives.unpack(archives.read_archives(spark, [str(tmp_path)]), True)
+    assert [r.value for r in out.where("error IS NULL").collect()] == lines
+    assert [r.path[-5:] for r in out.where("error IS NOT NULL").collect()] == ["b.zip"]
+
+
+def test_unreadable_partition_values_are_set_aside(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "id int, p int")
+
+    first, second = frame([(1, 5), (2, None)]), frame([(3, 6), (4, None), (4, None)])
+    for _round in range(2):
+        writers.replace_present(first, path, "p")
+        writers.replace_present(second, path, "p")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 3]
+    assert sorted(r.id for r in spark.read.parquet(writers.unreadable_path(path)).collect()) == [2, 4, 4]
+    assert writers.replace_observed(frame([(7, 6), (8, None)]), path, "p") == (6, 6)
+    writers.replace_range(frame([(9, 5), (10, None)]), path, "p", 5, 6)
+    assert [r.id for r in spark.read.parquet(path).collect()] == [9]
+    assert sorted(r.id for r in spark.read.parquet(writers.unreadable_path(path)).collect()) == [2, 4, 4, 8, 10]
+    writers.replace_values(frame([(11, 7)]), path, "p", [5, 7])
+    assert [r.id for r in spark.read.parquet(path).collect()] == [11]
+
+
+def test_upsert_touches_only_its_buckets(spark, tmp_path):
+    root = str(tmp_path / "u")
+    writers.upsert(spark.range(500).selectExpr("id", "0 as v"), root, ["id"])
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet") if p.is_file()}
+    ties = spark.createDataFrame([(7, 2), (7, 1), (900, 3)], "id long, v int")
+    got = [{r.id: r.v for r in writers.upsert(ties, root, ["id"]).collect()} for _ in range(2)]
+    assert got[0] == got[1] and len(got[0]) == 501 and got[0][900] == 3 and got[0][8] == 0
+    same = [p for p in before if p.exists() and p.stat().st_mtime_ns == before[p]]
+    assert len(same) >= len(before) - 4
+    assert writers.upsert(ties.limit(0), root, ["id"]).count() == 501
+
+
+def test_rebuild_keeps_readers(spark, tmp_path):
+    root = str(tmp_path / "s")
+    for n in (3, 4, 5, 6):
+        assert writers.rebuild(spark.range(n), root).count() == n
+    assert writers.latest_snapshot(spark, root).count() == 6
+    assert storage.partition_values(spark, root, "snapshot") == ["3", "4"]
+
+
+def test_urls_are_fetched_once(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def fetcher(url):
+        import uuid
+
+        (log / uuid.uuid4().hex).write_text(url)
+        return (200, f"<p>{url}</p>", None) if url != "bad" else (500, None, "server")
+
+    wanted = spark.createDataFrame([("a", date(2024, 1, 1)), ("a", date(2024, 1, 2)), ("bad", date(2024, 1, 1)), ("kept", date(2024, 1, 1))], "u string, d date")
+    known = spark.createDataFrame([("kept", 1, 200, "<p>old</p>", None)], "u string, response_id long, status_code long, html string, request_err string")
+    known = known.withColumn("url_hash", url_hash(F.col("u"))).drop("u")
+    got = {(r.source_url, str(r.part_date)): r.scraped_text for r in external.scrape(wanted, known, "u", "d", fetcher).collect()}
+    assert len(got) == 4 and got["bad", "2024-01-01"] is None and got["kept", "2024-01-01"].strip() == "old"
+    assert sorted(p.read_text() for p in log.iterdir()) == ["a", "bad"]
+
+
+def test_encoder_sees_each_text_once(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    plain = embedding.hashed_words(8)
+
+    def counting(texts):
+        import uuid
+
+        (log / uuid.uuid4().hex).write_text(str(len(texts)))
+        return plain(texts)
+
+    rows = spark.range(600).selectExpr("concat('text ', id % 200) as t")
+    cache, _, _ = embedding.build_cache(rows, "t", "v", counting, 3, "about ")
+    assert cache.count() == 200 and cache.distinct().count() == 200
+    assert sum(int(p.read_text()) for p in log.iterdir()) == 200
 
 
 def test_daily_job(spark, sf, tmp_path):
@@ -215,7 +349,7 @@ def test_daily_job(spark, sf, tmp_path):
     for r in by_day:
         name = f"{r.day}.export.CSV.zip"
         write_zip(folder / name, r.v)
-        entries.append((r.day, name, "1", "0", name, "events"))
+        entries.append((r.day, name, "1", hashlib.md5((folder / name).read_bytes()).hexdigest(), name, "events"))
     names = "date_str string, filename string, size_mb string, md5 string, full_url string, event_type string"
     files = spark.createDataFrame(entries, names)
     start, end = date(2024, 1, 1), date(2024, 1, 31)
@@ -227,12 +361,22 @@ def test_daily_job(spark, sf, tmp_path):
         url_hash(F.col("source_url")).alias("url_hash"), F.lit(200).alias("status_code"), "html",
         F.lit(None).cast("string").alias("request_err"), F.col("page_id").alias("response_id"),
     )
+    writers.append(fx.view(spark, sf, fx.BRONZE_GKG), lake.path("bronze_gkg"), "pub_date")
+    writers.append(fx.view(spark, sf, fx.BRONZE_COUNTS), lake.path("bronze_gkgcounts"), "pub_date")
+    whole = gold.heat_by_location(gold.heat_by_event(silver.silver_events(rows, d)))
     counts = []
     for force in (False, True):
         daily.ingest(spark, lake, "events", str(folder), files, start, date(2024, 1, 10), force)
         daily.ingest(spark, lake, "events", str(folder), files, start, end, force)
         daily.refresh_silver(spark, lake, d, start, end)
         daily.refresh_heat(spark, lake, start, end)
+        daily.refresh_root_heat(spark, lake, d, start, end)
+        daily.refresh_country_tables(spark, lake, d, start, end)
+        daily.refresh_silver_gkg(spark, lake, date(2024, 1, 1), end)
+        daily.refresh_silver_counts(spark, lake, d, date(2024, 1, 1), end)
+        daily.refresh_place_tables(spark, lake, d)
+        daily.refresh_zone_forecast(spark, lake)
+        daily.refresh_embedding_caches(spark, lake, d, embedding.hashed_words(8), 8)
         daily.refresh_forecast(spark, lake, end)
         daily.refresh_top_news(spark, lake, responses, start, end)
         daily.refresh_summaries(
@@ -241,11 +385,16 @@ def test_daily_job(spark, sf, tmp_path):
         daily.refresh_embeddings(spark, lake, embedding.hashed_words(8), start, end)
         tables_ = ["bronze_events", "bronze_scraping_checkpoints", "silver_events", "heat_indicator_by_event",
                    "heat_indicator_by_date_location", "heat_indicator_by_date_location_forecast_7d",
-                   "scraping_results", "summary_results", "event_embeddings"]
+                   "scraping_results", "summary_results", "event_embeddings", "heat_indicator_by_event_root",
+                   *daily.COUNTRY_TABLES, "silver_gkg", "silver_gkgcounts", "scraping_responses"]
+        rebuilt = ["geo_locations_helper", "geo_zones_helper", "zone_heat_series", "country_embeddings",
+                   "event_description_embeddings", "place_embeddings"]
         counts.append([lake.read(spark, t).count() for t in tables_])
+        counts[-1] += [writers.latest_snapshot(spark, lake.path(t)).count() for t in rebuilt]
     assert counts[0] == counts[1]
     assert counts[0][0] == counts[0][2] == counts[0][8] == rows.count() and counts[0][1] == len(by_day)
     assert all(counts[0])
+    assert lake.read(spark, "heat_indicator_by_date_location").count() == whole.count()
     for _round in range(2):  # the second run finds nothing to label
         labels = daily.refresh_labels(spark, lake, "Label:\n{news_text}", label_completer, "m1", {"max_tokens": 9})
         texts = lake.read(spark, "scraping_results").where("scraped_text is not null")

@@ -81,11 +81,10 @@ def outdent(text: Column, width: int) -> Column:
     return F.regexp_replace(text, f"(?md)^ {{{width}}}", "")
 
 
-def build_prompt(template: str, text: Column, max_chars: int | None = None) -> Column:
-    """Put a text into the `{news_text}` slot; `max_chars` is the model's input limit, if any."""
+def build_prompt(template: str, text: Column) -> Column:
+    """Put a whole text into the `{news_text}` slot; a model with an input limit answers with an error."""
     before, after = template.split("{news_text}")
-    body = text if max_chars is None else F.substring(text, 1, max_chars)
-    return outdent(F.concat(F.lit(before), body, F.lit(after)), indent_of(template))
+    return outdent(F.concat(F.lit(before), text, F.lit(after)), indent_of(template))
 
 
 def template_hash(template: str) -> str:

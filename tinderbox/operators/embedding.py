@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tinderbox.schemas import ddl
+from tinderbox.session import new_dir
 
 Encoder = Callable[[pd.Series], np.ndarray]
 
@@ -90,11 +91,16 @@ def build_cache(
 ) -> tuple[DataFrame, PCAModel, list[float]]:
     """Reduced vector per distinct text, with the model and mean that reduce further texts.
 
-    `prefix` is put before each text for encoding only; the cache is keyed by the text.
+    `prefix` is put before each text for encoding only; the cache is keyed by the text. The vectors are written
+    to a table below the shared folder first, so the encoder sees each distinct text once. Fewer
+    components than `k` remain if the encoder gives fewer dimensions.
     """
     worded = df.select(text).where(F.col(text).isNotNull()).distinct()
     worded = worded.withColumn("__worded", F.concat(F.lit(prefix), F.col(text)))
-    vectors = embed(worded, "__worded", vector, encoder).select(text, vector)
+    encoded = embed(worded, "__worded", vector, encoder).select(text, vector)
+    path = new_dir(df.sparkSession, "vectors")
+    encoded.write.parquet(path)
+    vectors = df.sparkSession.read.schema(encoded.schema).parquet(path)
     model, mean = fit_pca(vectors, vector, k), centre(vectors, vector)
     reduced = reduce_dims(vectors, vector, model, mean, "__reduced")
     return reduced.select(text, F.col("__reduced").alias(vector)), model, mean

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tinderbox.functions import text as X
 from tinderbox.operators.joins import cached_responses, pending
 from tinderbox.schemas import ddl
+from tinderbox.session import new_dir
 
 # url -> (status code, body or None, error or None)
 Fetcher = Callable[[str], tuple[int, str | None, str | None]]
@@ -47,13 +48,40 @@ def is_success(status: Column, body: Column) -> Column:
     return status.between(200, 299) & (F.length(body) > 0)
 
 
+RESPONSE_COLUMNS = ["url_hash", "response_id", "status_code", "html", "request_err"]
+
+
+def fetch_missing(wanted: DataFrame, responses: DataFrame, url: str, fetcher: Fetcher = offline) -> DataFrame:
+    """Responses of the wanted urls that have none yet, in the columns of the store.
+
+    Each distinct url is fetched once, however many days want it. Store the result before reading it: every
+    read of this frame would fetch again.
+    """
+    distinct = wanted.select(url).where(F.col(url).isNotNull()).distinct().withColumn("url_hash", X.url_hash(F.col(url)))
+    misses = distinct.join(responses.select("url_hash"), "url_hash", "left_anti")
+    got = fetch(misses, url, fetcher)
+    return got.withColumn("response_id", F.xxhash64("url_hash", "status_code", "html")).select(*RESPONSE_COLUMNS)
+
+
 def scrape(
     wanted: DataFrame, responses: DataFrame, url: str, day: str, fetcher: Fetcher = offline
 ) -> DataFrame:
     """Page text per wanted url, from stored responses where possible, fetched otherwise.
 
-    `responses` has url_hash, status_code, html, request_err and response_id.
+    `responses` has url_hash, status_code, html, request_err and response_id. Fetched responses are
+    written to a table first, so that no url is fetched twice; keep them with `fetch_missing` instead where a
+    later run shall find them.
     """
+    fresh = fetch_missing(wanted, responses, url, fetcher)
+    path = new_dir(wanted.sparkSession, "responses")
+    fresh.write.parquet(path)
+    fresh = wanted.sparkSession.read.schema(fresh.schema).parquet(path)
+    stored = responses.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fresh.schema])
+    return page_texts(wanted, stored.unionByName(fresh), url, day)
+
+
+def page_texts(wanted: DataFrame, responses: DataFrame, url: str, day: str) -> DataFrame:
+    """Page text per wanted url and day from the store; a url without a response has none."""
     hashed = wanted.select(url, F.col(day).alias("part_date")).withColumn(
         "url_hash", X.url_hash(F.col(url))
     )
@@ -62,13 +90,8 @@ def scrape(
         is_success(F.col("status_code"), F.col("html")).alias("ok"),
     )
     looked_up = cached_responses(hashed, stored, "url_hash", "ok", "response_id")
-    names = [url, "part_date", "url_hash", "status_code", "html", "request_err"]
-    hits = looked_up.where("is_hit").select(*names)
-    misses = hashed.join(responses.select("url_hash"), "url_hash", "left_anti")
-    fetched = fetch(misses.select(url, "part_date", "url_hash"), url, fetcher).select(*names)
-
     ok = is_success(F.col("status_code"), F.col("html"))
-    page = hits.unionByName(fetched).withColumn("scraped_text", F.when(ok, X.extract_text("html")))
+    page = looked_up.where("is_hit").withColumn("scraped_text", F.when(ok, X.extract_text("html")))
     return page.select(
         F.col(url).alias("source_url"),
         "scraped_text",
@@ -117,8 +140,8 @@ def summarize(
     params: dict[str, int | str | None],
     slots: int | None = None,
 ) -> DataFrame:
-    """Summary per text; `params['input_trunc_len']` is the model's input limit, if any."""
-    prompt = X.build_prompt(template, F.col(text_col), params.get("input_trunc_len"))
+    """Summary per text; the whole text goes into the prompt."""
+    prompt = X.build_prompt(template, F.col(text_col))
     asked = texts.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("ext_id"), F.col(day_col).alias("part_date"), prompt.alias("prompt")
     )
@@ -144,7 +167,6 @@ def label(
     completer: Completer,
     model: str,
     params: dict[str, int | str | None],
-    limit: int | None = None,
 ) -> DataFrame:
     """Labels for texts that have none yet for this template and model.
 
@@ -153,14 +175,12 @@ def label(
     """
     tmpl = X.template_hash(template)
     done = labels.where((F.col("prompt_tmpl_hash") == tmpl) & (F.col("model") == model))
-    todo = pending(texts.select(id_col, text_col), done, id_col, text_col, limit)
-    limit_chars = params.get("max_text_len")
-    body = F.col(text_col) if limit_chars is None else F.substring(text_col, 1, limit_chars)
+    todo = pending(texts.select(id_col, text_col), done, id_col, text_col)
     as_json = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in params.items()]))
     asked = todo.select(
         id_col,
-        X.build_prompt(template, F.col(text_col), limit_chars).alias("prompt"),
-        X.hash_prefix(32, F.lit(tmpl), body, F.lit(model), as_json).alias("label_hash"),
+        X.build_prompt(template, F.col(text_col)).alias("prompt"),
+        X.hash_prefix(32, F.lit(tmpl), F.col(text_col), F.lit(model), as_json).alias("label_hash"),
     )
     answered = complete(asked, "prompt", "completion", completer)
     topics = X.completion_topics(F.col("completion"))

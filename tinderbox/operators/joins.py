@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,19 +25,22 @@ def not_yet_done(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame
     return work.join(done.select(*keys), keys, "left_anti")
 
 
-def pending(
-    work: DataFrame, done: DataFrame, key: str, needs: str, limit: int | None = None
-) -> DataFrame:
-    """Unfinished rows that have their input; with a limit, the first ones in key order."""
-    todo = not_yet_done(work.where(F.col(needs).isNotNull()), done, [key])
-    return todo if limit is None else todo.orderBy(key).limit(limit)
+def pending(work: DataFrame, done: DataFrame, key: str, needs: str) -> DataFrame:
+    """Unfinished rows that have their input."""
+    return not_yet_done(work.where(F.col(needs).isNotNull()), done, [key])
 
 
 def prefer_success(responses: DataFrame, key: str, success: str, tie: str) -> DataFrame:
-    """One response per key: a successful one if there is any."""
-    order = [F.col(success).desc_nulls_last(), F.col(tie)]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return responses.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    """One response per key: a successful one if there is any, then the one with the smallest `tie`.
+
+    Only (key, success, tie) are ranked, by an aggregate that combines before the shuffle; the bodies of the winners
+    are joined back.
+    """
+    failed = F.coalesce(~F.col(success), F.lit(True)).alias("__failed")
+    best = responses.groupBy(key).agg(F.min(F.struct(failed, F.col(tie).alias("__tie"))).alias("__best"))
+    winners = best.select(F.col(key).alias("__key"), F.col("__best.__tie").alias("__tie"))
+    chosen = (F.col(key) == F.col("__key")) & F.col(tie).eqNullSafe(F.col("__tie"))
+    return responses.join(winners, chosen).drop("__key", "__tie").dropDuplicates([key])
 
 
 def cached_responses(

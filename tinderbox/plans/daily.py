@@ -8,15 +8,19 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tinderbox.functions.scalars import int_date
 from tinderbox.operators import embedding, external, ranking
 from tinderbox.operators.windows import in_int_window, in_window
 from tinderbox.plans import gold, silver
 from tinderbox.schemas import feed
 from tinderbox.session import WIDE_LOOKUPS, scoped
-from tinderbox.sinks import writers
+from tinderbox.sinks import storage, writers
 from tinderbox.sources import archives, catalog
 
 
+RESPONSES = {"url_hash": "string", "response_id": "bigint", "status_code": "bigint", "html": "string", "request_err": "string"}
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the tables live."""
@@ -30,32 +34,48 @@ class Lake:
         return spark.read.parquet(self.path(table))
 
 
+def _stored(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table that may not exist yet."""
+    return spark.read.schema(schema).parquet(path) if storage.exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def ingest(
     spark: SparkSession, lake: Lake, source: str, folder: str, listing: DataFrame,
     start: date, end: date, force: bool = False,
-) -> None:
-    """Land the window's unread archives in bronze and record them.
+) -> dict[str, int]:
+    """Land the window's unread archives in bronze and record them; numbers of files landed, damaged and absent.
 
-    Only days present in the increment are replaced, so days ingested before stay.
+    Archives are chosen by name before any is opened, read in full and compared with their listed checksum
+    before the first row lands. Only files that were read (or were empty) are recorded; damaged and
+    absent ones go to `bronze_ingest_errors` and are tried again next time. Only days present in the increment
+    are replaced, so days ingested before stay. What is gathered on the driver is names of the window's files.
     """
     spec = feed(source)
     known = lake.path("bronze_scraping_checkpoints")
-    try:
-        done = spark.read.schema(listing.schema).parquet(known)
-    except Exception as err:  # first run
-        if "PATH_NOT_FOUND" not in str(err):
-            raise
-        done = listing.limit(0)
+    done = _stored(spark, known, listing.schema)
     todo, unread = catalog.new_files(listing, done, source, start, end, force)
-    named = archives.find_archives(spark, folder, spec).withColumn(
-        "filename", F.element_at(F.split("path", "/"), -1)
-    )
-    chosen = named.join(todo.select("filename"), "filename", "left_semi")
-    lines = archives.unpack(chosen, spec.header).where(F.col("error").isNull())
-    rows = archives.parse_lines(lines.select("value"), spec.schema)
-    # The increment is written before the files are recorded: a lost run is simply repeated.
-    writers.replace_present(rows, lake.path(spec.table), spec.partition)
-    writers.append(unread.select(*listing.columns), known, "event_type")
+    wanted = {r["filename"]: r["md5"] for r in todo.select("filename", "md5").collect()}
+    there = archives.list_archives(spark, folder, spec).where(F.col("filename").isin(list(wanted)))
+    paths = {r["filename"]: r["path"] for r in there.collect()} if wanted else {}
+    checked = archives.inspect(archives.read_archives(spark, list(paths.values())), wanted)
+    faults = {r["path"].rsplit("/", 1)[-1]: r["error"] for r in checked.where("error IS NOT NULL").collect()}
+    # Spark's scans pass over files of length 0; these are there, but hold nothing.
+    empty = [name for name in wanted if name not in paths and storage.exists(spark, f"{folder}/{name}")]
+    faults |= {name: "absent" for name in wanted if name not in paths and name not in empty}
+    sound = [p for name, p in paths.items() if name not in faults]
+    if sound:
+        lines = archives.unpack(archives.read_archives(spark, sound), spec.header)
+        rows = archives.parse_lines(lines.where("error IS NULL").select("value"), spec.schema)
+        # The increment is written before the files are recorded: a lost run is simply repeated.
+        writers.replace_present(rows, lake.path(spec.table), spec.partition)
+    if sound or empty:
+        read = unread.where(F.col("filename").isin([*(n for n in paths if n not in faults), *empty]))
+        writers.append(read.select(*listing.columns), known, "event_type")
+    if faults:
+        errors = spark.createDataFrame([(source, *f) for f in sorted(faults.items())], "event_type string, filename string, error string")
+        writers.append(errors, lake.path("bronze_ingest_errors"), "event_type")
+    absent = sum(e == "absent" for e in faults.values())
+    return {"landed": len(sound) + len(empty), "damaged": len(faults) - absent, "absent": absent}
 
 
 def refresh_silver(
@@ -67,12 +87,88 @@ def refresh_silver(
         writers.replace_range(rows, lake.path("silver_events"), "date_added", start, end)
 
 
+def refresh_silver_gkg(spark: SparkSession, lake: Lake, start: date, end: date) -> None:
+    bronze = in_int_window(lake.read(spark, "bronze_gkg"), "pub_date", start, end)
+    rows = silver.silver_gkg(bronze).withColumn("pub_date", int_date(F.col("pub_date")))
+    writers.replace_range(rows, lake.path("silver_gkg"), "pub_date", start, end)
+
+
+def refresh_silver_counts(
+    spark: SparkSession, lake: Lake, d: silver.Dictionaries, start: date, end: date
+) -> None:
+    bronze = in_int_window(lake.read(spark, "bronze_gkgcounts"), "pub_date", start, end)
+    writers.replace_range(silver.silver_counts(bronze, d), lake.path("silver_gkgcounts"), "pub_date", start, end)
+
+
 def refresh_heat(spark: SparkSession, lake: Lake, start: date, end: date) -> None:
+    """Heat by event for the window, then by place for the days that this touches: an increment may
+    carry, or no longer carry, events of earlier days. Days are gathered, not events."""
+    path = lake.path("heat_indicator_by_event")
+
+    def touched() -> set[date]:
+        if not storage.exists(spark, path):
+            return set()
+        days = in_window(lake.read(spark, "heat_indicator_by_event"), "date_added", start, end)
+        return {r[0] for r in days.select("indicator_date").distinct().collect()} - {None}
+
+    before = touched()
     events = in_window(lake.read(spark, "silver_events"), "date_added", start, end)
-    writers.replace_observed(gold.heat_by_event(events), lake.path("heat_indicator_by_event"), "date_added")
-    # An increment may carry events of earlier days, so every day is aggregated again.
-    by_place = gold.heat_by_location(lake.read(spark, "heat_indicator_by_event"))
-    writers.overwrite(by_place, lake.path("heat_indicator_by_date_location"), "indicator_date")
+    writers.replace_range(gold.heat_by_event(events), path, "date_added", start, end)
+    days = sorted(before | touched())
+    if days:
+        facts = lake.read(spark, "heat_indicator_by_event").where(F.col("indicator_date").isin(days))
+        writers.replace_values(gold.heat_by_location(facts), lake.path("heat_indicator_by_date_location"), "indicator_date", days)
+
+
+def refresh_root_heat(spark: SparkSession, lake: Lake, d: silver.Dictionaries, start: date, end: date) -> None:
+    """Root events with their heat, by the day they happened."""
+    days = in_int_window(lake.read(spark, "bronze_events"), "ev_date", start, end)
+    rows = gold.root_event_heat(silver.enriched_events(days, d)).withColumn("heat_date", int_date(F.col("heat_date")))
+    writers.replace_range(rows, lake.path("heat_indicator_by_event_root"), "heat_date", start, end)
+
+
+COUNTRY_TABLES = {
+    "country_quad_class_agg": (gold.country_quad_class, "ev_date"),
+    "country_ev_root_agg": (gold.country_ev_root, "date_added"),
+    "country_ev_base_agg": (gold.country_ev_base, "ev_date"),
+}
+
+
+def refresh_country_tables(spark: SparkSession, lake: Lake, d: silver.Dictionaries, start: date, end: date) -> None:
+    """The three country aggregates for the window, each by its own day."""
+    for table, (aggregate, day) in COUNTRY_TABLES.items():
+        bronze = in_int_window(lake.read(spark, "bronze_events"), day, start, end)
+        rows = aggregate(silver.enriched_events(bronze, d)).withColumn(day, int_date(F.col(day)))
+        writers.replace_range(rows, lake.path(table), day, start, end)
+
+
+def refresh_place_tables(spark: SparkSession, lake: Lake, d: silver.Dictionaries) -> None:
+    """Places and zones of all events, rebuilt beside the tables in use."""
+    enriched = silver.enriched_events(lake.read(spark, "bronze_events"), d)
+    writers.rebuild(gold.geo_locations(enriched), lake.path("geo_locations_helper"))
+    writers.rebuild(gold.geo_zones(enriched), lake.path("geo_zones_helper"))
+
+
+def refresh_zone_forecast(spark: SparkSession, lake: Lake, horizon: int = 1, freq: str = "W") -> None:
+    """The dense series of conflict heat by zone, and its forecast from the stored series."""
+    grid, centroids = gold.zone_series(lake.read(spark, "silver_events"))
+    stored = writers.rebuild(grid, lake.path("zone_heat_series"))
+    writers.rebuild(gold.zone_forecast(stored, centroids, horizon, freq), lake.path("zone_heat_forecast"))
+
+
+def refresh_embedding_caches(
+    spark: SparkSession, lake: Lake, d: silver.Dictionaries, encoder: embedding.Encoder, dim: int
+) -> None:
+    """Reduced vectors of country names, event descriptions and place names; `dim` is the encoder's size."""
+    enriched = silver.enriched_events(lake.read(spark, "bronze_events"), d)
+    caches = {
+        "country_embeddings": (gold.country_names(enriched), "country", gold.COUNTRY_CACHE),
+        "event_description_embeddings": (gold.event_descriptions(enriched), "full_desc", gold.EVENT_CACHE),
+        "place_embeddings": (gold.place_names(enriched), "geo_full_name", gold.PLACE_CACHE),
+    }
+    for table, (names, text, how) in caches.items():
+        vectors, _, _ = embedding.build_cache(names, text, "embedding", encoder, min(how["k"], dim), how["prefix"])
+        writers.rebuild(names.join(vectors, text, "left"), lake.path(table))
 
 
 def refresh_forecast(spark: SparkSession, lake: Lake, end: date, horizon: int = 7) -> None:
@@ -88,14 +184,21 @@ def refresh_top_news(
     spark: SparkSession, lake: Lake, responses: DataFrame, start: date, end: date,
     fetcher: external.Fetcher = external.offline, top_k: int = 1,
 ) -> None:
+    """The hottest urls of the window and their page texts. `responses` are those known from elsewhere; what is
+    fetched, successes and failures, joins the store `scraping_responses`, so a rerun fetches nothing."""
     heat = in_window(lake.read(spark, "heat_indicator_by_event"), "date_added", start, end)
     chosen = lake.path("top_news_events")
     writers.replace_range(ranking.hottest_urls(heat, top_k), chosen, "date_added", start, end)
     # Written first: scraping reads the choice several times, and fetches must not depend on
     # a ranking that is computed again after a lost executor.
     top = in_window(spark.read.parquet(chosen), "date_added", start, end)
-    scraped = external.scrape(top, responses, "source_url", "date_added", fetcher)
-    writers.replace_observed(scraped, lake.path("scraping_results"), "part_date")
+    store = lake.path("scraping_responses")
+    kept = responses.select(*[F.col(n).cast(t).alias(n) for n, t in RESPONSES.items()])
+    known = _stored(spark, store, kept.schema).unionByName(kept)
+    external.fetch_missing(top, known, "source_url", fetcher).write.mode("append").parquet(store)
+    known = _stored(spark, store, kept.schema).unionByName(kept)
+    scraped = external.page_texts(top, known, "source_url", "date_added")
+    writers.replace_range(scraped, lake.path("scraping_results"), "part_date", start, end)
 
 
 def refresh_summaries(
@@ -106,25 +209,26 @@ def refresh_summaries(
     out = external.summarize(
         texts, "url_hash", "scraped_text", "part_date", template, completer, model, params, slots
     )
-    writers.replace_observed(out, lake.path("summary_results"), "part_date")
+    writers.replace_range(out, lake.path("summary_results"), "part_date", start, end)
 
 
 def refresh_labels(
     spark: SparkSession, lake: Lake, template: str, completer: external.Completer, model: str,
-    params: dict, limit: int | None = None,
+    params: dict,
 ) -> DataFrame:
     """Label texts that have no label for this template and model, and merge the labels in."""
     root = lake.path("news_labels")
     newest = [F.col("part_date").desc()]
     texts = lake.read(spark, "scraping_results").where(F.col("scraped_text").isNotNull())
     texts = ranking.first_per_key(texts, ["url_hash"], newest)
-    known = writers.latest_snapshot(spark, root)
+    known = writers.read_upserted(spark, root)
     if known is None:
         known = spark.createDataFrame([], "url_hash string, prompt_tmpl_hash string, model string")
     fresh = external.label(
-        texts, known, "url_hash", "scraped_text", template, completer, model, params, limit
+        texts, known, "url_hash", "scraped_text", template, completer, model, params
     )
-    return writers.upsert(fresh, root, ["label_hash"])
+    # Equal texts share a label hash; keyed by url too, each url counts as labelled.
+    return writers.upsert(fresh, root, ["url_hash", "label_hash"])
 
 
 def refresh_embeddings(
@@ -133,11 +237,11 @@ def refresh_embeddings(
     events = in_window(lake.read(spark, "silver_events"), "date_added", start, end)
     sentences = gold.event_sentences(events)
     vectors = embedding.embed(sentences, "svp_description", "svp_embedding", encoder)
-    writers.replace_observed(vectors, lake.path("event_embeddings"), "date_added")
+    writers.replace_range(vectors, lake.path("event_embeddings"), "date_added", start, end)
 
 
 def training_extract(
-    silver_events: DataFrame, path: str, encoder: embedding.Encoder, fraction: float = 0.01,
+    silver_events: DataFrame, path: str, encoder: embedding.Encoder, fraction: float,
     seed: int = 0, days: int = 10,
 ) -> None:
     """Sampled, described and embedded events in one folder per window of `days` days."""

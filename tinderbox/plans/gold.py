@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tinderbox.functions import geo, heat, scalars, text
 from tinderbox.operators import aggregates as A
 from tinderbox.operators import series as S
 from tinderbox.operators.medians import exact_medians
-from tinderbox.operators.ranking import top_by_count
+from tinderbox.operators.frequency import running_total
 from tinderbox.operators.windows import require_distinct_columns
 
 # Root codes of threats, protests, assaults and mass violence.
@@ -136,7 +136,7 @@ def country_forecast(
 
 
 def zone_series(
-    silver: DataFrame, roots: list[str] = CONFLICT_ROOTS, since: date = date(2020, 1, 1)
+    silver: DataFrame, roots: list[str] = CONFLICT_ROOTS, since: date | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(dense daily heat per zone and country, positions of zones) from conflict events."""
     zone = geo.zone_state(
@@ -167,12 +167,14 @@ def zone_series(
 
 def zone_forecast(
     dense: DataFrame, centroids: DataFrame, horizon: int = 1, freq: str = "W",
-    forecaster: S.Forecaster = S.additive_model,
+    forecaster: S.Forecaster | None = None,
 ) -> DataFrame:
-    """Forecast per zone and country with the zone's position."""
-    predicted = S.forecast_groups(
-        dense, ["geo_zone", "country"], "indicator_date", "heat_indicator", horizon, freq, forecaster
-    )
+    """Forecast per zone and country with the zone's position.
+
+    The built-in model runs in Spark's own functions, another `forecaster` per key in Python.
+    """
+    how = (dense, ["geo_zone", "country"], "indicator_date", "heat_indicator", horizon, freq)
+    predicted = S.additive_forecast(*how) if forecaster is None else S.forecast_groups(*how, forecaster)
     return S.with_attributes(predicted, centroids, ["geo_zone"])
 
 
@@ -195,24 +197,22 @@ def event_descriptions(enriched: DataFrame) -> DataFrame:
     return A.log_counts(enriched, keys).withColumn("full_desc", full)
 
 
-# How a name is worded for encoding, its reduced size, and how many are cached.
+# How a name is worded for encoding, and its reduced size.
 COUNTRY_CACHE = {"prefix": "This event happened in the country of ", "k": 30}
 EVENT_CACHE = {"prefix": "Actor 1 did the following to Actor 2: ", "k": 40}
 PLACE_CACHE = {"prefix": "This event happened in: ", "k": 100}
-PLACE_CACHE_NAMES = 9000
 
 
 def country_names(enriched: DataFrame) -> DataFrame:
     return A.log_counts(enriched.withColumn("country", F.col("action_geo_country")), ["country"])
 
 
-def place_names(enriched: DataFrame, limit: int = PLACE_CACHE_NAMES) -> DataFrame:
-    """Most frequent place names with their share and running share of all events."""
+def place_names(enriched: DataFrame) -> DataFrame:
+    """All place names, most frequent first, with their share and running share of all events."""
     named = enriched.withColumn("geo_full_name", F.col("action_geo_full_name"))
     counts = A.share_of_total(A.log_counts(named, ["geo_full_name"]))
-    top = top_by_count(counts, "geo_full_name", limit)
-    # `limit` rows at most, so one ordered window is small
-    upto = Window.orderBy(F.col("cnt").desc(), "geo_full_name").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return top.withColumn("fraction_cumsum", F.sum("fraction").over(upto))
+    # A key without nulls: events without a place count too, and the running share ends at 1.
+    key = F.coalesce(F.concat(F.lit("="), "geo_full_name"), F.lit("null"))
+    ranked = running_total(counts.withColumn("__key", key), "__key")
+    total = counts.agg(F.sum("cnt")).scalar()
+    return ranked.select(*counts.columns, (F.col("cum_cnt") / total).alias("fraction_cumsum"))

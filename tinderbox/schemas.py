@@ -69,10 +69,6 @@ COUNT_ENTRY_DDL = (
     "CountryCode string, ADM1Code string, Latitude float, Longitude float, "
     "LocationFeatureID string"
 )
-LOCATION_ENTRY_DDL = (
-    "LocationType string, LocationName string, CountryCode string, ADM1Code string, "
-    "Latitude float, Longitude float, LocationFeatureID string"
-)
 TONE_FIELDS = [
     "Tone", "PositiveScore", "NegativeScore", "Polarity", "ActRefDensity", "SelfGroupRefDensity",
 ]
@@ -81,15 +77,6 @@ TONE_FLAT_FIELDS = [
     "tone_pct_self_ref",
 ]
 
-SCRAPE_RESULT_DDL = (
-    "source_url string, scraped_text string, status_code bigint, url_hash string, "
-    "scraped_len bigint, scraped_text_len bigint, request_err string, part_date date"
-)
-SUMMARY_RESULT_DDL = (
-    "ext_id string, summary string, model string, prompt string, success boolean, "
-    "error_msg string, llm_req_params string, part_date date"
-)
-
 # Codes of the location-type field inside count and location entries.
 LOCATION_TYPES = {
     "1": "COUNTRY", "2": "USSTATE", "3": "USCITY", "4": "WORLDCITY", "5": "WORLDSTATE",

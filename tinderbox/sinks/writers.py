@@ -11,6 +11,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tinderbox.session import new_dir
 from tinderbox.sinks import storage
 
 
@@ -51,28 +52,27 @@ def _drop_stale(
             storage.drop_partition(spark, path, part, value)
 
 
-def replace_range(df: DataFrame, path: str, part: str, low: object, high: object) -> None:
-    """Make [low, high] of the table hold exactly the rows of `df`.
+def unreadable_path(path: str) -> str:
+    """Where the rows of a table wait whose partition value could not be read."""
+    return f"{path.rstrip('/')}_unreadable"
 
-    A row outside the range fails the job before anything is committed. Partitions are
-    overwritten first and emptied ones dropped after, so repeating the call is safe.
-    """
-    inside = F.col(part).between(F.lit(low), F.lit(high))
-    checked = F.when(inside, F.col(part)).otherwise(
-        F.raise_error(F.concat(F.lit(f"{part} outside the replaced range: "), F.col(part).cast("string")))
-    )
-    seen = Observation()
-    rows = _spread(df.withColumn(part, checked), part).observe(
-        seen, F.collect_set(F.col(part).cast("string")).alias("parts")
-    )
-    _overwrite_touched(rows, path, part)
-    _drop_stale(df.sparkSession, path, part, low, high, set(seen.get["parts"] or []))
 
+def _set_aside(df: DataFrame, path: str, part: str) -> None:
+    """Append the rows of `df` without a partition value to the table beside; rows that wait there
+    already, from an earlier run over the same input, are not added again."""
+    spark, target = df.sparkSession, unreadable_path(path)
+    lost = df.where(F.col(part).isNull())
+    lost = lost.withColumn("row_hash", F.sha2(F.to_json(F.struct(*[f"`{c}`" for c in df.columns])), 256))
+    if storage.exists(spark, target):
+        lost = lost.join(spark.read.parquet(target).select("row_hash"), "row_hash", "left_anti")
+    lost.write.mode("append").parquet(target)
 
-def replace_observed(df: DataFrame, path: str, part: str) -> tuple | None:
-    """Replace the range between the smallest and largest partition value of `df`.
 
-    The bounds are observed while writing, so `df` is computed once. No rows, no change.
+def _replace(df: DataFrame, path: str, part: str) -> dict:
+    """Overwrite the partitions that `df` holds; rows without a value are set aside, so that they
+    never replace, nor are replaced as, a partition. Returns bounds and partitions written.
+
+    All are observed while writing, so `df` is computed once, unless there are rows to set aside.
     """
     seen = Observation()
     # Observed above the shuffle: an empty input is optimized away together with what is below.
@@ -81,18 +81,51 @@ def replace_observed(df: DataFrame, path: str, part: str) -> tuple | None:
         F.min(part).alias("low"),
         F.max(part).alias("high"),
         F.collect_set(F.col(part).cast("string")).alias("parts"),
+        F.count_if(F.col(part).isNull()).alias("unreadable"),
     )
-    _overwrite_touched(rows, path, part)
-    low, high = seen.get["low"], seen.get["high"]
-    if low is None:
+    _overwrite_touched(rows.where(F.col(part).isNotNull()), path, part)
+    if seen.get["unreadable"]:
+        _set_aside(df, path, part)
+    return {"low": seen.get["low"], "high": seen.get["high"], "parts": set(seen.get["parts"] or [])}
+
+
+def replace_range(df: DataFrame, path: str, part: str, low: object, high: object) -> None:
+    """Make [low, high] of the table hold exactly the rows of `df`.
+
+    A row outside the range fails the job before anything is committed; one without a value is set
+    aside beside the table. Partitions are overwritten first and emptied ones dropped after, so repeating
+    the call is safe.
+    """
+    value = F.col(part)
+    outside = F.raise_error(F.concat(F.lit(f"{part} outside the replaced range: "), value.cast("string")))
+    checked = F.when(value.isNull() | value.between(F.lit(low), F.lit(high)), value).otherwise(outside)
+    written = _replace(df.withColumn(part, checked), path, part)
+    _drop_stale(df.sparkSession, path, part, low, high, written["parts"])
+
+
+def replace_values(df: DataFrame, path: str, part: str, values: list) -> None:
+    """Make the listed partitions hold exactly the rows of `df`, which has no others."""
+    written = _replace(df.where(F.col(part).isNull() | F.col(part).isin(values)), path, part)
+    for value in set(map(_text, values)) - written["parts"]:
+        storage.drop_partition(df.sparkSession, path, part, value)
+
+
+def replace_observed(df: DataFrame, path: str, part: str) -> tuple | None:
+    """Replace the range between the smallest and largest partition value of `df`.
+
+    No rows, no change; rows without a value are set aside beside the table.
+    """
+    written = _replace(df, path, part)
+    if written["low"] is None:
         return None
-    _drop_stale(df.sparkSession, path, part, low, high, set(seen.get["parts"]))
-    return low, high
+    _drop_stale(df.sparkSession, path, part, written["low"], written["high"], written["parts"])
+    return written["low"], written["high"]
 
 
 def replace_present(df: DataFrame, path: str, part: str) -> None:
-    """Replace only the partitions that occur in `df` (an increment of whole days)."""
-    _overwrite_touched(_spread(df, part), path, part)
+    """Replace only the partitions that occur in `df` (an increment of whole days); rows without a
+    value are set aside beside the table."""
+    _replace(df, path, part)
 
 
 def swap_table(df: DataFrame, name: str, part: str | None = None) -> None:
@@ -126,8 +159,12 @@ def refresh(spark: SparkSession, name: str) -> None:
 def merge_newest(
     old: DataFrame | None, new: DataFrame, keys: list[str], newest: list[Column] | None = None
 ) -> DataFrame:
-    """Rows of both frames with one per key; a new row wins over an old one."""
-    order = [F.col("__new").desc(), *(newest or [])]
+    """Rows of both frames with one per key; a new row wins over an old one.
+
+    Rows that `newest` leaves tied are told apart by a hash of all their columns, so reruns agree.
+    """
+    names = [f"`{c}`" for c in new.columns]
+    order = [F.col("__new").desc(), *(newest or []), F.sha2(F.to_json(F.struct(*names)), 256)]
     rows = new.withColumn("__new", F.lit(1))
     if old is not None:
         rows = rows.unionByName(old.withColumn("__new", F.lit(0)))
@@ -135,27 +172,62 @@ def merge_newest(
     return rows.withColumn("__rank", rank).where("__rank = 1").drop("__rank", "__new")
 
 
+def _snapshots(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the committed snapshots below `root`."""
+    found = [int(v) for v in storage.partition_values(spark, root, "snapshot")]
+    return [v for v in found if storage.exists(spark, f"{root}/snapshot={v}/_SUCCESS")]
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     """Newest committed snapshot below `root`."""
-    done = [
-        int(v)
-        for v in storage.partition_values(spark, root, "snapshot")
-        if storage.exists(spark, f"{root}/snapshot={v}/_SUCCESS")
-    ]
+    done = _snapshots(spark, root)
     return spark.read.parquet(f"{root}/snapshot={max(done)}") if done else None
 
 
-def upsert(
-    new: DataFrame, root: str, keys: list[str], newest: list[Column] | None = None
-) -> DataFrame:
-    """Write old and new rows, one per key, as the next snapshot and return it."""
-    spark = new.sparkSession
+def rebuild(df: DataFrame, root: str) -> DataFrame:
+    """Write a whole table as the next snapshot; readers keep the one before until it is complete.
+
+    The newest two snapshots stay, so a reader that has just opened the older one is not cut off.
+    """
+    spark = df.sparkSession
     taken = [int(v) for v in storage.partition_values(spark, root, "snapshot")]
     target = f"{root}/snapshot={max(taken, default=0) + 1}"
-    merge_newest(latest_snapshot(spark, root), new, keys, newest).write.parquet(target)
+    df.write.parquet(target)
+    for old in sorted(_snapshots(spark, root))[:-2]:
+        storage.drop_partition(spark, root, "snapshot", str(old))
     return spark.read.parquet(target)
 
 
+BUCKETS = 64
+
+
+def read_upserted(spark: SparkSession, root: str) -> DataFrame | None:
+    """The table that `upsert` keeps below `root`."""
+    buckets = storage.partition_values(spark, root, "key_bucket")
+    return spark.read.parquet(root).drop("key_bucket") if buckets else None
+
+
+def upsert(
+    new: DataFrame, root: str, keys: list[str], newest: list[Column] | None = None, buckets: int = BUCKETS
+) -> DataFrame:
+    """Merge rows into the table, one per key, and return it; only the hash buckets of keys that occur
+    in `new` are rewritten, each swapped in when the job commits. An empty increment changes nothing."""
+    spark = new.sparkSession
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    fresh = new.withColumn("key_bucket", bucket)
+    old = None
+    if storage.partition_values(spark, root, "key_bucket"):
+        touched = [r[0] for r in fresh.select("key_bucket").distinct().collect()]  # `buckets` numbers at most
+        old = spark.read.parquet(root).where(F.col("key_bucket").isin(touched)).select(*fresh.columns)
+    merged = merge_newest(old, fresh, keys, newest)
+    # A table cannot be read and overwritten at once: the merged buckets are written beside it first.
+    staged = new_dir(spark, "upsert")
+    merged.write.parquet(staged)
+    _overwrite_touched(_spread(spark.read.schema(merged.schema).parquet(staged), "key_bucket"), root, "key_bucket")
+    out = read_upserted(spark, root)
+    return new.limit(0) if out is None else out
+
+
 def write_chunks(df: DataFrame, path: str, day: str, rows_per_file: int = 250_000) -> dict[str, int]:
     """Parquet files of at most `rows_per_file` rows with neighbouring days together.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 from collections.abc import Iterator
@@ -13,45 +14,108 @@ from pyspark.sql import functions as F
 from tinderbox.schemas import FeedSpec
 from tinderbox.sources.delimited import parse_lines
 
-LINES_PER_BATCH = 20_000
+BLOCK_BYTES = 1 << 20
+
+
+def _globs(spec: FeedSpec) -> str:
+    return f"*.{spec.file_suffix}.{{CSV,csv}}{{.zip,.sampled_*.*.zip}}"
+
+
+def list_archives(spark: SparkSession, folder: str, spec: FeedSpec) -> DataFrame:
+    """(path, length, filename) of the full and sampled archives of one feed; no content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", _globs(spec)).load(folder).select("path", "length")
+    return files.withColumn("filename", F.element_at(F.split("path", "/"), -1))
 
 
 def find_archives(spark: SparkSession, folder: str, spec: FeedSpec) -> DataFrame:
     """Full and sampled archives of one feed as (path, length, content) rows."""
-    s = spec.file_suffix
-    globs = f"*.{s}.{{CSV,csv}}{{.zip,.sampled_*.*.zip}}"
-    return spark.read.format("binaryFile").option("pathGlobFilter", globs).load(folder)
+    return spark.read.format("binaryFile").option("pathGlobFilter", _globs(spec)).load(folder)
+
+
+def read_archives(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, length, content) of exactly these files; no others are opened."""
+    reader = spark.read.format("binaryFile")
+    return reader.load(paths) if paths else spark.createDataFrame([], "path string, length bigint, content binary")
+
+
+def _member(content: bytes) -> tuple[zipfile.ZipFile, str]:
+    """The archive and its first `.csv` member, read through once, so that its checksum holds."""
+    z = zipfile.ZipFile(io.BytesIO(content))
+    names = [n for n in z.namelist() if n.lower().endswith(".csv")]
+    if not names:
+        raise ValueError("no csv member")
+    with z.open(names[0]) as raw:
+        while raw.read(BLOCK_BYTES):
+            pass
+    return z, names[0]
+
+
+_DAMAGE = (zipfile.BadZipFile, ValueError, EOFError, NotImplementedError, RuntimeError)
+
+
+def _fault(content: bytes) -> str | None:
+    """What keeps an archive from being read in full, if anything does."""
+    import zlib
+
+    try:
+        _member(content)[0].close()
+    except (*_DAMAGE, zlib.error) as err:
+        return repr(err)
+    return None
+
+
+def inspect(archives: DataFrame, md5: dict[str, str] | None = None) -> DataFrame:
+    """(path, length, error) of archives read in full; `md5` has the expected checksums by file name.
+
+    An empty file is sound, whatever its listed checksum.
+    """
+    expected = dict(md5 or {})
+
+    def check(path: str, content: bytes) -> str | None:
+        if not content:
+            return None
+        wanted = expected.get(path.rsplit("/", 1)[-1])
+        if wanted and hashlib.md5(content).hexdigest() != wanted:
+            return "checksum differs from the listed one"
+        return _fault(content)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            errors = [check(p, bytes(c)) for p, c in zip(pdf["path"], pdf["content"], strict=True)]
+            yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "error": errors})
+
+    return archives.select("path", "length", "content").mapInPandas(run, "path string, length bigint, error string")
 
 
 def unpack(archives: DataFrame, header: bool) -> DataFrame:
     """Rows (path, value, error): the lines of the first `.csv` member of each archive.
 
-    Empty files give nothing; a damaged archive or one without a member gives one error row,
-    so it is reported and does not fail its task. Members are streamed line by line.
+    Empty files give nothing. An archive that cannot be read to its end, or holds no such member, gives one error
+    row and no lines: its checksum is verified before the first line leaves. Members are decoded in
+    blocks that end at a newline, and Spark splits these into lines.
     """
 
+    def blocks(content: bytes) -> Iterator[bytes]:
+        z, name = _member(content)
+        with z, z.open(name) as raw:
+            if header:
+                raw.readline()
+            rest = b""
+            while chunk := raw.read(BLOCK_BYTES):
+                head, newline, tail = (rest + chunk).rpartition(b"\n")
+                if newline:
+                    yield head
+                rest = tail
+            if rest:
+                yield rest
+
     def read(path: str, content: bytes) -> Iterator[pd.DataFrame]:
-        try:
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                names = [n for n in z.namelist() if n.lower().endswith(".csv")]
-                if not names:
-                    raise ValueError("no csv member")
-                with z.open(names[0]) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8", newline="\n")
-                    if header:
-                        next(text, None)
-                    chunk: list[str] = []
-                    for line in text:
-                        line = line.rstrip("\r\n")
-                        if line:
-                            chunk.append(line)
-                        if len(chunk) >= LINES_PER_BATCH:
-                            yield pd.DataFrame({"path": path, "value": chunk, "error": None})
-                            chunk = []
-                    if chunk:
-                        yield pd.DataFrame({"path": path, "value": chunk, "error": None})
-        except (zipfile.BadZipFile, ValueError, EOFError) as err:
-            yield pd.DataFrame({"path": [path], "value": [None], "error": [repr(err)]})
+        fault = _fault(content)
+        if fault:
+            yield pd.DataFrame({"path": [path], "block": [None], "error": [fault]})
+        else:
+            for block in blocks(content):
+                yield pd.DataFrame({"path": [path], "block": [block], "error": [None]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -59,27 +123,18 @@ def unpack(archives: DataFrame, header: bool) -> DataFrame:
                 yield from read(path, bytes(content))
 
     filled = archives.where(F.length("content") > 0).select("path", "content")
-    return filled.mapInPandas(run, "path string, value string, error string")
+    out = filled.mapInPandas(run, "path string, block binary, error string")
+    lines = F.explode_outer(F.split(F.col("block").cast("string"), "\r?\n"))
+    return out.select("path", lines.alias("value"), "error").where("value <> '' OR error IS NOT NULL")
 
 
-def scan_archives(spark: SparkSession, folder: str, spec: FeedSpec) -> DataFrame:
-    """Typed rows of all archives of a feed below `folder`; no matching file is an error."""
-    archives = find_archives(spark, folder, spec)
-    if not archives.inputFiles():
-        raise FileNotFoundError(f"no {spec.name} archives below {folder}")
-    lines = unpack(archives, spec.header).where(F.col("error").isNull())
-    return parse_lines(lines.select("value"), spec.schema)
+def scan_archives(spark: SparkSession, folder: str, spec: FeedSpec) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, error rows) of all archives of a feed below `folder`; no matching file is an error.
 
-
-def pack(lines: DataFrame, member: str = "part.csv") -> DataFrame:
-    """Zip lines into (path, length, content) rows, one archive per Arrow batch."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr(member, "\n".join(pdf["value"]))
-            data = buffer.getvalue()
-            yield pd.DataFrame({"path": [member], "length": [len(data)], "content": [data]})
-
-    return lines.select("value").mapInPandas(run, "path string, length bigint, content binary")
+    Error rows are (path, error), one for each archive that gave no rows because it is damaged.
+    """
+    if list_archives(spark, folder, spec).isEmpty():
+        raise FileNotFoundError(f"no {spec.name} archives below {folder}")
+    lines = unpack(find_archives(spark, folder, spec), spec.header)
+    rows = parse_lines(lines.where("error IS NULL").select("value"), spec.schema)
+    return rows, lines.where("error IS NOT NULL").select("path", "error")

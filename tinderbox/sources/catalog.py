@@ -11,26 +11,37 @@ from tinderbox.operators.joins import not_yet_done
 from tinderbox.operators.windows import in_int_window
 from tinderbox.schemas import FEEDS
 
-# Suffix of a listed file and how one entry of the index page reads.
+# Suffix of a listed file.
 LISTED_SUFFIX = {
     "events": "export.CSV.zip", "gkg": "gkg.csv.zip", "gkgcounts": "gkgcounts.csv.zip",
 }
-ENTRY_PATTERN = r"([0-9]+)(\.{suffix})? \(([0-9.]+)MB\) *\(MD5: ([0-9a-f]+)\)"
 MAX_AGE = timedelta(hours=3)
 
 
 def parse_listing(lines: DataFrame, source: str, base_url: str, value: str = "value") -> DataFrame:
-    """File entries of an index page given as one line per row; other lines are skipped."""
-    suffix = LISTED_SUFFIX[source].replace(".", r"\.")
-    pattern = "^" + ENTRY_PATTERN.replace("{suffix}", suffix)
+    """File entries of an index page given as one line per row; other lines are skipped.
+
+    An entry is a list item that links to a file and then states, in two pairs of parentheses, its
+    size in MB and its MD5 checksum. Its date is what stands before the file's suffix.
+    """
     shown = F.trim(F.regexp_replace(F.col(value), "<[^>]*>", ""))
+    cells = F.transform(F.split(shown, r"\("), lambda c: F.trim(F.split_part(c, F.lit(")"), F.lit(1))))
+    name, size, check = (F.get(cells, F.lit(i)) for i in range(3))
+    stamp = F.regexp_replace(name, r"\." + LISTED_SUFFIX[source].replace(".", r"\.") + "$", "")
+    megabytes = F.regexp_replace(size, "MB$", "")
+    digest = F.trim(F.regexp_replace(check, "^MD5:", ""))
     href = F.regexp_extract(F.col(value), '(?i)href="([^"]*)"', 1)
-    is_entry = F.col(value).rlike("(?i)^ *<li>") & shown.rlike(pattern)
+    is_entry = (
+        F.lower(F.ltrim(F.col(value))).startswith("<li>")
+        & stamp.try_cast("decimal(38,0)").isNotNull()
+        & size.endswith("MB") & megabytes.try_cast("double").isNotNull()
+        & check.startswith("MD5:") & digest.rlike("^[0-9a-f]+$")
+    )
     return lines.where(is_entry).select(
-        F.regexp_extract(shown, pattern, 1).alias("date_str"),
+        stamp.alias("date_str"),
         href.alias("filename"),
-        F.regexp_extract(shown, pattern, 3).alias("size_mb"),
-        F.regexp_extract(shown, pattern, 4).alias("md5"),
+        megabytes.alias("size_mb"),
+        digest.alias("md5"),
         F.concat(F.lit(base_url + "/"), href).alias("full_url"),
         F.lit(source).alias("event_type"),
     )

@@ -79,9 +79,15 @@ def load(spark: SparkSession, name: str, path: str) -> DataFrame:
     return rows.withColumn(spec.key, F.col(spec.key).try_cast(spec.key_type))
 
 
+def _stated(spark: SparkSession, rows: list[tuple[int, str]], key: str, value: str) -> DataFrame:
+    """A relation of known size, so that a join with it never shuffles the other side."""
+    body = ", ".join(f"({int(k)}, '{v}')" for k, v in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({key}, {value})")
+
+
 def quad_classes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(schemas.QUAD_CLASSES, "quad_class int, ev_desc string")
+    return _stated(spark, schemas.QUAD_CLASSES, "quad_class", "ev_desc")
 
 
 def geo_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(schemas.GEO_TYPES, "geo_type int, geo_type_desc string")
+    return _stated(spark, schemas.GEO_TYPES, "geo_type", "geo_type_desc")

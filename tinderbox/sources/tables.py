@@ -15,30 +15,20 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.read.table(name)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores; a larger scan stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def sample_files(
     spark: SparkSession, folder: str, suffix: str, start: date, end: date, fraction: float,
     seed: int = 0,
 ) -> DataFrame:
     """Sample of the Parquet files whose name holds a date inside [start, end].
 
-    Files are chosen from their names before any is read.
+    The condition stands on the file's name, so Spark drops whole files before it reads any; their names stay
+    with Spark's own listing.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*.{suffix}.*parquet")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select("path")
+    files = (
+        spark.read.option("pathGlobFilter", f"*.{suffix}.*parquet").option("recursiveFileLookup", True).parquet(folder)
     )
-    days = extract_dates(F.element_at(F.split("path", "/"), -1))
-    inside = F.exists(days, lambda d: d.between(F.lit(start), F.lit(end)))
-    paths = [r.path for r in listing.where(inside).collect()]  # names only
-    if not paths:
-        raise FileNotFoundError(f"no {suffix} files for {start}..{end} below {folder}")
-    return spark.read.parquet(*paths).sample(fraction=fraction, seed=seed)
+    days = extract_dates(F.col("_metadata.file_name"))
+    chosen = files.where(F.exists(days, lambda d: d.between(F.lit(start), F.lit(end))))
+    if chosen.limit(1).isEmpty():
+        raise FileNotFoundError(f"no {suffix} rows for {start}..{end} below {folder}")
+    return chosen.sample(fraction=fraction, seed=seed)

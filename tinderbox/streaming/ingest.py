@@ -23,8 +23,13 @@ def stream_feed(spark: SparkSession, folder: str, spec: FeedSpec, files_per_batc
 
 def stream_archives(
     spark: SparkSession, folder: str, spec: FeedSpec, files_per_batch: int = 1000
-) -> DataFrame:
-    """Stream of typed rows from zipped files."""
+) -> tuple[DataFrame, DataFrame]:
+    """Streams of typed rows and of (path, error) rows from zipped files.
+
+    A damaged archive gives an error row and no rows at all. The two streams keep checkpoints of their own; store
+    both, so that files which a checkpoint counts as read but that gave nothing can be delivered again
+    under another name.
+    """
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -32,19 +37,20 @@ def stream_archives(
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
     )
-    lines = archives.unpack(files, spec.header).where("error IS NULL")
-    return parse_lines(lines.select("value"), spec.schema)
+    lines = archives.unpack(files, spec.header)
+    rows = parse_lines(lines.where("error IS NULL").select("value"), spec.schema)
+    return rows, lines.where("error IS NOT NULL").select("path", "error")
 
 
-def ingest_available(rows: DataFrame, dest: str, checkpoint: str, part: str) -> None:
+def ingest_available(rows: DataFrame, dest: str, checkpoint: str, part: str | None = None) -> None:
     """Read every file that has arrived and not been read, then stop.
 
     The checkpoint remembers the files and the Parquet sink commits each batch once, so a
     lost executor or a restarted job neither skips nor repeats one.
     """
+    writer = rows.writeStream.format("parquet")
     query = (
-        rows.writeStream.format("parquet")
-        .partitionBy(part)
+        (writer.partitionBy(part) if part else writer)
         .option("path", dest)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
