@@ -9,6 +9,7 @@ branches that waste more than a better solution may waste are cut, and the best
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
@@ -30,34 +31,47 @@ GROUP_PIECES = 4000
 # Effort of the search in a group; when it is spent, the best solution found so far stands.
 MAX_NODES = 4000
 BRANCHES = 4
-CACHED_WORDS = 600_000
+# Texts whose distinct words are encoded together.
+TEXT_BYTES = 32 << 20
 
 
-def ragged(flat: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def ragged(flat: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs number `at` of a ragged array, one after the other, and their lengths."""
-    first, lengths = starts[at], starts[at + 1] - starts[at]
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(first - ends + lengths, lengths) + np.arange(total)], lengths
+    lengths = np.diff(ends, prepend=0)[at]
+    upto = np.cumsum(lengths)
+    total = int(upto[-1]) if len(upto) else 0
+    return flat[np.repeat(ends[at] - upto, lengths) + np.arange(total)], lengths
 
 
-def cut_stops(words: list[str]) -> tuple[list[str], list[str]]:
-    """Words without, and of, the stops at their ends, where only Latin letters stand before these; words
-    of plain letters in lower case. Other words stay whole."""
-    whole = pa.array(words, pa.string())
-    cut = pc.extract_regex(whole, "(?s)^(?P<core>.*?)(?P<tail>[.,]*)$")
-    core, tail = cut.field("core"), cut.field("tail")
-    letters = pc.match_substring_regex(core, "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$")
-    cased = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core)
-    return pc.if_else(letters, cased, whole).to_pylist(), pc.if_else(letters, tail, "").to_pylist()
+# Letters below U+0250 that are one letter in lower case too; they need no normalizing.
+LATIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
+ODD_STOP = re.compile(rb"[^a-z0-9\s][.,]")
+
+
+def simplified(text: bytes) -> bytes:
+    """A plain text in lower case, with white space before stops that end its words: the same tokens from
+    fewer different words. Texts in which a stop may belong to other signs stay as they are."""
+    if not text.isascii() or b"<|" in text:
+        return text
+    text = text.lower()
+    if ODD_STOP.search(text):
+        return text
+    return text.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n")
+
+
+def as_text(strings: pa.Array) -> list[str]:
+    try:
+        return strings.to_pylist()
+    except UnicodeDecodeError:
+        return [t.decode("utf-8", "replace") for t in strings.view(pa.binary()).to_pylist()]
 
 
 class WordIds:
-    """Token ids of texts through a cache of words.
+    """Token ids of texts from the ids of their words.
 
     White space always separates tokens and is dropped by this kind of tokenizer, so a text's ids are
-    those of its words. A word of letters that ends in stops is cut before these, as the tokenizer does,
-    and words of plain letters are lower-cased; each distinct part is encoded once while the cache lasts.
+    those of its words. Words are split and told apart in Arrow; a Latin word is put into lower case and cut before
+    the stops at its end, as the tokenizer does, and each distinct part is encoded once for many texts.
     """
 
     def __init__(self, path: str):
@@ -65,59 +79,51 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
-        # For a-z alone, normalizing changes nothing and there is nothing to split.
+        # For Latin letters in lower case, normalizing changes nothing and there is nothing to split.
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = normalizers.Sequence([])
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.clear()
-
-    def clear(self) -> None:
-        self.part_at: dict[str, int] = {"": 0}
-        self.parts, self.part_starts = np.empty(0, np.uint32), np.zeros(2, np.int64)
-        self.word_at: dict[bytes, int] = {}
-        self.words, self.word_starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
-
-    def _learn_parts(self, plain: list[str], other: list[str]) -> None:
-        found = [e.ids for e in self.letters.encode_batch_fast(plain, add_special_tokens=False)]
-        found += [e.ids for e in self.whole.encode_batch_fast(other, add_special_tokens=False)]
-        self.parts = np.concatenate([self.parts, np.fromiter(chain.from_iterable(found), np.uint32)])
+
+    def part_ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each part, as a ragged array."""
+        latin = pc.match_substring_regex(parts, LATIN)
+        found: list = [None] * len(parts)
+        for kind, tokenizer in ((latin, self.letters), (pc.invert(latin), self.whole)):
+            at = np.flatnonzero(kind.to_numpy(zero_copy_only=False)).tolist()
+            coded = tokenizer.encode_batch_fast(as_text(parts.filter(kind)), add_special_tokens=False)
+            for i, e in zip(at, coded, strict=True):
+                found[i] = e.ids
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        self.part_starts = np.concatenate([self.part_starts, self.part_starts[-1] + ends])
-        base = len(self.part_at)
-        self.part_at.update(zip([*plain, *other], range(base, base + len(found)), strict=True))
-
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words - self.word_at.keys())
-        if len(self.word_at) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = list(words)
-        if not new:
-            return
-        cores, tails = cut_stops([w.decode("utf-8", "replace") for w in new])
-        missing = pa.array(set(cores).union(tails) - self.part_at.keys(), pa.string())
-        plain = pc.match_substring_regex(missing, "^[a-z]+$")
-        self._learn_parts(missing.filter(plain).to_pylist(), missing.filter(pc.invert(plain)).to_pylist())
-        at = np.empty(2 * len(new), np.int64)
-        at[::2] = np.fromiter(map(self.part_at.__getitem__, cores), np.int64, len(new))
-        at[1::2] = np.fromiter(map(self.part_at.__getitem__, tails), np.int64, len(new))
-        ids, lengths = ragged(self.parts, self.part_starts, at)
-        self.words = np.concatenate([self.words, ids])
-        self.word_starts = np.concatenate([self.word_starts, self.word_starts[-1] + np.cumsum(lengths[::2] + lengths[1::2])])
-        base = len(self.word_at)
-        self.word_at.update(zip(new, range(base, base + len(new)), strict=True))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1]) if len(ends) else 0), ends
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        for words in split:
-            ids, _ = ragged(self.words, self.word_starts, np.fromiter(map(self.word_at.__getitem__, words), np.int64, len(words)))
-            yield np.append(ids, np.uint32(END_ID))
+        lists = pc.ascii_split_whitespace(pa.array(map(simplified, texts), pa.binary()).view(pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary
+        core = pc.utf8_rtrim(words, ".,")
+        latin = pc.match_substring_regex(core, LATIN)
+        cut = pc.and_(latin, pc.not_equal(core, words))
+        tails = pc.extract_regex(words.filter(cut), "(?P<tail>[.,]+)$").field("tail")
+        cores = pc.if_else(latin, pc.utf8_lower(core), words)
+        parts = pa.concat_arrays([cores, tails]).dictionary_encode()
+        number = parts.indices.to_numpy()
+        flat, ends = self.part_ids(parts.dictionary)
+        # A word's ids are those of its core, then of its tail if it has one.
+        at_word, at_tail = np.arange(len(words)), np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        order = np.argsort(np.concatenate([at_word, at_tail]), kind="stable")
+        flat, lengths = ragged(flat, ends, number[order])
+        owner = np.concatenate([at_word, at_tail])[order]
+        ends = np.cumsum(np.bincount(owner, lengths, len(words)).astype(np.int64))
+        ids, lengths = ragged(flat, ends, coded.indices.to_numpy())
+        upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])]
+        for start, end in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True):
+            yield np.append(ids[start:end], np.uint32(END_ID))
 
 
 def cutter(path: str, capacity: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(path)
-        for batch in slices(batches, 2 << 20):
+        for batch in slices(batches, TEXT_BYTES):
             at, rows = [], []
             texts = [t or b"" for t in batch.column("text").to_pylist()]
             for i, ids in enumerate(words.encode(texts)):
