@@ -31,7 +31,7 @@ BLOCK = 1 << 22
 PLACE_BITS = 24
 # Dictionary bytes that one suffix array holds, and phrases of one trigger beyond which their strings
 # are compared by hash in a shuffle of their own instead.
-ARRAY_BYTES = 4 << 20
+ARRAY_BYTES = 2 << 20
 HOT_PHRASES = 4096
 NO_ID = (1 << 63) - 1
 
