@@ -165,13 +165,20 @@ def _(spark, d):
 
 @query(
     "embed_build_cache",
-    f"""WITH {EV_SQL} SELECT country, {16} AS dim FROM ev WHERE country IS NOT NULL GROUP BY 1""",
+    f"""WITH {EV_SQL}, t AS (SELECT country, '{gold.COUNTRY_CACHE["prefix"]}' || country AS body FROM ev
+      WHERE country IS NOT NULL GROUP BY 1),
+    {_vector_sql('t', 'country', 'body')},
+    m AS (SELECT slot, sum(CAST(weight AS DOUBLE)) / (SELECT count(*) FROM t) AS m FROM vec GROUP BY 1),
+    s AS (SELECT country, sum(CAST(weight AS DOUBLE) * weight - 2 * weight * m) AS s FROM vec JOIN m USING (slot) GROUP BY 1)
+    SELECT country, {_DIM} AS dim, round(sqrt(s + (SELECT sum(m * m) FROM m)), 4) + 0e0 AS distance FROM s""",
 )
 def _(spark, d):
+    """With all components kept, a cached vector is as far from the mean as the encoder's."""
     cache, _model, _mean = E.build_cache(
-        ev(spark, d), "country", "vector", E.hashed_words(_DIM), 16, gold.COUNTRY_CACHE["prefix"]
+        ev(spark, d), "country", "vector", E.hashed_words(_DIM), _DIM, gold.COUNTRY_CACHE["prefix"]
     )
-    return cache.select("country", F.size("vector").alias("dim"))
+    squares = F.aggregate("vector", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return cache.select("country", F.size("vector").alias("dim"), (F.round(F.sqrt(squares), 4) + F.lit(0.0)).alias("distance"))
 
 
 @query("pca_embed")

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 from datetime import date
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from registry import fixtures as fx
 from registry.base import BRONZE_SQL, EV_SQL, R, bronze, ev, query, rounded
 from tinderbox.operators import windows as W
+from tinderbox.plans import daily
 from tinderbox.schemas import feed
 from tinderbox.session import new_dir
 from tinderbox.sinks import writers
@@ -43,6 +47,93 @@ def pack(lines: DataFrame, member: str = "part.csv") -> DataFrame:
     return lines.select("value").mapInPandas(run, "path string, length bigint, content binary")
 
 
+def zip_days(lines: DataFrame, folder: str, broken: tuple = (), empty: tuple = (), absent: tuple = ()) -> DataFrame:
+    """Write one archive per day of (day, value) rows below `folder`, line by line; (day, filename, md5) of what was sent.
+
+    Of the days named, the archive loses its second half, arrives empty, or not at all.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = pafs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", folder))
+        day, out, z, member = None, None, None, None
+
+        def close() -> pd.DataFrame:
+            member.close()
+            z.close()
+            data = out.getvalue()
+            name = f"{day}.export.CSV.zip"
+            sent = data[: len(data) // 2] if day in broken else b"" if day in empty else data
+            if day not in absent:
+                with store.open_output_stream(f"{base}/{name}", compression=None) as file:
+                    file.write(sent)
+            return pd.DataFrame({"day": [day], "filename": [name], "md5": [hashlib.md5(data).hexdigest()]})
+
+        for pdf in batches:
+            for this, value in zip(pdf["day"], pdf["value"], strict=True):
+                if this != day:
+                    if day is not None:
+                        yield close()
+                    day, out = this, io.BytesIO()
+                    z = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                    member = z.open("part.csv", "w", force_zip64=True)
+                member.write(value.encode() + b"\n")
+        if day is not None:
+            yield close()
+
+    by_day = lines.select("day", "value").repartition("day").sortWithinPartitions("day")
+    return by_day.mapInPandas(run, "day int, filename string, md5 string")
+
+
+def day_lines(rows: DataFrame) -> DataFrame:
+    return feed_lines(rows, rows.columns).withColumn("day", F.split("value", "\t")[rows.columns.index("date_added")].cast("int"))
+
+
+@query(
+    "ingest_roundtrip",
+    f"""WITH {BRONZE_SQL} SELECT date_added, count(*) AS n, CAST(sum(num_mentions) AS BIGINT) AS mentions,
+      date_added NOT IN (20240105, 20240106) AS in_first_run FROM b WHERE date_added <> 20240107 GROUP BY 1""",
+)
+def _(spark, d):
+    """Broken, absent and empty archives, then their repair: nothing is lost and nothing lands twice."""
+    lake, folder = daily.Lake(new_dir(spark, "lake")), new_dir(spark, "feed")
+    lines = day_lines(bronze(spark, d))
+    store, base = pafs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", folder))
+    store.create_dir(base)
+    sent = zip_days(lines, folder, (20240105,), (20240107,), (20240106,))
+    listing = sent.select(
+        F.col("day").cast("string").alias("date_str"), "filename", F.lit("1").alias("size_mb"), "md5",
+        F.col("filename").alias("full_url"), F.lit("events").alias("event_type"),
+    )
+    path = new_dir(spark, "listing")
+    listing.write.parquet(path)
+    listing = spark.read.parquet(path)
+
+    def run() -> DataFrame:
+        daily.ingest(spark, lake, "events", folder, listing, date(2024, 1, 1), date(2024, 12, 31))
+        return lake.read(spark, "bronze_events").select("date_added", "num_mentions")
+
+    early = {r[0] for r in run().select("date_added").distinct().collect()}  # days
+    zip_days(lines.where("day IN (20240105, 20240106)"), folder).write.format("noop").mode("overwrite").save()
+    counts = run().groupBy("date_added").agg(F.count(F.lit(1)).alias("n"), F.sum("num_mentions").alias("mentions"))
+    return counts.withColumn("in_first_run", F.col("date_added").isin(sorted(early)))
+
+
+@query(
+    "unreadable_days",
+    f"""WITH {EV_SQL} SELECT ev_id, CASE WHEN ev_id % 17 <> 0 THEN date_added END AS date_added, ev_id % 17 = 0 AS set_aside FROM ev""",
+)
+def _(spark, d):
+    """Two increments whose rows partly have no readable day: none is lost, none replaces another."""
+    path = new_dir(spark, "events")
+    rows = ev(spark, d).select("ev_id", F.when(F.col("ev_id") % 17 != 0, F.col("date_added")).alias("date_added"))
+    for part in (F.col("ev_id") % 2 == 0, F.col("ev_id") % 2 == 1):
+        days = W.in_window(rows, "date_added", date(2024, 1, 1), date(2024, 12, 31))
+        writers.replace_present(days.unionByName(rows.where(part & F.col("date_added").isNull())), path, "date_added")
+    waiting = spark.read.parquet(writers.unreadable_path(path)).select(*rows.columns)
+    stored = spark.read.parquet(path).select(*rows.columns)
+    return stored.withColumn("set_aside", F.lit(False)).unionByName(waiting.withColumn("set_aside", F.lit(True)))
+
+
 _SHOWN = """ev_id, ev_date, a1_name, a2_geo_country_code, ev_code, quad_class, num_mentions,
     action_geo_full_name, date_added, source_url"""
 _SHOWN_SQL = f"""WITH {BRONZE_SQL} SELECT {_SHOWN}, {R('gstein_scale')} AS gstein_scale,
