@@ -32,15 +32,15 @@ GROUP_PIECES = 4000
 MAX_NODES = 4000
 BRANCHES = 4
 # Texts whose distinct words are encoded together.
-TEXT_BYTES = 32 << 20
+TEXT_BYTES = 16 << 20
+ENCODED_AT_ONCE = 20_000
 
 
-def ragged(flat: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs number `at` of a ragged array, one after the other, and their lengths."""
-    lengths = np.diff(ends, prepend=0)[at]
-    upto = np.cumsum(lengths)
-    total = int(upto[-1]) if len(upto) else 0
-    return flat[np.repeat(ends[at] - upto, lengths) + np.arange(total)], lengths
+def ragged(flat: np.ndarray, ends: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Runs number `at` of a ragged array, one after the other."""
+    wanted = lengths[at]
+    upto = np.cumsum(wanted)
+    return flat[np.repeat(ends[at] - upto, wanted) + np.arange(upto[-1] if len(upto) else 0)]
 
 
 # Letters below U+0250 that are one letter in lower case too; they need no normalizing.
@@ -84,17 +84,21 @@ class WordIds:
         self.letters.normalizer = normalizers.Sequence([])
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
-    def part_ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of each part, as a ragged array."""
+    def part_ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all parts, where those of each part end, and how many these are."""
         latin = pc.match_substring_regex(parts, LATIN)
-        found: list = [None] * len(parts)
+        order = np.argsort(pc.invert(latin).to_numpy(zero_copy_only=False), kind="stable")  # Latin parts first
+        ids, lengths = [np.empty(0, np.uint32)], []
         for kind, tokenizer in ((latin, self.letters), (pc.invert(latin), self.whole)):
-            at = np.flatnonzero(kind.to_numpy(zero_copy_only=False)).tolist()
-            coded = tokenizer.encode_batch_fast(as_text(parts.filter(kind)), add_special_tokens=False)
-            for i, e in zip(at, coded, strict=True):
-                found[i] = e.ids
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1]) if len(ends) else 0), ends
+            texts = as_text(parts.filter(kind))
+            for at in range(0, len(texts), ENCODED_AT_ONCE):
+                found = [e.ids for e in tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)]
+                ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+                lengths += map(len, found)
+        found_lengths = np.array(lengths, np.int64)
+        ends, by_part = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
+        ends[order], by_part[order] = np.cumsum(found_lengths), found_lengths
+        return np.concatenate(ids), ends, by_part
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         lists = pc.ascii_split_whitespace(pa.array(map(simplified, texts), pa.binary()).view(pa.string()))
@@ -107,17 +111,18 @@ class WordIds:
         cores = pc.if_else(latin, pc.utf8_lower(core), words)
         parts = pa.concat_arrays([cores, tails]).dictionary_encode()
         number = parts.indices.to_numpy()
-        flat, ends = self.part_ids(parts.dictionary)
+        flat, ends, lengths = self.part_ids(parts.dictionary)
         # A word's ids are those of its core, then of its tail if it has one.
-        at_word, at_tail = np.arange(len(words)), np.flatnonzero(cut.to_numpy(zero_copy_only=False))
-        order = np.argsort(np.concatenate([at_word, at_tail]), kind="stable")
-        flat, lengths = ragged(flat, ends, number[order])
-        owner = np.concatenate([at_word, at_tail])[order]
-        ends = np.cumsum(np.bincount(owner, lengths, len(words)).astype(np.int64))
-        ids, lengths = ragged(flat, ends, coded.indices.to_numpy())
-        upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])]
-        for start, end in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True):
-            yield np.append(ids[start:end], np.uint32(END_ID))
+        at_tail = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        owner = np.concatenate([np.arange(len(words)), at_tail])
+        order = np.argsort(owner, kind="stable")
+        number = number[order]
+        flat = ragged(flat, ends, lengths, number)
+        lengths = np.bincount(owner[order], lengths[number], len(words)).astype(np.int64)
+        ends, at = np.cumsum(lengths), coded.indices.to_numpy()
+        upto = np.cumsum(lists.value_lengths().to_numpy()).tolist()
+        for start, end in zip([0, *upto], upto, strict=False):
+            yield np.append(ragged(flat, ends, lengths, at[start:end]), np.uint32(END_ID))
 
 
 def cutter(path: str, capacity: int) -> Callable:
