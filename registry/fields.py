@@ -10,6 +10,7 @@ from registry.relational import SILVER_CTE
 from tinderbox.functions import feed_fields, scalars, text
 from tinderbox.operators import series
 from tinderbox.plans import gold, silver
+from tinderbox.schemas import TONE_FIELDS
 from tinderbox.operators import aggregates as A
 
 GKG_CTE = f"g AS ({fx.duck(fx.BRONZE_GKG)})"
@@ -187,16 +188,17 @@ def _(spark, d):
         THEN len(list_filter(string_split(counts, ';'), lambda b: b <> '')) END AS INTEGER) AS n_counts,
       CAST(CASE WHEN len(list_filter(string_split(locations, ';'), lambda b: b <> '')) > 0
         THEN len(list_filter(string_split(locations, ';'), lambda b: b <> '')) END AS INTEGER) AS n_locations,
-      {R("try_cast(split_part(tone_vec, ',', 1) AS FLOAT)")} AS tone,
-      {_split('themes', ';')}, {_split('event_ids', ',')}, {_split('source_urls', '<UDIV>')} FROM g""",
+      {", ".join(R(f"try_cast(string_split(tone_vec, ',')[{i + 1}] AS FLOAT)") + f" AS {f.lower()}" for i, f in enumerate(TONE_FIELDS))},
+      {_split('themes', ';')}, {_split('event_ids', ',')}, {_split('source_urls', '<UDIV>')},
+      {_split('persons', ';')}, {_split('organizations', ';')}, {_split('sources', ';')} FROM g""",
 )
 def _(spark, d):
     s = silver.silver_gkg(gkg(spark, d))
     return rounded(
         s.select(
             "event_id", "pub_date", "num_articles", F.size("counts").alias("n_counts"),
-            F.size("locations").alias("n_locations"), F.col("tone_vec.Tone").alias("tone"),
-            *[F.array_join(c, "|").alias(c) for c in ("themes", "event_ids", "source_urls")],
+            F.size("locations").alias("n_locations"), *[F.col(f"tone_vec.{f}").alias(f.lower()) for f in TONE_FIELDS],
+            *[F.array_join(c, "|").alias(c) for c in ("themes", "event_ids", "source_urls", "persons", "organizations", "sources")],
         )
     )
 
@@ -210,7 +212,9 @@ def _(spark, d):
       {R("try_cast(f[5] AS FLOAT)")} AS tone_pct_active, {R("try_cast(f[6] AS FLOAT)")} AS tone_pct_self_ref,
       array_to_string(string_split(themes, ';'), '|') AS themes,
       array_to_string(list_transform(string_split(event_ids, ','),
-        lambda x: CAST(coalesce(try_cast(x AS BIGINT), -1) AS VARCHAR)), '|') AS event_ids FROM p""",
+        lambda x: CAST(coalesce(try_cast(x AS BIGINT), -1) AS VARCHAR)), '|') AS event_ids,
+      replace(persons, ';', '|') AS persons, replace(organizations, ';', '|') AS organizations,
+      replace(sources, ';', '|') AS sources, replace(source_urls, '<UDIV>', '|') AS source_urls FROM p""",
 )
 def _(spark, d):
     flat = silver.flat_gkg(gkg(spark, d))
@@ -219,6 +223,7 @@ def _(spark, d):
         flat.select(
             "pub_date", "num_articles", *tones, F.array_join("themes", "|").alias("themes"),
             F.array_join(F.col("event_ids").cast("array<string>"), "|").alias("event_ids"),
+            *[F.array_join(c, "|").alias(c) for c in ("persons", "organizations", "sources", "source_urls")],
         )
     )
 
@@ -299,7 +304,7 @@ _COMPLETION = r"""CASE doc_id % 6
 def _(spark, d):
     docs = fx.table(spark, d, "documents")
     answer = F.expr(
-        _COMPLETION.replace("n_chars / 1000", "n_chars div 1000").replace("VARCHAR", "STRING").replace("WHEN 1 THEN", "WHEN 1 THEN")
+        _COMPLETION.replace("n_chars / 1000", "n_chars div 1000").replace("VARCHAR", "STRING")
     )
     answered = docs.select("doc_id", answer.alias("answer"))
     c = F.col("answer")
