@@ -129,6 +129,14 @@ def test_chat_edges(spark):
     assert chat.parse_transcripts(chat.as_transcripts(spark.createDataFrame([], kinds))).count() == 0
 
 
+def test_texts_at_one_place_stay_whole(spark):
+    texts = ["User: a\nb\nb2", "Assistant: c\nd\nd2"]
+    rows = [(key, part, text) for key, part in ((1, 0), (2, None), (None, 3)) for text in texts]
+    got = chat.parse_transcripts(spark.createDataFrame(rows, "conv_id long, part long, text string")).collect()
+    want = {(key, role, text) for key in (1, 2, None) for role, text in (("user", "a\nb\nb2"), ("assistant", "c\nd\nd2"))}
+    assert {(r.conv_id, r.role, r.text) for r in got} == want and len(got) == len(want)
+
+
 def test_chat_recovers_the_roles(spark, sf):
     want = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.trim("text").alias("text"))
     got = queries.QUERIES["op3_chat_format"](spark, sf).select("conv_id", "turn", "role", F.trim("text").alias("text"))

@@ -211,14 +211,14 @@ def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def line_states(lines: DataFrame) -> DataFrame:
-    """Lines (conv, turn, line_no, line, after_blank) with chunk, code, state and `spoken`, the number of the recovered turn."""
+    """Lines (conv, turn, text_hash, line_no, line, after_blank) with chunk, code, state and `spoken`, the number of the recovered turn."""
     coded = materialize(
         lines.withColumn("chunk", F.floor(F.col("turn") / CHUNK_TURNS)).mapInArrow(
-            _symbols, "conv string, turn long, line_no int, line string, after_blank boolean, chunk long, code long"
+            _symbols, "conv string, turn long, text_hash string, line_no int, line string, after_blank boolean, chunk long, code long"
         ),
         "chat-lines",
     )
-    place = F.struct("turn", "line_no", F.xxhash64("line").alias("h"), "code")
+    place = F.struct("turn", "text_hash", "line_no", "code")
     ordered = F.array_sort(F.collect_list(place))
     chunks = coded.groupBy("conv", "chunk").agg(F.transform(ordered, lambda x: x["code"]).alias("codes"))
     key = "conv string, chunk long, codes array<bigint>"
@@ -266,13 +266,13 @@ def line_states(lines: DataFrame) -> DataFrame:
         lambda acc: acc["out"],
     )
     numbered = states.join(counted, ["conv", "chunk"]).select("conv", "chunk", "states", "spoken_before", begun.alias("spoken_in"))
-    row = F.struct("turn", "line_no", F.xxhash64("line").alias("h"), "code", "line")
+    row = F.struct("turn", "text_hash", "line_no", "code", "line")
     together = coded.groupBy("conv", "chunk").agg(F.array_sort(F.collect_list(row)).alias("rows"))
     zipped = together.join(numbered, ["conv", "chunk"]).select(
         "conv", "spoken_before", F.explode(F.arrays_zip("rows", "states", "spoken_in")).alias("z")
     )
     return zipped.select(
-        "conv", F.col("z.rows.turn").alias("turn"), F.col("z.rows.line_no").alias("line_no"), F.col("z.rows.line").alias("line"),
+        "conv", F.col("z.rows.turn").alias("turn"), F.col("z.rows.text_hash").alias("text_hash"), F.col("z.rows.line_no").alias("line_no"), F.col("z.rows.line").alias("line"),
         F.col("z.rows.code").alias("code"), F.col("z.states").alias("state"), (F.col("spoken_before") + F.col("z.spoken_in") - 1).alias("spoken"),
     )
 
@@ -306,15 +306,15 @@ def parse_transcripts(parts: DataFrame, conv_type: str = "bigint") -> DataFrame:
     rows = parts.select(
         conversation_key(F.col("conv_id")).alias("conv"), F.coalesce(F.col("part").cast("long"), F.lit(0)).alias("turn"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).distinct()
+    ).distinct().withColumn("text_hash", F.sha2("text", 256))  # texts at one place follow each other whole, by this hash
     lines = F.split("text", "\r\n|\n")
-    exploded = rows.withColumn("lines", lines).select("conv", "turn", "lines", F.posexplode("lines").alias("line_no", "line"))
+    exploded = rows.withColumn("lines", lines).select("conv", "turn", "text_hash", "lines", F.posexplode("lines").alias("line_no", "line"))
     after = F.when(F.col("line_no") > 0, F.try_element_at("lines", F.col("line_no")).rlike(r"^\s*$")).otherwise(False)
-    found = line_states(exploded.select("conv", "turn", "line_no", "line", F.coalesce(after, F.lit(False)).alias("after_blank")))
+    found = line_states(exploded.select("conv", "turn", "text_hash", "line_no", "line", F.coalesce(after, F.lit(False)).alias("after_blank")))
     opened = found.withColumn("opens", F.col("state") < 3)
     stripped = opened.where("opens").mapInArrow(_strip, opened.schema).unionByName(opened.where("NOT opens"))
     role = F.element_at(F.array(*map(F.lit, ROLES)), (F.col("state") % 3 + 1).cast("int"))
-    pieces = F.array_sort(F.collect_list(F.struct("turn", "line_no", F.xxhash64("line").alias("h"), "line")))
+    pieces = F.array_sort(F.collect_list(F.struct("turn", "text_hash", "line_no", "line")))
     turns = stripped.withColumn("role", role).groupBy("conv", "spoken", "role").agg(
         F.array_join(F.transform(pieces, lambda p: p["line"]), "\n").alias("text")
     )
