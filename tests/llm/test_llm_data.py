@@ -137,6 +137,48 @@ def test_texts_at_one_place_stay_whole(spark):
     assert {(r.conv_id, r.role, r.text) for r in got} == want and len(got) == len(want)
 
 
+def test_chat_chunks_are_small_whatever_the_turns(spark):
+    """All lines at one place, or at few: chunks stay small, and the result is that of one Viterbi run."""
+    rng = random.Random(8)
+    lines = ["User: hi", "plain", "x" * 130, "", "A: yes", "and"]
+    rows = [(k, None if k else i % 3, f"{i}\n" + "\n".join(rng.choice(lines) for _ in range(3))) for k in (1, None) for i in range(400)]
+    rows.append((2, 0, "\n".join(rng.choice(lines) for _ in range(1000))))
+    frame = spark.createDataFrame(rows, "conv_id long, part long, text string").repartition(5)
+    got = {(r.conv_id, r.turn, r.role): r.text for r in chat.parse_transcripts(frame).collect()}
+    keyed = frame.select(chat.conversation_key(F.col("conv_id")).alias("conv"), F.coalesce("part", F.lit(0)).alias("turn"), "text")
+    chunks = chat.coded_lines(keyed).groupBy("conv", "chunk").agg(F.count("*").alias("n"), F.max("place").alias("last")).collect()
+    assert max(c.n for c in chunks) <= chat.CHUNK_LINES and all(c.last == c.n - 1 for c in chunks)
+    assert sum(c.n for c in chunks) == 2 * 400 * 4 + 1000
+    want = {}
+    for key in (1, 2, None):
+        hashed = frame.where(F.col("conv_id").eqNullSafe(F.lit(key))).select(F.coalesce("part", F.lit(0)).alias("at"), F.xxhash64("text").alias("h"), "text")
+        seen = []
+        for r in sorted(hashed.collect()):
+            parts = r.text.split("\n")
+            seen += [(line, i > 0 and not parts[i - 1].strip()) for i, line in enumerate(parts)]
+        turn, pieces = -1, {}
+        for (line, _), state in zip(seen, chat.viterbi([chat.symbol(a, b) for a, b in seen]), strict=True):
+            if state < 3:
+                turn, line = turn + 1, chat.split_marker(line)[1]
+            pieces.setdefault((key, turn, chat.ROLES[state % 3]), []).append(line)
+        want |= {k: "\n".join(v).strip("\n") for k, v in pieces.items()}
+    assert got == want
+
+
+def test_scores_of_long_conversations_stay_apart():
+    """Sums of over ten million lines would reach NEVER, where all states look alike."""
+    codes = [chat.symbol("User: " + "x" * 20, False)] * 200
+    one = next(chat._matrices(iter([{"conv": "=1", "chunk": 0, "codes": codes}])))
+    entering = [r["entering"] for r in chat._entering({**one, "chunk": i} for i in range(100_000))]
+    assert entering[-1] == entering[10] and len(set(entering[-1])) > 1
+
+
+def test_long_conversation_ids_come_back(spark):
+    rows = [("k" * (1 << 20) + "tail", 0, "User: hi"), ("null", 0, "User: a"), (None, 0, "User: b")]
+    got = chat.parse_transcripts(spark.createDataFrame(rows, "conv_id string, part long, text string"), "string").collect()
+    assert {(r.conv_id, r.text) for r in got} == {(rows[0][0], "hi"), ("null", "a"), (None, "b")}
+
+
 def test_chat_recovers_the_roles(spark, sf):
     want = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.trim("text").alias("text"))
     got = queries.QUERIES["op3_chat_format"](spark, sf).select("conv_id", "turn", "role", F.trim("text").alias("text"))

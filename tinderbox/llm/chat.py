@@ -5,8 +5,8 @@ a blank line. Six states, a role and "first line of a turn" or "further line", e
 and Viterbi finds the likeliest states. Scores are whole numbers (hundredths of a natural logarithm), so sums do not
 depend on their order.
 
-A conversation may hold any share of all lines, so it is cut into chunks. A chunk's lines act on the
-scores as one max-plus matrix; chaining the matrices gives the scores before each chunk, which lets all
+A conversation may hold any share of all lines, so it is cut into chunks of CHUNK_LINES lines by running numbers,
+whatever its turn numbers are. A chunk's lines act on the scores as one max-plus matrix; chaining the matrices gives the scores before each chunk, which lets all
 chunks run Viterbi at once; chaining their back pointers gives each chunk's last state. The result
 is that of one Viterbi run over the whole conversation, ties going to the first state.
 """
@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ NAMES = {
     "assistant": ("assistant", "ai", "bot", "answer", "a", "model", "agent"),
 }
 LONG_LINE = 120
-CHUNK_TURNS = 64
+CHUNK_LINES = 256
 NEVER = -(10**9)
 
 # Costs of the model. States 0-2 are first lines, 3-5 further lines, of ROLES.
@@ -158,21 +159,24 @@ _LONGS = pa.list_(pa.int64())
 
 
 def _matrices(rows: Rows) -> Rows:
+    """What a chunk does to the scores, and the scores after it if it opens a conversation."""
     for r in rows:
-        yield {**r, "matrix": _matrix(r["codes"]).ravel().tolist()}
+        opening = _forward(r["codes"], None)[0].tolist()
+        yield {"conv": r["conv"], "chunk": r["chunk"], "matrix": _matrix(r["codes"]).ravel().tolist(), "opening": opening}
 
 
 def _entering(rows: Rows) -> Rows:
-    """Scores before each chunk; rows come by conversation and chunk."""
+    """Scores before each chunk, less the best of them; rows come by conversation and chunk."""
     conv, scores = None, None
     for r in rows:
         if r["conv"] != conv:
             conv, scores = r["conv"], None
-        yield {"conv": conv, "chunk": r["chunk"], "codes": r["codes"], "entering": None if scores is None else scores.tolist()}
+        yield {"conv": conv, "chunk": r["chunk"], "entering": None if scores is None else scores.tolist()}
         if scores is None:
-            scores = _forward(r["codes"], None)[0]
+            scores = np.array(r["opening"])
         else:
-            scores = np.maximum((scores[:, None] + np.array(r["matrix"]).reshape(6, 6)).max(axis=0), NEVER)
+            scores = (scores[:, None] + np.array(r["matrix"]).reshape(6, 6)).max(axis=0)
+        scores = np.maximum(scores - scores.max(), NEVER)  # only differences count; sums would reach NEVER
 
 
 def _pointers(rows: Rows) -> Rows:
@@ -182,7 +186,7 @@ def _pointers(rows: Rows) -> Rows:
         at = np.arange(6)
         for pointers in reversed(back):
             at = pointers[at] if pointers[0] >= 0 else at
-        yield {**r, "before": at.tolist(), "best": int(scores.argmax())}
+        yield {"conv": r["conv"], "chunk": r["chunk"], "before": at.tolist(), "best": int(scores.argmax())}
 
 
 def _leaving(rows: Rows) -> Rows:
@@ -191,90 +195,95 @@ def _leaving(rows: Rows) -> Rows:
     for r in rows:
         if r["conv"] != conv:
             conv, state = r["conv"], r["best"]
-        yield {"conv": conv, "chunk": r["chunk"], "codes": r["codes"], "entering": r["entering"], "leaving": state}
+        yield {"conv": conv, "chunk": r["chunk"], "leaving": state}
         state = r["before"][state]
 
 
 def _states(rows: Rows) -> Rows:
+    """States of a chunk's lines, and how many turns have begun with each."""
     for r in rows:
         _, back = _forward(r["codes"], None if r["entering"] is None else np.array(r["entering"]))
         states = [r["leaving"]]
         for pointers in reversed(back[1:]):
             states.append(int(pointers[states[-1]]))
-        yield {"conv": r["conv"], "chunk": r["chunk"], "states": states[::-1], "begins": sum(s < 3 for s in states)}
+        states.reverse()
+        begun = np.cumsum([s < 3 for s in states]).tolist()
+        yield {"conv": r["conv"], "chunk": r["chunk"], "states": states, "begun": begun, "begins": begun[-1]}
+
+
+def _spoken(rows: Rows) -> Rows:
+    """Turns before each chunk; rows come by conversation and chunk."""
+    conv, total = None, 0
+    for r in rows:
+        if r["conv"] != conv:
+            conv, total = r["conv"], 0
+        yield {"conv": conv, "chunk": r["chunk"], "spoken_before": total}
+        total += r["begins"]
 
 
 def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds code, chunk and place in the chunk. Lines come in order, and conversations and tasks too, so a task's number
+    and the running number of a line within task and conversation tell its place in the conversation."""
+    task, conv, at = TaskContext.get().partitionId(), None, 0
     for batch in batches:
         codes = [symbol(t or "", bool(a)) for t, a in zip(batch.column("line").to_pylist(), batch.column("after_blank").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.int64())], names=[*batch.schema.names, "code"])
+        chunks, places = [], []
+        for key in batch.column("conv").to_pylist():
+            if key != conv:
+                conv, at = key, 0
+            chunks.append((task << 32) + at // CHUNK_LINES)
+            places.append(at % CHUNK_LINES)
+            at += 1
+        columns = [batch.column("conv"), pa.array(chunks, pa.int64()), pa.array(places, pa.int32()), batch.column("line"), pa.array(codes, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["conv", "chunk", "place", "line", "code"])
+
 
+def coded_lines(texts: DataFrame) -> DataFrame:
+    """Lines of texts (conv, turn, text) in order of turn, hash of the text, text and line: conv, chunk, place, line, code.
 
-def line_states(lines: DataFrame) -> DataFrame:
-    """Lines (conv, turn, text_hash, line_no, line, after_blank) with chunk, code, state and `spoken`, the number of the recovered turn."""
-    coded = materialize(
-        lines.withColumn("chunk", F.floor(F.col("turn") / CHUNK_TURNS)).mapInArrow(
-            _symbols, "conv string, turn long, text_hash string, line_no int, line string, after_blank boolean, chunk long, code long"
+    (chunk, place) orders the lines of a conversation; no chunk holds more than CHUNK_LINES lines.
+    """
+    order = ["conv", "turn", "text_hash"]
+    ordered = texts.withColumn("text_hash", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    lines = ordered.withColumn("lines", F.split("text", "\r\n|\n")).select("conv", "lines", F.posexplode("lines").alias("line_no", "line"))
+    after = F.when(F.col("line_no") > 0, F.try_element_at("lines", F.col("line_no")).rlike(r"^\s*$")).otherwise(False)
+    return materialize(
+        lines.select("conv", "line", F.coalesce(after, F.lit(False)).alias("after_blank")).mapInArrow(
+            _symbols, "conv string, chunk long, place int, line string, code long"
         ),
         "chat-lines",
     )
-    place = F.struct("turn", "text_hash", "line_no", "code")
-    ordered = F.array_sort(F.collect_list(place))
-    chunks = coded.groupBy("conv", "chunk").agg(F.transform(ordered, lambda x: x["code"]).alias("codes"))
-    key = "conv string, chunk long, codes array<bigint>"
 
+
+def line_states(texts: DataFrame) -> DataFrame:
+    """Lines of texts (conv, turn, text) with chunk, place, code, state and `spoken`, the number of the recovered turn."""
+    coded = coded_lines(texts)
+    place = F.array_sort(F.collect_list(F.struct("place", "code")))
+    chunks = materialize(coded.groupBy("conv", "chunk").agg(F.transform(place, lambda x: x["code"]).alias("codes")), "chat-chunks")
+    key = ["conv", "chunk"]
+
+    def mapped(df: DataFrame, step: Callable[[Rows], Rows], columns: str, *fields: tuple[str, pa.DataType]) -> DataFrame:
+        return df.mapInArrow(_streamed(step, [*_KEY, *fields]), "conv string, chunk long, " + columns)
+
+    # One conversation's chunks pass one task in turn, without their codes: 42 numbers for CHUNK_LINES lines.
     def by_conversation(df: DataFrame, order: Column) -> DataFrame:
         return df.repartition("conv").sortWithinPartitions("conv", order)
 
-    codes = ("codes", _LONGS)
-    matrices = chunks.mapInArrow(_streamed(_matrices, [*_KEY, codes, ("matrix", _LONGS)]), key + ", matrix array<bigint>")
-    entering = by_conversation(matrices, F.col("chunk").asc()).mapInArrow(
-        _streamed(_entering, [*_KEY, codes, ("entering", _LONGS)]), key + ", entering array<bigint>"
-    )
-    entering = entering.repartition("conv", "chunk")  # so that the chunks of one conversation part again
-    pointers = entering.mapInArrow(
-        _streamed(_pointers, [*_KEY, codes, ("entering", _LONGS), ("before", _LONGS), ("best", pa.int64())]),
-        key + ", entering array<bigint>, before array<bigint>, best long",
-    )
-    leaving = by_conversation(pointers, F.col("chunk").desc()).mapInArrow(
-        _streamed(_leaving, [*_KEY, codes, ("entering", _LONGS), ("leaving", pa.int64())]), key + ", entering array<bigint>, leaving long"
-    )
-    states = leaving.repartition("conv", "chunk").mapInArrow(
-        _streamed(_states, [*_KEY, ("states", _LONGS), ("begins", pa.int64())]), "conv string, chunk long, states array<bigint>, begins long"
+    matrices = mapped(chunks, _matrices, "matrix array<bigint>, opening array<bigint>", ("matrix", _LONGS), ("opening", _LONGS))
+    entering = mapped(by_conversation(matrices, F.col("chunk").asc()), _entering, "entering array<bigint>", ("entering", _LONGS))
+    entered = materialize(chunks.join(entering, key), "chat-entered")
+    pointers = mapped(entered, _pointers, "before array<bigint>, best long", ("before", _LONGS), ("best", pa.int64()))
+    leaving = mapped(by_conversation(pointers, F.col("chunk").desc()), _leaving, "leaving long", ("leaving", pa.int64()))
+    states = mapped(
+        entered.join(leaving, key), _states, "states array<bigint>, begun array<bigint>, begins long",
+        ("states", _LONGS), ("begun", _LONGS), ("begins", pa.int64()),
     )
     states = materialize(states, "chat-states")
-
-    def running(rows: Rows) -> Rows:
-        conv, total = None, 0
-        for r in rows:
-            if r["conv"] != conv:
-                conv, total = r["conv"], 0
-            yield {"conv": conv, "chunk": r["chunk"], "spoken_before": total}
-            total += r["begins"]
-
-    counted = by_conversation(states.select("conv", "chunk", "begins"), F.col("chunk").asc()).mapInArrow(
-        _streamed(running, [*_KEY, ("spoken_before", pa.int64())]), "conv string, chunk long, spoken_before long"
-    )
-    # States go back to their lines by the same order within the chunk.
-    begun = F.aggregate(
-        "states",
-        F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("long").alias("n")),
-        lambda acc, s: F.struct(
-            F.concat(acc["out"], F.array(acc["n"] + F.when(s < 3, 1).otherwise(0))).alias("out"),
-            (acc["n"] + F.when(s < 3, 1).otherwise(0)).alias("n"),
-        ),
-        lambda acc: acc["out"],
-    )
-    numbered = states.join(counted, ["conv", "chunk"]).select("conv", "chunk", "states", "spoken_before", begun.alias("spoken_in"))
-    row = F.struct("turn", "text_hash", "line_no", "code", "line")
-    together = coded.groupBy("conv", "chunk").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    zipped = together.join(numbered, ["conv", "chunk"]).select(
-        "conv", "spoken_before", F.explode(F.arrays_zip("rows", "states", "spoken_in")).alias("z")
-    )
-    return zipped.select(
-        "conv", F.col("z.rows.turn").alias("turn"), F.col("z.rows.text_hash").alias("text_hash"), F.col("z.rows.line_no").alias("line_no"), F.col("z.rows.line").alias("line"),
-        F.col("z.rows.code").alias("code"), F.col("z.states").alias("state"), (F.col("spoken_before") + F.col("z.spoken_in") - 1).alias("spoken"),
-    )
+    begins = by_conversation(states.select(*key, "begins"), F.col("chunk").asc())
+    counted = mapped(begins, _spoken, "spoken_before long", ("spoken_before", pa.int64()))
+    numbered = states.join(counted, key).select(*key, "spoken_before", F.posexplode(F.arrays_zip("states", "begun")).alias("place", "z"))
+    numbered = numbered.select(*key, "place", F.col("z.states").alias("state"), (F.col("spoken_before") + F.col("z.begun") - 1).alias("spoken"))
+    return coded.join(numbered, [*key, "place"])
 
 
 def canonical(role: Column, text: Column) -> Column:
@@ -306,21 +315,18 @@ def parse_transcripts(parts: DataFrame, conv_type: str = "bigint") -> DataFrame:
     rows = parts.select(
         conversation_key(F.col("conv_id")).alias("conv"), F.coalesce(F.col("part").cast("long"), F.lit(0)).alias("turn"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).distinct().withColumn("text_hash", F.sha2("text", 256))  # texts at one place follow each other whole, by this hash
-    lines = F.split("text", "\r\n|\n")
-    exploded = rows.withColumn("lines", lines).select("conv", "turn", "text_hash", "lines", F.posexplode("lines").alias("line_no", "line"))
-    after = F.when(F.col("line_no") > 0, F.try_element_at("lines", F.col("line_no")).rlike(r"^\s*$")).otherwise(False)
-    found = line_states(exploded.select("conv", "turn", "text_hash", "line_no", "line", F.coalesce(after, F.lit(False)).alias("after_blank")))
+    ).distinct()
+    found = line_states(rows)
     opened = found.withColumn("opens", F.col("state") < 3)
     stripped = opened.where("opens").mapInArrow(_strip, opened.schema).unionByName(opened.where("NOT opens"))
     role = F.element_at(F.array(*map(F.lit, ROLES)), (F.col("state") % 3 + 1).cast("int"))
-    pieces = F.array_sort(F.collect_list(F.struct("turn", "text_hash", "line_no", "line")))
+    pieces = F.array_sort(F.collect_list(F.struct("chunk", "place", "line")))
     turns = stripped.withColumn("role", role).groupBy("conv", "spoken", "role").agg(
         F.array_join(F.transform(pieces, lambda p: p["line"]), "\n").alias("text")
     )
     text = F.regexp_replace(F.regexp_replace("text", r"^(?:[^\S\n]*\n)+", ""), r"(?:\n[^\S\n]*)+$", "")
     return turns.select(
-        F.when(F.col("conv") != "null", F.substring("conv", 2, 1 << 20)).cast(conv_type).alias("conv_id"),
+        F.when(F.col("conv") != "null", F.substr("conv", F.lit(2))).cast(conv_type).alias("conv_id"),
         F.col("spoken").alias("turn"), "role", text.alias("text"),
     ).withColumn("rendered", canonical(F.col("role"), F.col("text")))
 
