@@ -78,6 +78,38 @@ def test_false_magic_is_no_record(tmp_path):
             assert [(at, block) for at, _, block in parts] == whole
 
 
+def test_records_beside_other_members_are_kept(spark, tmp_path):
+    """Padding, foreign members and damaged records cost no sound record beside them, and are reported once."""
+    first, second, third = (warc.record(i, "u", b"payload %d" % i, None) for i in range(3))
+    foreign, padding = gzip.compress(b"no record"), b"\0" * 9
+    nested = b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % len(first) + first + b"\r\n\r\n"
+    raw = first + foreign + second + third[:40] + gzip.compress(nested, 0) + third + padding
+    at = [0, len(first) + len(foreign), len(raw) - len(padding) - len(third) - len(gzip.compress(nested, 0)), len(raw) - len(padding) - len(third)]
+    bad = [len(first), at[1] + len(second), len(raw) - len(padding)]
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(raw)
+    with path.open("rb") as file:
+        for step in (1, 7, 64, len(raw)):
+            got = [r for s in range(0, len(raw), step) for r in warc.records_between(file, s, min(s + step, len(raw)), len(raw))]
+            assert sorted(p for p, h, _ in got if h is not None) == at
+            assert sorted(p for p, h, _ in got if h is None) == bad
+    rows = warc.read_warc(spark, str(tmp_path), 50).collect()
+    assert sorted(r.member_start for r in rows if r.error is None) == at and sum(r.error is not None for r in rows) == 3
+    with pytest.raises(Exception, match="no record in bytes"):
+        warc.page_records(spark, str(tmp_path)).collect()
+
+
+def test_long_heads_and_other_spellings(spark, tmp_path):
+    url = base64.b64encode(random.Random(1).randbytes(900_000)).decode()
+    assert len(warc.record(1, url, b"x", None)) > 2 * warc.CHUNK
+    block = b"HTTP/1.1 200 OK\r\nset-cookie: a=1, b\r\nSet-Cookie:c\r\ncontent-length:1\r\n\r\ny"
+    old = b"WARC/0.18\r\nwarc-type:response\r\nWARC-RECORD-ID: <urn:page:2>\r\nX: a\r\n b\r\ncontent-length:%d\r\n\r\n" % len(block)
+    (tmp_path / "a.warc.gz").write_bytes(warc.record(1, url, b"x", None) + gzip.compress(old + block + b"\r\n\r\n"))
+    assert sorted((r.page_id, r.payload_bytes) for r in warc.page_records(spark, str(tmp_path)).collect()) == [(1, 1), (2, 1)]
+    row = warc.read_warc(spark, str(tmp_path)).where("member_start > 0").first()
+    assert row.http_headers["set-cookie"] == "a=1, b\nc" and row.headers["X"] == "a b" and row.headers["WARC-Type"] == "response"
+
+
 def test_damaged_payload_stops(spark, tmp_path):
     good = warc.record(1, "u", b"payload", None)
     text = gzip.decompress(good).replace(b"\r\n\r\npayload", b"\r\n\r\nPAYLOAD")

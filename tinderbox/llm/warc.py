@@ -1,10 +1,12 @@
 """WARC archives: a writer of one gzip member per record, and a splittable reader.
 
-The reader gives tasks byte ranges of the files. A task looks for gzip magic in its range, accepts a
-candidate when it decodes to a WARC head and a block of the stated length and is followed by another
-record's head or the end of the file, and owns the records that start inside its range, wherever they
-end. Only an archive stored uncompressed inside a record could still pass for records of its own; what
-`write_warc` writes cannot hold one, as UTF-8 text never contains gzip magic.
+The reader gives tasks byte ranges of the files. A task looks for gzip magic in its range; a candidate is a record
+if it decodes to a WARC head and a block of the stated length. The first one must also be followed by another record's
+head or the end of the file; if it is not, it may lie inside a record that is stored uncompressed, and the file is
+walked from its start to tell. From there on records follow each other. A task owns the records that start inside its
+range, wherever they end, and reports stretches after them that hold no record. Only several records in a row, stored
+uncompressed inside another one, could still pass for records of their own; what `write_warc` writes cannot hold
+them, as UTF-8 text never contains gzip magic.
 """
 
 from __future__ import annotations
@@ -30,8 +32,12 @@ CHUNK = 1 << 18
 HEAD_LIMIT = 1 << 16
 SPLIT_BYTES = 4 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+NAMES = {n.lower(): n for n in (
+    "WARC-Type", "WARC-Record-ID", "WARC-Date", "WARC-Target-URI", "WARC-Refers-To", "WARC-Payload-Digest", "WARC-Profile",
+    "Content-Type", "Content-Length",
+)}
 DATE = "1970-01-01T00:00:00Z"
-RECORDS = "path string, member_start long, headers map<string,string>, http_headers map<string,string>, payload binary"
+RECORDS = "path string, member_start long, headers map<string,string>, http_headers map<string,string>, payload binary, error string"
 
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -110,23 +116,38 @@ def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) -> int
     return written.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
 
 
-def _head(data: bytes) -> tuple[str, dict[str, str]]:
-    first, *lines = data.decode("utf-8", "replace").split("\r\n")
-    return first, dict(line.split(": ", 1) for line in lines if ": " in line)
+def _head(data: bytes) -> dict[str, str]:
+    """Fields of a head by name. Names are told apart without case and written as in NAMES or as first met; values of
+    a repeated name are joined by newlines, which no value contains."""
+    fields: dict[str, list[str]] = {}
+    names, last = dict(NAMES), None
+    for line in data.decode("utf-8", "replace").split("\r\n")[1:]:
+        name, colon, value = line.partition(":")
+        if line[:1] in (" ", "\t") and last is not None:
+            last[-1] += " " + line.strip()
+        elif colon:
+            last = fields.setdefault(names.setdefault(name.strip().lower(), name.strip()), [])
+            last.append(value.strip())
+    return {name: "\n".join(values) for name, values in fields.items()}
 
 
 def opens_record(file, at: int, size: int) -> bool:
-    """Whether a gzip member starts at `at` that decodes to the first words of a record."""
-    file.seek(at)
+    """Whether a gzip member starts at `at` that decodes to the first word of a record."""
+    decoder, data = zlib.decompressobj(31), b""
     try:
-        return zlib.decompressobj(31).decompress(file.read(min(HEAD_LIMIT, size - at)), 7).startswith(b"WARC/1.")
+        while len(data) < 5 and at < size and not decoder.eof:
+            file.seek(at)
+            chunk = file.read(min(HEAD_LIMIT, size - at))
+            at += len(chunk)
+            data += decoder.decompress(chunk, 5 - len(data))
     except zlib.error:
         return False
+    return data == b"WARC/"
 
 
 def member(file, at: int, size: int) -> tuple[int, dict[str, str], bytes] | None:
     """(end, headers, block) of the record that starts at `at`, or None if none does."""
-    decoder, data, pos, checked = zlib.decompressobj(31), bytearray(), at, False
+    decoder, data, pos = zlib.decompressobj(31), bytearray(), at
     try:
         while not decoder.eof:
             file.seek(pos)
@@ -135,49 +156,101 @@ def member(file, at: int, size: int) -> tuple[int, dict[str, str], bytes] | None
                 return None
             pos += len(chunk)
             data += decoder.decompress(chunk)
-            if not checked and (len(data) >= HEAD_LIMIT or decoder.eof or b"\r\n\r\n" in data):
-                if not data.startswith(b"WARC/1.") or b"\r\n\r\n" not in data:
-                    return None
-                checked = True
+            if len(data) >= 5 and not data.startswith(b"WARC/"):
+                return None
     except zlib.error:
         return None
-    end = pos - len(decoder.unused_data)
-    if end < size and not opens_record(file, end, size):
-        return None
     cut = data.find(b"\r\n\r\n")
-    headers = _head(bytes(data[:cut]))[1]
+    if cut < 0 or not data.startswith(b"WARC/"):
+        return None
+    headers = _head(bytes(data[:cut]))
     block = bytes(data[cut + 4 :])
     length = headers.get("Content-Length", "")
     if not length.isdigit() or len(block) != int(length) + 4:
         return None
-    return end, headers, block[:-4]
+    return pos - len(decoder.unused_data), headers, block[:-4]
 
 
-def records_between(file, start: int, end: int, size: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(start, headers, block) of the records that start in [start, end)."""
-    pos = start
-    while pos < end:
+def _member_end(file, at: int, size: int) -> int | None:
+    """The end of the gzip member that starts at `at`, whatever it holds, or None if none does."""
+    decoder = zlib.decompressobj(31)
+    try:
+        while not decoder.eof:
+            file.seek(at)
+            chunk = file.read(min(CHUNK, size - at))
+            if not chunk:
+                return None
+            at += len(chunk)
+            decoder.decompress(chunk)
+    except zlib.error:
+        return None
+    return at - len(decoder.unused_data)
+
+
+def _next_magic(file, pos: int, limit: int) -> int:
+    """The first gzip magic in [pos, limit), else `limit`."""
+    while pos < limit:
         file.seek(pos)
-        window = file.read(min(CHUNK, size - pos))
+        window = file.read(min(CHUNK, limit - pos))
         hit = window.find(MAGIC)
-        if hit < 0:
-            pos += max(1, len(window) - 2)
+        if hit >= 0:
+            return pos + hit
+        pos += max(1, len(window) - 2)
+    return limit
+
+
+def _in_sequence(file, pos: int, size: int) -> Iterator[tuple[int, tuple[int, dict[str, str], bytes] | int]]:
+    """(start, record) of all records from `pos` on, where a record starts or ended, and (start, end) of stretches without."""
+    while pos < size:
+        found = member(file, pos, size)
+        if found is not None:
+            yield pos, found
+            pos = found[0]
             continue
-        at = pos + hit
+        at = pos
+        while at < size and found is None:
+            at = _member_end(file, at, size) or _next_magic(file, at + 1, size)
+            found = member(file, at, size) if at < size else None
+        yield pos, at
+        pos = at
+
+
+def _first_start(file, start: int, end: int, size: int) -> int:
+    """Where a sequence that covers the records starting in [start, end) begins."""
+    pos = start
+    while pos < end:
+        at = _next_magic(file, pos, min(end + 2, size))
         if at >= end:
-            return
+            return size
         found = member(file, at, size)
         if found is None:
             pos = at + 1
+        elif found[0] == size or opens_record(file, found[0], size):
+            return at
         else:
+            return next((s for s, _ in _in_sequence(file, 0, size) if s >= start), size)
+    return size
+
+
+def records_between(file, start: int, end: int, size: int) -> Iterator[tuple[int, dict[str, str] | None, bytes]]:
+    """(start, headers, block) of the records that start in [start, end); and (start, None, message) of each stretch
+    without a record that follows one of them, or the start of the file."""
+    reports = start == 0
+    for at, found in _in_sequence(file, _first_start(file, start, end, size) if start else 0, size):
+        if isinstance(found, int):
+            if reports:
+                yield at, None, f"no record in bytes {at} to {found}".encode()
+        elif at < end:
+            reports = True
             yield at, found[1], found[2]
-            pos = found[0]
+        if at >= end:
+            return
 
 
 def _range_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("path", pa.string()), ("member_start", pa.int64()), ("headers", pa.map_(pa.string(), pa.string())),
-         ("http_headers", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())]
+         ("http_headers", pa.map_(pa.string(), pa.string())), ("payload", pa.binary()), ("error", pa.string())]
     )
 
     def batch_of(rows: list) -> pa.RecordBatch:
@@ -189,12 +262,15 @@ def _range_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             rows, held = [], 0
             with store.open_input_file(path) as file:
                 for at, headers, block in records_between(file, job["start"], job["end"], job["length"]):
+                    if headers is None:
+                        rows.append((job["path"], at, None, None, None, block.decode()))
+                        continue
                     head, _, payload = block.partition(b"\r\n\r\n") if block.startswith(b"HTTP/") else (b"", b"", block)
                     revisit = headers.get("WARC-Type") == "revisit"
                     digest = headers.get("WARC-Payload-Digest", "")
                     if not revisit and digest.startswith("sha1:") and digest[5:] != sha1_base32(payload):
                         raise ValueError(f"payload of {path} at {at} does not match its digest")
-                    rows.append((job["path"], at, list(headers.items()), list(_head(head)[1].items()), None if revisit else payload))
+                    rows.append((job["path"], at, list(headers.items()), list(_head(head).items()), None if revisit else payload, None))
                     held += len(payload)
                     if held > CHUNK * 16:
                         yield batch_of(rows)
@@ -206,10 +282,10 @@ def _range_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Records of all *.warc.gz files below a folder, read in ranges of `split_bytes`.
 
-    Columns: path, member_start, headers, http_headers, and payload (null for revisits). An empty folder or
-    empty files give no rows; members that are no records are passed over, with the record
-    right before them; a payload that does not
-    match its digest stops the job.
+    Columns: path, member_start, headers, http_headers, payload (null for revisits) and error. An empty folder or
+    empty files give no rows. A stretch without a record (padding, other members, damaged records) gives one row with
+    its start and an error and nulls otherwise; a payload that does not match its digest stops the job. Values of a
+    repeated field are joined by newlines.
     """
     files = (
         spark.read.format("binaryFile")
@@ -228,15 +304,19 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES)
 
 
 def page_records(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """What the records of `write_warc` say of their pages: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """What the records of `write_warc` say of their pages: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    A stretch of the files without a record stops the job.
+    """
     def number(header: str):
         return F.regexp_extract(F.col("headers")[header], r"<urn:page:(-?[0-9]+)>", 1)
 
     def page(header: str):
         return F.when(F.col("headers")[header].isNotNull(), number(header).cast("long"))
 
+    broken = F.raise_error(F.concat_ws(": ", "path", "error")).cast("long")
     return read_warc(spark, folder, split_bytes).select(
-        page("WARC-Record-ID").alias("page_id"),
+        F.when(F.col("error").isNotNull(), broken).otherwise(page("WARC-Record-ID")).alias("page_id"),
         F.col("http_headers")["Content-Length"].cast("long").alias("payload_bytes"),
         F.substring_index(F.col("headers")["WARC-Payload-Digest"], ":", -1).alias("payload_digest"),
         F.col("headers")["WARC-Type"].alias("record_type"),
