@@ -69,6 +69,21 @@ def test_near_duplicates(spark, monkeypatch, size, percent):
     assert stay.count() == got.where("kept").count()
 
 
+def test_members_of_one_component_are_not_compared(spark, monkeypatch):
+    """1,000 linked documents and one more in their star: a copy of each set, not one for each block."""
+    monkeypatch.setattr(near_dedup, "GROUP_BLOCK", 10)
+    members = [(1, i, 1) for i in range(1000)] + [(1, 1000, 1000)] + [(2, i, i % 3 // 2) for i in range(60)] + [(3, 5, 5), (3, 6, 5)]
+    stars = spark.createDataFrame(members, "first long, node long, component long")
+    sets = spark.range(1001).select(F.col("id").alias("node"), F.array("id").alias("shingles"))
+    got = near_dedup._meetings(stars, sets).collect()
+    assert sum(r.first == 1 for r in got) == 1000 + 1 + 100 and not any(r.first == 3 for r in got)
+    met = {}
+    for r in got:
+        met.setdefault((r.first, r.i, r.j), []).append((r.node, r.component))
+    pairs = {(k[0], *sorted((a, b))) for k, v in met.items() for a, x in v for b, y in v if x != y}
+    assert pairs == {(1, i, 1000) for i in range(1000)} | {(2, *sorted((a, b))) for a in range(2, 60, 3) for b in range(60) if b % 3 < 2}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(frame(spark, [])).count() == 0
 

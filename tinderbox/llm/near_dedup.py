@@ -7,7 +7,8 @@ chosen so that a pair at the threshold is missed with a chance below MISS.
 Equal sets are one class from the start. In each bucket the classes are compared with the one of the smallest
 id, and true links are contracted to components. Only where members of one star are still apart are they
 compared with each other: in blocks of GROUP_BLOCK sets, whose intersections are one matrix product, so
-that pairs exist only inside a task. This last step grows with the square of such a star.
+that pairs exist only inside a task. Blocks of a star's largest component do not meet each other, so this last step
+grows with the members outside that component times all members.
 """
 
 from __future__ import annotations
@@ -176,6 +177,22 @@ def _comparer(percent: int) -> Callable:
     return compare
 
 
+def _meetings(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members (first, node, component) of stars that span components, with their sets, once for each pair (i, j) of
+    blocks they are compared in. Blocks of the largest component meet only blocks of the rest."""
+    sizes = stars.groupBy("first", "component").agg(F.count(F.lit(1)).alias("n"))
+    spans = sizes.groupBy("first").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
+    blocks = lambda n: F.ceil(n / GROUP_BLOCK).cast("int")
+    spans = spans.select("first", F.col("top.component").alias("top"), blocks(F.col("top.n")).alias("inner"), blocks(F.col("n") - F.col("top.n")).alias("rest"))
+    inside, h = F.col("component") == F.col("top"), F.xxhash64("node")
+    block = F.when(inside, F.col("rest") + F.pmod(h, F.col("inner"))).otherwise(F.pmod(h, F.col("rest"))).cast("int")
+    others = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("inner"))
+    met = stars.join(spans, "first").withColumn("block", block).withColumn("others", others).join(sets, "node")
+    return met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select(
+        "first", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "shingles"
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links) and
     kept (it is that id).
@@ -235,15 +252,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         crowded.select("first", "node").distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled"
     )
     stars = labelled.select("first", "node", "component").distinct()
-    mixed = stars.groupBy("first").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("n")
-    ).where("x < y").drop("x", "y")
-    block = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
-    meeting = (
-        stars.join(mixed, "first").withColumn("block", block).join(sets, "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        .select("first", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "shingles")
-    )
+    meeting = _meetings(stars, sets)
     meeting = meeting.repartition("first", "i", "j").sortWithinPartitions("first", "i", "j")
     late = materialize(meeting.mapInArrow(_comparer(percent), "a long, b long"), "late-links")
     roots = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
