@@ -321,6 +321,20 @@ def test_urls_are_fetched_once(spark, tmp_path):
     assert sorted(p.read_text() for p in log.iterdir()) == ["a", "bad"]
 
 
+def test_urls_are_asked_again_after_transport_failures(spark):
+    """A timeout is asked again until a server answers; an HTTP failure is an answer."""
+    wanted = spark.createDataFrame([("late", date(2024, 1, 1)), ("bad", date(2024, 1, 1))], "source_url string, d date")
+    nothing = spark.createDataFrame([], "url_hash string, response_id long, status_code long, html string, request_err string")
+    store = nothing
+    for fetcher in (external.offline, lambda u: (0, None, "timeout"), lambda u: (200, "<p>x</p>", None) if u == "late" else (500, None, "server")):
+        fresh = external.fetch_missing(wanted, store, "source_url", fetcher)
+        assert fresh.count() == 2
+        store = spark.createDataFrame(store.collect() + fresh.collect(), nothing.schema)
+    got = {r.source_url: r for r in external.page_texts(wanted, store, "source_url", "d").collect()}
+    assert got["late"].scraped_text.strip() == "x" and got["bad"].status_code == 500
+    assert external.fetch_missing(wanted, store, "source_url").count() == 0
+
+
 def test_encoder_sees_each_text_once(spark, tmp_path):
     log = tmp_path / "log"
     log.mkdir()

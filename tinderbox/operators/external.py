@@ -48,17 +48,24 @@ def is_success(status: Column, body: Column) -> Column:
     return status.between(200, 299) & (F.length(body) > 0)
 
 
+def is_answer(status: Column, error: Column) -> Column:
+    """Whether a server answered, with a failure or not; false for a timeout and other transport failures."""
+    return error.isNull() | (F.coalesce(status, F.lit(0)) > 0)
+
+
 RESPONSE_COLUMNS = ["url_hash", "response_id", "status_code", "html", "request_err"]
 
 
 def fetch_missing(wanted: DataFrame, responses: DataFrame, url: str, fetcher: Fetcher = offline) -> DataFrame:
-    """Responses of the wanted urls that have none yet, in the columns of the store.
+    """Responses of the wanted urls that have none yet, in the columns of the store. A transport failure is no
+    answer, so its url is asked again.
 
     Each distinct url is fetched once, however many days want it. Store the result before reading it: every
     read of this frame would fetch again.
     """
     distinct = wanted.select(url).where(F.col(url).isNotNull()).distinct().withColumn("url_hash", X.url_hash(F.col(url)))
-    misses = distinct.join(responses.select("url_hash"), "url_hash", "left_anti")
+    known = responses.where(is_answer(F.col("status_code"), F.col("request_err")))
+    misses = distinct.join(known.select("url_hash"), "url_hash", "left_anti")
     got = fetch(misses, url, fetcher)
     return got.withColumn("response_id", F.xxhash64("url_hash", "status_code", "html")).select(*RESPONSE_COLUMNS)
 
@@ -81,15 +88,17 @@ def scrape(
 
 
 def page_texts(wanted: DataFrame, responses: DataFrame, url: str, day: str) -> DataFrame:
-    """Page text per wanted url and day from the store; a url without a response has none."""
+    """Page text per wanted url and day from the store; a url without a response has none. Successes come before
+    other answers, and these before transport failures."""
     hashed = wanted.select(url, F.col(day).alias("part_date")).withColumn(
         "url_hash", X.url_hash(F.col(url))
     )
     stored = responses.select(
         "url_hash", "response_id", "status_code", "html", "request_err",
         is_success(F.col("status_code"), F.col("html")).alias("ok"),
+        F.struct((~is_answer(F.col("status_code"), F.col("request_err"))).alias("unanswered"), "response_id").alias("tie"),
     )
-    looked_up = cached_responses(hashed, stored, "url_hash", "ok", "response_id")
+    looked_up = cached_responses(hashed, stored, "url_hash", "ok", "tie")
     ok = is_success(F.col("status_code"), F.col("html"))
     page = looked_up.where("is_hit").withColumn("scraped_text", F.when(ok, X.extract_text("html")))
     return page.select(

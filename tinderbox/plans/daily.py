@@ -185,7 +185,8 @@ def refresh_top_news(
     fetcher: external.Fetcher = external.offline, top_k: int = 1,
 ) -> None:
     """The hottest urls of the window and their page texts. `responses` are those known from elsewhere; what is
-    fetched, successes and failures, joins the store `scraping_responses`, so a rerun fetches nothing."""
+    fetched, successes and failures, joins the store `scraping_responses`, so a rerun asks only urls again that no
+    server has answered for; a transport failure is stored once."""
     heat = in_window(lake.read(spark, "heat_indicator_by_event"), "date_added", start, end)
     chosen = lake.path("top_news_events")
     writers.replace_range(ranking.hottest_urls(heat, top_k), chosen, "date_added", start, end)
@@ -195,7 +196,8 @@ def refresh_top_news(
     store = lake.path("scraping_responses")
     kept = responses.select(*[F.col(n).cast(t).alias(n) for n, t in RESPONSES.items()])
     known = _stored(spark, store, kept.schema).unionByName(kept)
-    external.fetch_missing(top, known, "source_url", fetcher).write.mode("append").parquet(store)
+    fresh = external.fetch_missing(top, known, "source_url", fetcher)
+    fresh.join(known.select("url_hash", "response_id"), ["url_hash", "response_id"], "left_anti").write.mode("append").parquet(store)
     known = _stored(spark, store, kept.schema).unionByName(kept)
     scraped = external.page_texts(top, known, "source_url", "date_added")
     writers.replace_range(scraped, lake.path("scraping_results"), "part_date", start, end)
