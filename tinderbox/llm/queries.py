@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tinderbox.llm import chat, classifier, cover_tree, mixing, near_dedup, packing, pii, prefix_free, quality_rules, warc
+from tinderbox.llm import (
+    chat, classifier, content_sort, cover_tree, mixing, near_dedup, packing, pii, prefix_free, prefix_trie, quality_rules, tree_lloyd, warc,
+)
 from tinderbox.llm.common import table
 from tinderbox.session import new_dir, tune
 
@@ -177,3 +179,91 @@ FROM upto u LEFT JOIN given g ON u.queue = g.queue AND u.draw = g.draw AND u.upt
 @query("op10_mix_sources", MIX_SQL)
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_sources(table(spark, d, "documents"))
+
+
+SAME_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY t)
+"""
+
+
+@query("op11_content_sort_dedup", SAME_SQL)
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return content_sort.exact_duplicates(table(spark, d, "documents"), keep="largest")
+
+
+def _round_sql(k: int) -> str:
+    """Assignment a<k> to codebooks b<k>, and the codebooks b<k + 1> it leads to."""
+    return f"""
+a{k} AS (
+  SELECT p.vec_id, p.part, min(list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + b.entry) AS best
+  FROM p JOIN b{k} b USING (part) GROUP BY p.vec_id, p.part
+), m{k} AS (
+  SELECT part, best % 64 AS entry, i, sum(x[i])::BIGINT AS s, count(*) AS n
+  FROM a{k} JOIN p USING (vec_id, part), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY ALL
+), b{k + 1} AS (
+  SELECT part, entry, coalesce(u.x, b.x) AS x FROM b{k} b LEFT JOIN (
+    SELECT part, entry, list((s - (s % n + n) % n) // n ORDER BY i) AS x FROM m{k} GROUP BY part, entry
+  ) u USING (part, entry)
+)"""
+
+
+CODE_SQL = f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS x FROM v, range(16) r(part)
+), seeds AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < 64
+), b0 AS (SELECT part, entry, x FROM p JOIN seeds USING (vec_id)
+),{_round_sql(0)},{_round_sql(1)},{_round_sql(2)}
+, coded AS (
+  SELECT vec_id, string_agg(format('{{:02x}}', best % 64), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN v USING (vec_id), books
+"""
+
+
+@query("op12_tree_lloyd_codes", CODE_SQL)
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return tree_lloyd.compress_vectors(table(spark, d, "embeddings"))
+
+
+TRIE_SQL = """
+WITH o AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s,
+    list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ord(substr(conv_id::VARCHAR, i, 1))::BIGINT) AS digits
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, s, xor(list_reduce(list_concat([4294967295::BIGINT], digits), lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 9 AS h FROM o
+), rebuilt AS (
+  SELECT h.conv_id, list_concat(coalesce(b.s, [])[1 : h.h], h.s[h.h + 1 :]) AS s FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 5
+), steps AS (
+  SELECT conv_id, d, s[1 : d] AS k, d = len(s) AS ends FROM rebuilt, LATERAL (SELECT unnest(range(0, len(s) + 1)) AS d)
+), n AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+  FROM steps GROUP BY k, d
+), kids AS (
+  SELECT k[1 : d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL
+), whole AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (k, d)
+), below AS (
+  SELECT k[1 : a] AS k, a AS d, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum(CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(k[d].t)) END)::BIGINT AS saved_tokens
+  FROM whole, LATERAL (SELECT unnest(range(0, d + 1)) AS a) GROUP BY ALL
+)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, b.n_leaves, b.saved_tokens, sha256(w.ids) AS ends_sha256
+FROM whole w JOIN below b USING (k, d) LEFT JOIN n p ON w.d > 0 AND p.d = w.d - 1 AND p.k = w.k[1 : w.d - 1]
+"""
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, d, "conversations"))
