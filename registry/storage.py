@@ -152,13 +152,113 @@ def _(spark, d):
     return _shown(delimited.scan_feed(spark, folder, EVENTS))
 
 
+def _folder(spark) -> str:
+    folder = new_dir(spark, "feed")
+    store, base = pafs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", folder))
+    store.create_dir(base)
+    return folder
+
+
+def _send(lines: DataFrame, folder: str, broken: tuple = ()) -> None:
+    zip_days(lines, folder, broken).write.format("noop").mode("overwrite").save()
+
+
 @query("zip_scan", _SHOWN_SQL)
 def _(spark, d):
+    """Archives of one day each through the data source."""
+    folder = _folder(spark)
+    _send(day_lines(bronze(spark, d)), folder)
+    return _shown(archives.scan_archives(spark, folder, EVENTS)[0])
+
+
+@query("zip_contents", _SHOWN_SQL)
+def _(spark, d):
+    """The same for archives whose contents Spark holds already."""
     packed = pack(feed_lines(bronze(spark, d)))
     lines = archives.unpack(packed, EVENTS.header).where("error IS NULL")
     return _shown(delimited.parse_lines(lines.select("value"), EVENTS.schema))
 
 
+@query(
+    "zip_window",
+    f"""WITH {BRONZE_SQL}, n AS (SELECT date_added, count(*) AS n FROM b WHERE date_added BETWEEN 20240105 AND 20240110 GROUP BY 1)
+    SELECT CAST(date_added AS VARCHAR) || '.export.CSV.zip' AS filename, n AS read_lines, n AS last_line FROM n""",
+)
+def _(spark, d):
+    """Days outside the window lie there as files that cannot be opened; conditions keep them shut."""
+    folder, days = _folder(spark), F.col("day").between("20240105", "20240110")
+    lines = day_lines(bronze(spark, d))
+    _send(lines, folder)
+    outside = [r[0] for r in lines.select("day").distinct().collect() if not 20240105 <= r[0] <= 20240110]
+    _send(lines, folder, tuple(outside))
+    read = archives.archive_lines(spark, folder, EVENTS).where(days)
+    return read.groupBy("filename").agg(F.count("value").alias("read_lines"), F.max("line").alias("last_line"))
+
+
+class _Cut(Exception):
+    """Stands for a driver that is lost after a batch has landed and before the stream knows."""
+
+
+@query(
+    "stream_archives",
+    f"""WITH {BRONZE_SQL} SELECT date_added, count(*) AS n, CAST(sum(num_mentions) AS BIGINT) AS mentions,
+      date_added <> 20240105 AS at_first FROM b GROUP BY 1""",
+)
+def _(spark, d):
+    """Archives through micro-batches: one run is cut off and repeats its batch, one archive arrives damaged and is repaired later."""
+    folder = _folder(spark)
+    to = ingest.Landing(folder, EVENTS, *(new_dir(spark, n) for n in ("bronze", "ledger", "progress")))
+    lines = day_lines(bronze(spark, d))
+    _send(lines.where("day <= 20240112"), folder, (20240105,))
+    cut = []
+
+    def once(key: str) -> None:
+        if not cut:
+            cut.append(key)
+            raise _Cut(key)
+
+    for _run in range(2):
+        try:
+            ingest.land_archives(spark, to, files_per_batch=5, after=once)
+        except Exception as err:  # the stream wraps it
+            if "_Cut" not in str(err):
+                raise
+    _send(lines.where("day > 20240112"), folder)
+    ingest.land_archives(spark, to, files_per_batch=5)
+    early = {r[0] for r in to.rows(spark).select("date_added").distinct().collect()}  # days
+    _send(lines.where("day = 20240105"), folder)
+    for _run in range(2):
+        ingest.repair_archives(spark, to)
+    counts = to.rows(spark).groupBy("date_added").agg(F.count(F.lit(1)).alias("n"), F.sum("num_mentions").alias("mentions"))
+    return counts.withColumn("at_first", F.col("date_added").isin(sorted(early)))
+
+
+@query(
+    "unreadable_days_by_file",
+    f"""WITH {BRONZE_SQL} SELECT CAST(date_added AS VARCHAR) || '.export.CSV.zip' AS filename, 3 * count(*) AS n FROM b WHERE ev_id % 17 = 0 GROUP BY 1""",
+)
+def _(spark, d):
+    """Equal rows without a day, three times in each of the files, all wait with the file and line they came from; reruns add none."""
+    lake, folder = daily.Lake(new_dir(spark, "lake")), _folder(spark)
+    rows = bronze(spark, d)
+    whole = day_lines(rows)
+    blank = feed_lines(rows.where("ev_id % 17 = 0").withColumn("date_added", F.lit(None)).withColumn("ev_id", F.lit(1)), rows.columns)
+    days = rows.where("ev_id % 17 = 0").select("date_added")
+    # One and the same line for every row without a day: only file and number tell them apart.
+    line = blank.orderBy("value").limit(1).first()[0]
+    lost = days.select(F.explode(F.array_repeat(F.lit(line), 3)).alias("value"), F.col("date_added").alias("day"))
+    sent = zip_days(whole.select("value", "day").unionByName(lost), folder)
+    path = new_dir(spark, "listing")
+    sent.select(
+        F.col("day").cast("string").alias("date_str"), "filename", F.lit("1").alias("size_mb"), "md5",
+        F.col("filename").alias("full_url"), F.lit("events").alias("event_type"),
+    ).write.parquet(path)
+    for _run in range(2):
+        daily.ingest(spark, lake, "events", folder, spark.read.parquet(path), date(2024, 1, 1), date(2024, 12, 31), force=True)
+    waiting = spark.read.parquet(writers.unreadable_path(lake.path("bronze_events")))
+    return waiting.groupBy("filename").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("stream_ingest", _SHOWN_SQL)
 def _(spark, d):
     folder, dest, mark = (new_dir(spark, n) for n in ("feed", "bronze", "progress"))

@@ -13,7 +13,7 @@ from tinderbox.operators import embedding, external, ranking
 from tinderbox.operators.windows import in_int_window, in_window
 from tinderbox.plans import gold, silver
 from tinderbox.schemas import feed
-from tinderbox.session import WIDE_LOOKUPS, scoped
+from tinderbox.session import WIDE_LOOKUPS, scoped, staged
 from tinderbox.sinks import storage, writers
 from tinderbox.sources import archives, catalog
 
@@ -45,37 +45,37 @@ def ingest(
 ) -> dict[str, int]:
     """Land the window's unread archives in bronze and record them; numbers of files landed, damaged and absent.
 
-    Archives are chosen by name before any is opened, read in full and compared with their listed checksum
-    before the first row lands. Only files that were read (or were empty) are recorded; damaged and
-    absent ones go to `bronze_ingest_errors` and are tried again next time. Only days present in the increment
-    are replaced, so days ingested before stay. What is gathered on the driver is names of the window's files.
+    Archives are chosen by name before any is opened; each is read and inflated once, compared with its listed
+    checksum, and read to its end before its first row lands. Only files that were read (or were empty) are recorded;
+    damaged and absent ones go to `bronze_ingest_errors` and are tried again next time. Only days present in the
+    increment are replaced, so days ingested before stay; rows without a day are set aside with the file and line
+    they stood in. What is gathered on the driver is names of the window's files.
     """
     spec = feed(source)
     known = lake.path("bronze_scraping_checkpoints")
     done = _stored(spark, known, listing.schema)
     todo, unread = catalog.new_files(listing, done, source, start, end, force)
     wanted = {r["filename"]: r["md5"] for r in todo.select("filename", "md5").collect()}
-    there = archives.list_archives(spark, folder, spec).where(F.col("filename").isin(list(wanted)))
-    paths = {r["filename"]: r["path"] for r in there.collect()} if wanted else {}
-    checked = archives.inspect(archives.read_archives(spark, list(paths.values())), wanted)
-    faults = {r["path"].rsplit("/", 1)[-1]: r["error"] for r in checked.where("error IS NOT NULL").collect()}
-    # Spark's scans pass over files of length 0; these are there, but hold nothing.
-    empty = [name for name in wanted if name not in paths and storage.exists(spark, f"{folder}/{name}")]
-    faults |= {name: "absent" for name in wanted if name not in paths and name not in empty}
-    sound = [p for name, p in paths.items() if name not in faults]
-    if sound:
-        lines = archives.unpack(archives.read_archives(spark, sound), spec.header)
-        rows = archives.parse_lines(lines.where("error IS NULL").select("value"), spec.schema)
+    if not wanted:
+        return {"landed": 0, "damaged": 0, "absent": 0}
+    lines = archives.archive_lines(spark, folder, spec, wanted).where(F.col("filename").isin(list(wanted)))
+    with staged(archives.typed_rows(lines, spec), "increment") as increment:
+        ends = increment.where("NOT value_read").select("filename", "error").collect()
+        faults = {r["filename"]: r["error"] for r in ends if r["error"]}
+        landed = [r["filename"] for r in ends if not r["error"]]
         # The increment is written before the files are recorded: a lost run is simply repeated.
-        writers.replace_present(rows, lake.path(spec.table), spec.partition)
-    if sound or empty:
-        read = unread.where(F.col("filename").isin([*(n for n in paths if n not in faults), *empty]))
+        rows = increment.where("value_read").drop("value_read", "error")
+        if landed:
+            writers.replace_present(rows, lake.path(spec.table), spec.partition, ("filename", "line"))
+    faults |= {name: "absent" for name in wanted if name not in landed and name not in faults}
+    if landed:
+        read = unread.where(F.col("filename").isin(landed))
         writers.append(read.select(*listing.columns), known, "event_type")
     if faults:
         errors = spark.createDataFrame([(source, *f) for f in sorted(faults.items())], "event_type string, filename string, error string")
         writers.append(errors, lake.path("bronze_ingest_errors"), "event_type")
     absent = sum(e == "absent" for e in faults.values())
-    return {"landed": len(sound) + len(empty), "damaged": len(faults) - absent, "absent": absent}
+    return {"landed": len(landed), "damaged": len(faults) - absent, "absent": absent}
 
 
 def refresh_silver(

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Conditions on days and file names decide which archives are opened.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 _fallback: dict[str, str] = {}
@@ -76,3 +78,18 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """`df` written once below the shared folder and read back for as often as the block needs it, then deleted.
+
+    What is derived from it must be written before the block ends.
+    """
+    spark, path = df.sparkSession, new_dir(df.sparkSession, label)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -6,6 +6,7 @@ one crowded day neither becomes one task nor leaves thousands of small files.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -57,10 +58,14 @@ def unreadable_path(path: str) -> str:
     return f"{path.rstrip('/')}_unreadable"
 
 
-def _set_aside(df: DataFrame, path: str, part: str) -> None:
-    """Append the rows of `df` without a partition value to the table beside; rows that wait there
-    already, from an earlier run over the same input, are not added again."""
-    spark, target = df.sparkSession, unreadable_path(path)
+def _set_aside(df: DataFrame, target: str, part: str) -> None:
+    """Append the rows of `df` without a partition value to the table `target`; rows that wait there
+    already, from an earlier run over the same input, are not added again.
+
+    Rows are the same if all their columns are, identity columns included: without those, an equal row of a later
+    input passes for one that waits already.
+    """
+    spark = df.sparkSession
     lost = df.where(F.col(part).isNull())
     lost = lost.withColumn("row_hash", F.sha2(F.to_json(F.struct(*[f"`{c}`" for c in df.columns])), 256))
     if storage.exists(spark, target):
@@ -68,15 +73,16 @@ def _set_aside(df: DataFrame, path: str, part: str) -> None:
     lost.write.mode("append").parquet(target)
 
 
-def _replace(df: DataFrame, path: str, part: str) -> dict:
+def _replace(df: DataFrame, path: str, part: str, identity: Sequence[str] = (), aside: str | None = None) -> dict:
     """Overwrite the partitions that `df` holds; rows without a value are set aside, so that they
     never replace, nor are replaced as, a partition. Returns bounds and partitions written.
 
-    All are observed while writing, so `df` is computed once, unless there are rows to set aside.
+    All are observed while writing, so `df` is computed once, unless there are rows to set aside; who has
+    costly rows hands in `staged` ones. `identity` columns tell where a row came from; only rows set aside keep them.
     """
     seen = Observation()
     # Observed above the shuffle: an empty input is optimized away together with what is below.
-    rows = _spread(df, part).observe(
+    rows = _spread(df.drop(*identity), part).observe(
         seen,
         F.min(part).alias("low"),
         F.max(part).alias("high"),
@@ -85,7 +91,7 @@ def _replace(df: DataFrame, path: str, part: str) -> dict:
     )
     _overwrite_touched(rows.where(F.col(part).isNotNull()), path, part)
     if seen.get["unreadable"]:
-        _set_aside(df, path, part)
+        _set_aside(df, aside or unreadable_path(path), part)
     return {"low": seen.get["low"], "high": seen.get["high"], "parts": set(seen.get["parts"] or [])}
 
 
@@ -122,10 +128,26 @@ def replace_observed(df: DataFrame, path: str, part: str) -> tuple | None:
     return written["low"], written["high"]
 
 
-def replace_present(df: DataFrame, path: str, part: str) -> None:
+def replace_present(df: DataFrame, path: str, part: str, identity: Sequence[str] = ()) -> None:
     """Replace only the partitions that occur in `df` (an increment of whole days); rows without a
-    value are set aside beside the table."""
-    _replace(df, path, part)
+    value are set aside beside the table.
+
+    `identity` names columns, such as file and line, that tell equal rows of different origin apart; the table does
+    not get them, rows set aside keep them.
+    """
+    _replace(df, path, part, identity)
+
+
+def replace_batch(df: DataFrame, path: str, batch: str, key: str, part: str, identity: Sequence[str] = ()) -> None:
+    """Make the partition `batch`=`key` of the table hold exactly the rows of `df`, by `part` within it.
+
+    Repeating a batch replaces what it wrote before and drops days that it no longer has; other batches of the
+    same days stay. Rows without a value are set aside beside the whole table.
+    """
+    own = f"{path}/{batch}={key}"
+    written = _replace(df, own, part, identity, unreadable_path(path))
+    for value in set(storage.partition_values(df.sparkSession, own, part)) - written["parts"]:
+        storage.drop_partition(df.sparkSession, own, part, value)
 
 
 def swap_table(df: DataFrame, name: str, part: str | None = None) -> None:
