@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from registry.base import EV_SQL, R, bronze, dicts, ev, query, rounded
+from registry.base import EV_SQL, ORACLES, R, bronze, dicts, ev, query, rounded
 from registry.relational import ENRICHED_CTE, SILVER_CTE
 from tinderbox.functions import geo, heat
 from tinderbox.functions.scalars import blank_to_null
 from tinderbox.operators import aggregates as A
 from tinderbox.operators.medians import exact_medians
-from tinderbox.plans import gold, silver
+from tinderbox.plans import daily, gold, silver
+from tinderbox.session import new_dir
+from tinderbox.sinks import writers
 
 _DIVIDED = ["0", "3", "7"]
 
@@ -176,6 +180,26 @@ def _(spark, d):
     return rounded(gold.geo_zones(_enriched(spark, d)))
 
 
+def _place_tables(spark, d):
+    """Half of the days, then the others and again one day that had been cut short: the tables of one full run."""
+    lake, rows = daily.Lake(new_dir(spark, "lake")), bronze(spark, d)
+    cut = rows.where("date_added < 20240115 AND (date_added <> 20240110 OR ev_id % 2 = 0)")
+    for events, first, last in ((cut, date(2024, 1, 1), date(2024, 1, 14)), (rows.where("date_added >= 20240115 OR date_added = 20240110"), date(2024, 1, 10), date(2024, 12, 31))):
+        writers.replace_present(events, lake.path("bronze_events"), "date_added")
+        daily.refresh_place_tables(spark, lake, dicts(spark, d), first, last)
+    return [rounded(writers.latest_snapshot(spark, lake.path(t))) for t in ("geo_locations_helper", "geo_zones_helper")]
+
+
+@query("geo_rollup_increments", ORACLES["geo_rollup"])
+def _(spark, d):
+    return _place_tables(spark, d)[0]
+
+
+@query("geo_zones_increments", ORACLES["geo_zones"])
+def _(spark, d):
+    return _place_tables(spark, d)[1]
+
+
 _ZONES_SQL = """
   CASE WHEN geo_key IN (0, 3, 7) THEN country || '/' || state ELSE country END AS zone_path,
   CASE WHEN geo_key IN (0, 3, 7) AND state IS NOT NULL AND state <> country

@@ -49,9 +49,15 @@ def place_rollup(df: DataFrame, levels: list[str], lat: str, lon: str) -> DataFr
     placed = df.where(
         F.col(levels[0]).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
     )
+    return rollup_of_counts(value_counts(placed, levels, [lat, lon]), levels, lat, lon)
+
+
+def rollup_of_counts(fine: DataFrame, levels: list[str], lat: str, lon: str) -> DataFrame:
+    """`place_rollup` from value counts at the finest level, such as folded ones.
+
+    Equal positions are counted once at the finest level, then those counts are rolled up.
+    """
     prefixes = [levels[:n] for n in range(len(levels), 0, -1)]
-    # Equal positions are counted once at the finest level, then those counts are rolled up.
-    fine = value_counts(placed, levels, [lat, lon])
     rows = F.array(
         *[
             F.struct(
@@ -92,12 +98,13 @@ def zone_table(
         & F.col(country).isNotNull()
         & F.col(zone).isNotNull()
     )
+    return zones_of_counts(value_counts(usable, [code, zone, country], [lat, lon]), code, country, zone, lat, lon)
+
+
+def zones_of_counts(fine: DataFrame, code: str, country: str, zone: str, lat: str, lon: str) -> DataFrame:
+    """`zone_table` from value counts by code, zone and country (or finer)."""
     keys = [code, zone]
-    counts = (
-        value_counts(usable, [*keys, country], [lat, lon])
-        .groupBy(*keys, "measure", "value")
-        .agg(F.sum("n").alias("n"), F.max(country).alias(country))
-    )
+    counts = fine.groupBy(*keys, "measure", "value").agg(F.sum("n").alias("n"), F.max(country).alias(country))
     return _counted(counts, keys, lat, lon, [F.max(country).alias("country")])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tinderbox.functions.scalars import int_date
-from tinderbox.operators import embedding, external, ranking
+from tinderbox.operators import embedding, external, folding, ranking
 from tinderbox.operators.windows import in_int_window, in_window
 from tinderbox.plans import gold, silver
 from tinderbox.schemas import feed
@@ -142,11 +142,25 @@ def refresh_country_tables(spark: SparkSession, lake: Lake, d: silver.Dictionari
         writers.replace_range(rows, lake.path(table), day, start, end)
 
 
-def refresh_place_tables(spark: SparkSession, lake: Lake, d: silver.Dictionaries) -> None:
-    """Places and zones of all events, rebuilt beside the tables in use."""
-    enriched = silver.enriched_events(lake.read(spark, "bronze_events"), d)
-    writers.rebuild(gold.geo_locations(enriched), lake.path("geo_locations_helper"))
-    writers.rebuild(gold.geo_zones(enriched), lake.path("geo_zones_helper"))
+def _touched_days(spark: SparkSession, path: str, part: str, start: date | None, end: date | None) -> tuple[list[str], str, str]:
+    """Days of a table inside the window (all without one), and the window's bounds as its folders write them."""
+    low = f"{start:%Y%m%d}" if start else ""
+    high = f"{end:%Y%m%d}" if end else "9" * 8
+    return [d for d in storage.partition_values(spark, path, part) if low <= d <= high], low, high
+
+
+def refresh_place_tables(
+    spark: SparkSession, lake: Lake, d: silver.Dictionaries, start: date | None = None, end: date | None = None
+) -> None:
+    """Places and zones of all events, from counts that are kept by day: only events of the window's days are read (of all
+    days, without a window), whatever the table holds. Days that the window has lost go too."""
+    root, bronze = lake.path("place_values"), lake.path("bronze_events")
+    there, low, high = _touched_days(spark, bronze, "date_added", start, end)
+    days = sorted({*there, *folding.known_days(spark, root, low, high)})
+    events = lake.read(spark, "bronze_events").where(F.col("date_added").isin([int(x) for x in there]))
+    values = folding.fold(spark, root, gold.place_values(events, "date_added"), days, ["n"])
+    writers.rebuild(gold.locations_of(values), lake.path("geo_locations_helper"))
+    writers.rebuild(gold.zones_of(values, d.fips_country), lake.path("geo_zones_helper"))
 
 
 def refresh_zone_forecast(spark: SparkSession, lake: Lake, horizon: int = 1, freq: str = "W") -> None:

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tinderbox.functions import geo, heat, scalars, text
 from tinderbox.operators import aggregates as A
 from tinderbox.operators import series as S
-from tinderbox.operators.medians import exact_medians
+from tinderbox.operators.enrich import describe_all
+from tinderbox.operators.medians import exact_medians, value_counts
 from tinderbox.operators.frequency import running_total
 from tinderbox.operators.windows import require_distinct_columns
+from tinderbox.plans import silver
 
 # Root codes of threats, protests, assaults and mass violence.
 CONFLICT_ROOTS = ["13", "14", "18", "20"]
@@ -121,6 +123,28 @@ def geo_zones(enriched: DataFrame) -> DataFrame:
     return zones.withColumn("country", scalars.blank_to_null(F.col("country")))
 
 
+def place_values(bronze: DataFrame, day: str) -> DataFrame:
+    """How often each position occurs per day and place: what both place tables are made of, without descriptions."""
+    placed = silver.placed_events(bronze).withColumn("part_day", F.col(day).cast("string"))
+    placed = placed.withColumnsRenamed({"action_geo_country_code": "country_code", "action_geo_lat": "lat", "action_geo_lon": "lon"})
+    usable = placed.where(F.col("country").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    return value_counts(usable, ["part_day", "country", "state", "city", "country_code"], ["lat", "lon"])
+
+
+def locations_of(values: DataFrame) -> DataFrame:
+    """`geo_locations` from folded place values."""
+    return A.rollup_of_counts(values, ["country", "state", "city"], "lat", "lon")
+
+
+def zones_of(values: DataFrame, fips_country: DataFrame) -> DataFrame:
+    """`geo_zones` from folded place values; names are those of the present dictionary."""
+    zone = geo.zone_path(F.col("country_code"), F.col("country"), F.col("state"))
+    zoned = values.withColumn("geo_zone", zone).where("geo_zone IS NOT NULL AND country_code IS NOT NULL").drop("country")
+    fine = zoned.groupBy("country_code", "geo_zone", "measure", "value").agg(F.sum("n").alias("n"))
+    named = describe_all(fine, [(fips_country, "country_code", "fips_country_code", "country_name", "country")])
+    return A.zones_of_counts(named, "country_code", "country", "geo_zone", "lat", "lon")
+
+
 def country_forecast(
     location_heat: DataFrame, end: date, horizon: int = 7, months: int = 3
 ) -> DataFrame:

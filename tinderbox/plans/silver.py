@@ -116,8 +116,8 @@ def silver_counts(bronze: DataFrame, d: Dictionaries) -> DataFrame:
     return describe_all(df, lookups).select(*schemas.SILVER_COUNTS_COLUMNS)
 
 
-def enriched_events(bronze: DataFrame, d: Dictionaries) -> DataFrame:
-    """The view behind the aggregate tables: raw events, place parts, zone, descriptions."""
+def placed_events(bronze: DataFrame) -> DataFrame:
+    """Raw events with the parts of their action place."""
     parts = F.col("parts")
     places = {
         "country": geo.country_part(parts),
@@ -125,7 +125,12 @@ def enriched_events(bronze: DataFrame, d: Dictionaries) -> DataFrame:
         "city": geo.city_part(parts),
     }
     named = bronze.withColumn("parts", geo.name_parts(F.col("action_geo_full_name")))
-    df = named.withColumns(places).drop("parts")
+    return named.withColumns(places).drop("parts")
+
+
+def enriched_events(bronze: DataFrame, d: Dictionaries) -> DataFrame:
+    """The view behind the aggregate tables: raw events, place parts, zone, descriptions."""
+    df = placed_events(bronze)
     df = describe_all(
         df,
         [

@@ -26,6 +26,10 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}="))
 
 
-def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
-    fs, where = _at(spark, f"{path}/{column}={value}")
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _at(spark, path)
     fs.delete(where, True)
+
+
+def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    delete(spark, f"{path}/{column}={value}")

@@ -194,7 +194,7 @@ def merge_newest(
     return rows.withColumn("__rank", rank).where("__rank = 1").drop("__rank", "__new")
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[int]:
+def committed_snapshots(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the committed snapshots below `root`."""
     found = [int(v) for v in storage.partition_values(spark, root, "snapshot")]
     return [v for v in found if storage.exists(spark, f"{root}/snapshot={v}/_SUCCESS")]
@@ -202,10 +202,16 @@ def _snapshots(spark: SparkSession, root: str) -> list[int]:
 
 def latest_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     """Newest committed snapshot below `root`."""
-    done = _snapshots(spark, root)
+    done = committed_snapshots(spark, root)
     return spark.read.parquet(f"{root}/snapshot={max(done)}") if done else None
 
 
+def keep_newest(spark: SparkSession, root: str, count: int = 2) -> None:
+    """Drop all committed snapshots but the newest ones."""
+    for old in sorted(committed_snapshots(spark, root))[:-count]:
+        storage.drop_partition(spark, root, "snapshot", str(old))
+
+
 def rebuild(df: DataFrame, root: str) -> DataFrame:
     """Write a whole table as the next snapshot; readers keep the one before until it is complete.
 
@@ -215,8 +221,7 @@ def rebuild(df: DataFrame, root: str) -> DataFrame:
     taken = [int(v) for v in storage.partition_values(spark, root, "snapshot")]
     target = f"{root}/snapshot={max(taken, default=0) + 1}"
     df.write.parquet(target)
-    for old in sorted(_snapshots(spark, root))[:-2]:
-        storage.drop_partition(spark, root, "snapshot", str(old))
+    keep_newest(spark, root)
     return spark.read.parquet(target)
 
 
