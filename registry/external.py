@@ -12,7 +12,10 @@ from registry.fields import TEMPLATE, prompt_sql
 from tinderbox.functions import text
 from tinderbox.operators import embedding as E
 from tinderbox.operators import external as X
+from tinderbox.operators import moments, vector_cache
 from tinderbox.plans import gold
+from tinderbox.session import new_dir
+from tinderbox.sinks import storage
 
 _TEXT = """regexp_replace(replace(replace(replace(
   regexp_replace(regexp_replace(
@@ -202,3 +205,70 @@ def _(spark, d):
     reduced = E.reduce_dims(vectors, "embedding", model, E.centre(vectors, "embedding"), "r")
     squares = F.aggregate("r", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
     return reduced.select("vec_id", (F.round(F.sqrt(squares), 4) + F.lit(0.0)).alias("distance"))
+
+
+def _axes_sql(k: int, squarings: int) -> str:
+    """The first k axes of x(key, i, v), whose keys n(key) lists: each is what high powers of the covariance, less the
+    axes before, tend to. Gives z(key, component, weight)."""
+    out = """m AS MATERIALIZED (SELECT i, sum(v) / (SELECT count(*) FROM n) AS m FROM x GROUP BY i),
+    g AS (SELECT a.i, b.i AS j, sum(a.v * b.v) / (SELECT count(*) FROM n) AS g FROM x a JOIN x b USING (key) GROUP BY 1, 2),
+    c0 AS MATERIALIZED (SELECT a.i, b.i AS j, coalesce(g, 0) - a.m * b.m AS c FROM m a, m b LEFT JOIN g ON g.i = a.i AND g.j = b.i)"""
+    for axis in range(k):
+        powers = f"p{axis}_0 AS MATERIALIZED (SELECT i, j, c / (SELECT sum(c) FROM c{axis} WHERE i = j) AS c FROM c{axis})"
+        for step in range(squarings):
+            powers += f""", q{axis}_{step} AS MATERIALIZED (SELECT a.i, b.j, sum(a.c * b.c) AS c FROM p{axis}_{step} a JOIN p{axis}_{step} b ON a.j = b.i GROUP BY 1, 2),
+    p{axis}_{step + 1} AS MATERIALIZED (SELECT i, j, c / (SELECT sum(c) FROM q{axis}_{step} WHERE i = j) AS c FROM q{axis}_{step})"""
+        last = f"p{axis}_{squarings}"
+        out += f""", {powers},
+    w{axis} AS MATERIALIZED (SELECT p.i, p.c / sqrt(l.c) AS w FROM {last} p JOIN (SELECT i, c FROM {last} WHERE i = j ORDER BY c DESC, i LIMIT 1) l ON p.j = l.i),
+    e{axis} AS MATERIALIZED (SELECT sum(a.c * p.c) AS e FROM c{axis} a JOIN {last} p ON a.i = p.j AND a.j = p.i),
+    c{axis + 1} AS MATERIALIZED (SELECT a.i, a.j, a.c - e * p.c AS c FROM c{axis} a JOIN {last} p USING (i, j), e{axis})"""
+    axes = " UNION ALL ".join(
+        f"""SELECT n.key, {axis} AS component, e AS variance, coalesce(s.s, 0) - (SELECT sum(m * w) FROM m JOIN w{axis} USING (i)) AS weight
+      FROM n LEFT JOIN (SELECT key, sum(v * w) AS s FROM x JOIN w{axis} USING (i) GROUP BY key) s USING (key), e{axis}"""
+        for axis in range(k)
+    )
+    return f"{out}, z AS ({axes})"
+
+
+def _axes(reduced, key: str, variances):
+    """(key, component, variance, weight) rows in the form both engines are compared in."""
+    flat = reduced.select(F.col(key).alias("key"), F.posexplode("r").alias("component", "weight"))
+    spread = F.element_at(F.array(*[F.lit(float(v)) for v in variances]), F.col("component") + 1)
+    return rounded(flat.withColumn("variance", spread))
+
+
+@query(
+    "pca_increments",
+    f"""WITH n AS (SELECT vec_id AS key FROM embeddings),
+    x AS MATERIALIZED (SELECT vec_id AS key, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    {_axes_sql(3, 16)} SELECT key, component, {R('variance')} AS variance, {R('weight')} AS weight FROM z""",
+)
+def _(spark, d):
+    """Three of 64 components, from moments of three disjoint parts that are merged one after another."""
+    vectors = fx.table(spark, d, "embeddings")
+    sums = None
+    for part in range(3):
+        more = moments.moments(vectors.where(F.col("vec_id") % 3 == part), "embedding")
+        sums = more if sums is None else moments.merge_moments(sums.unionByName(more))
+    model = moments.components_of(sums, 3)
+    return _axes(moments.project(vectors, "embedding", model, "r", "double"), "vec_id", model.variances[:3])
+
+
+@query(
+    "embed_cache_increments",
+    f"""WITH t AS (SELECT DISTINCT url, 'page at ' || url AS body FROM pages), {_vector_sql('t', 'url', 'body')},
+    n AS (SELECT url AS key FROM t), x AS MATERIALIZED (SELECT url AS key, slot AS i, weight::DOUBLE AS v FROM vec),
+    {_axes_sql(3, 12)} SELECT key, component, round(weight, 4) + 0e0 AS weight, 0 AS encoded_again FROM z""",
+)
+def _(spark, d):
+    """A cache that grows in two steps holds what one built at once would; texts seen before are not encoded again."""
+    root = new_dir(spark, "vectors")
+    pages = fx.table(spark, d, "pages").select("url", "page_id")
+    for part in (F.col("page_id") % 3 > 0, F.lit(True), F.lit(True)):
+        out = vector_cache.refresh(pages.where(part), root, "url", E.hashed_words(_DIM), "words", 3, "page at ")
+    full = f"{root}/encoder=words/full"
+    encoded = sum(spark.read.parquet(f"{full}/version={v}").count() for v in storage.partition_values(spark, full, "version"))
+    again = F.lit(encoded - pages.select("url").distinct().count()).cast("int")
+    flat = out.select(F.col("text").alias("key"), F.posexplode("vector").alias("component", "weight"))
+    return flat.select("key", "component", (F.round(F.col("weight").cast("double"), 4) + F.lit(0.0)).alias("weight"), again.alias("encoded_again"))

@@ -4,11 +4,13 @@ import random
 from collections import Counter
 from datetime import date
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from registry import base
-from tinderbox.operators import folding
-from tinderbox.plans import daily
+from tinderbox.operators import embedding, folding, moments, vector_cache
+from tinderbox.plans import daily, gold, silver
 from tinderbox.sinks import storage, writers
 
 PARTS = "part_day string, k string, n long"
@@ -87,3 +89,110 @@ def test_place_tables_read_new_days_only(spark, sf, tmp_path, monkeypatch):
     less = stored()
     daily.refresh_place_tables(spark, kept, d)
     assert less == [sorted(map(repr, writers.latest_snapshot(spark, kept.path(t)).collect())) for t in tables] != whole
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)], "i long, v array<float>")
+
+
+def test_components_of_merged_moments(spark):
+    rng = np.random.default_rng(4)
+    rows = (rng.normal(0, 1, (400, 6)) * [5, 4, 3, 2, 1, 0.5] + rng.normal(0, 1, 6)).astype(np.float32)
+    parts = [moments.moments(vectors(spark, rows[a:b]).repartition(3), "v") for a, b in ((0, 70), (70, 71), (71, 400))]
+    model = moments.components_of(moments.merge_moments(parts[0].unionByName(parts[1]).unionByName(parts[2])), 2)
+    exact = rows.astype(np.float64)
+    values, axes = np.linalg.eigh(np.cov(exact.T, bias=True))
+    assert np.allclose(model.variances, values[::-1]) and np.allclose(model.mean, exact.mean(axis=0))
+    assert np.allclose(np.abs(model.components), np.abs(axes[:, ::-1].T[:2]))
+    assert all(c[np.abs(c).argmax()] > 0 for c in model.components)
+    assert np.allclose(model.kept, np.cumsum(values[::-1])[:2] / values.sum())
+    withnull = vectors(spark, rows).unionByName(spark.createDataFrame([(-1, None)], "i long, v array<float>"))
+    got = {r.i: r.r for r in moments.project(withnull, "v", model, "r", "double").collect()}
+    assert got.pop(-1) is None
+    reduced = np.array([got[i] for i in range(400)])
+    assert np.allclose((reduced**2).sum() / 400, values[::-1][:2].sum())  # the largest variances, no others
+    assert np.allclose(reduced.T @ reduced / 400, np.diag(values[::-1][:2]), atol=1e-8)
+
+
+def test_moments_of_odd_vectors(spark):
+    assert moments.moments(vectors(spark, []), "v").collect() == []
+    assert moments.components_of(moments.moments(vectors(spark, []), "v"), 3).components.shape == (0, 0)
+    one = moments.components_of(moments.moments(vectors(spark, [[1, 2]]), "v"), 5)
+    assert one.components.shape == (2, 2) and one.variances.tolist() == [0, 0] and one.kept.tolist() == [0, 0]
+    with pytest.raises(Exception, match="length|shape"):
+        moments.moments(vectors(spark, [[1, 2], [1]]), "v").collect()
+    bad = spark.createDataFrame([([1.0, None],)], "v array<double>")
+    with pytest.raises(Exception, match="null"):
+        moments.moments(bad, "v").collect()
+
+
+def test_cache_encodes_unseen_texts_only(spark, tmp_path):
+    log, plain, root = tmp_path / "log", embedding.hashed_words(12), str(tmp_path / "cache")
+    log.mkdir()
+
+    def counting(texts):
+        import uuid
+
+        (log / uuid.uuid4().hex).write_text(str(len(texts)))
+        return plain(texts)
+
+    def encoded():
+        n = sum(int(p.read_text()) for p in log.iterdir())
+        for p in log.iterdir():
+            p.unlink()
+        return n
+
+    def texts(low, high):
+        words = ["concat('t', id % 7, ' u', id % 5, ' v', id % 3, ' w', id)", "if(id % 10 = 0, null, 1)"]
+        return spark.range(low, high).selectExpr(*words).toDF("t", "x").withColumn("t", F.when(F.col("x").isNotNull(), F.col("t")))
+
+    def refresh(df, name="m"):
+        return {r.text: r.vector for r in vector_cache.refresh(df, root, "t", counting, name, 3, "about ").collect()}
+
+    assert vector_cache.cached(spark, root, "m") is None and refresh(texts(0, 0)) == {} and encoded() == 0
+    first = refresh(texts(0, 60).unionByName(texts(0, 60)))
+    assert len(first) == 54 == encoded()
+    again = refresh(texts(10, 50))
+    assert again == first and encoded() == 0
+    grown = refresh(texts(40, 100))
+    assert len(grown) == 90 and encoded() == 36
+    at_once, _, _ = embedding.build_cache(texts(0, 100), "t", "v", plain, 3, "about ")
+    for r in at_once.collect():  # signs of the other model are arbitrary
+        assert np.allclose(np.abs(grown[r.t]), np.abs(r.v), atol=1e-4)
+    model = vector_cache.model_of(spark, root, "m", 3)
+    assert model.components.shape == (3, 12)
+    refresh(texts(0, 20), "other/model")
+    assert encoded() == 18 and len(vector_cache.cached(spark, root, "m").collect()) == 90
+
+
+def test_an_interrupted_cache_refresh_is_repeated(spark, tmp_path, monkeypatch):
+    root, encoder = str(tmp_path / "cache"), embedding.hashed_words(8)
+
+    def refresh(n):
+        rows = spark.range(n).selectExpr("concat('a', id, ' b', id % 3) as t")
+        return {r.text: tuple(r.vector) for r in vector_cache.refresh(rows, root, "t", encoder, "m", 2).collect()}
+
+    first = refresh(20)
+
+    def lost(*_args, **_kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(vector_cache, "project", lost)
+        refresh(40)
+    assert {r.text: tuple(r.vector) for r in vector_cache.cached(spark, root, "m").collect()} == first
+    assert len(refresh(30)) == 30
+
+
+def test_names_from_folded_counts(spark, sf, tmp_path):
+    rows, d = base.bronze(spark, sf), base.dicts(spark, sf)
+    enriched = silver.enriched_events(rows, d)
+    whole = {"country": gold.country_names(enriched), "event": gold.event_descriptions(enriched), "place": gold.place_names(enriched)}
+    for kind, want in whole.items():
+        root = str(tmp_path / kind)
+        for low, high in ((0, 20240115), (20240110, 99999999)):
+            some = rows.where(f"date_added BETWEEN {low} AND {high}")
+            days = [str(r[0]) for r in some.select("date_added").distinct().collect()]
+            counts = folding.fold(spark, root, gold.name_parts(some, "date_added", kind), days, ["n"])
+        got = base.rounded(gold.names_of(kind, counts, d)).select(want.columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, base.rounded(want).collect()))

@@ -132,6 +132,11 @@ def log_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def log_sums(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """`log_counts` from counts by finer keys, such as folded ones."""
+    return counts.groupBy(*keys).agg(F.sum(n).alias("cnt"), F.log1p(F.sum(n)).alias("log_1p_cnt"))
+
+
 def share_of_total(counts: DataFrame, count: str = "cnt", share: str = "fraction") -> DataFrame:
     """Each count divided by their sum; the sum is a scalar subquery."""
     total = counts.agg(F.sum(count)).scalar()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tinderbox.functions.scalars import int_date
-from tinderbox.operators import embedding, external, folding, ranking
+from tinderbox.operators import embedding, external, folding, ranking, vector_cache
 from tinderbox.operators.windows import in_int_window, in_window
 from tinderbox.plans import gold, silver
 from tinderbox.schemas import feed
@@ -170,19 +170,33 @@ def refresh_zone_forecast(spark: SparkSession, lake: Lake, horizon: int = 1, fre
     writers.rebuild(gold.zone_forecast(stored, centroids, horizon, freq), lake.path("zone_heat_forecast"))
 
 
+# Table, its kind of name, the column that is encoded, and how.
+NAME_TABLES = {
+    "country_embeddings": ("country", "country", gold.COUNTRY_CACHE),
+    "event_description_embeddings": ("event", "full_desc", gold.EVENT_CACHE),
+    "place_embeddings": ("place", "geo_full_name", gold.PLACE_CACHE),
+}
+
+
 def refresh_embedding_caches(
-    spark: SparkSession, lake: Lake, d: silver.Dictionaries, encoder: embedding.Encoder, dim: int
+    spark: SparkSession, lake: Lake, d: silver.Dictionaries, encoder: embedding.Encoder, dim: int,
+    start: date | None = None, end: date | None = None, encoder_name: str = "default",
 ) -> None:
-    """Reduced vectors of country names, event descriptions and place names; `dim` is the encoder's size."""
-    enriched = silver.enriched_events(lake.read(spark, "bronze_events"), d)
-    caches = {
-        "country_embeddings": (gold.country_names(enriched), "country", gold.COUNTRY_CACHE),
-        "event_description_embeddings": (gold.event_descriptions(enriched), "full_desc", gold.EVENT_CACHE),
-        "place_embeddings": (gold.place_names(enriched), "geo_full_name", gold.PLACE_CACHE),
-    }
-    for table, (names, text, how) in caches.items():
-        vectors, _, _ = embedding.build_cache(names, text, "embedding", encoder, min(how["k"], dim), how["prefix"])
-        writers.rebuild(names.join(vectors, text, "left"), lake.path(table))
+    """Reduced vectors of country names, event descriptions and place names; `dim` is the encoder's size.
+
+    Names are counted by day and folded, so only events of the window's days are read (of all days, without a window); only names
+    that this encoder has not seen are encoded.
+    """
+    there, low, high = _touched_days(spark, lake.path("bronze_events"), "date_added", start, end)
+    events = lake.read(spark, "bronze_events").where(F.col("date_added").isin([int(x) for x in there]))
+    for table, (kind, text, how) in NAME_TABLES.items():
+        root = lake.path(f"{kind}_name_counts")
+        days = sorted({*there, *folding.known_days(spark, root, low, high)})
+        counts = folding.fold(spark, root, gold.name_parts(events, "date_added", kind), days, ["n"])
+        names = gold.names_of(kind, counts, d)
+        vectors = vector_cache.refresh(names, lake.path(f"{kind}_vectors"), text, encoder, encoder_name, min(how["k"], dim), how["prefix"])
+        keyed = vectors.select(F.col("text").alias(text), F.col("vector").alias("embedding"))
+        writers.rebuild(names.join(keyed, text, "left"), lake.path(table))
 
 
 def refresh_forecast(spark: SparkSession, lake: Lake, end: date, horizon: int = 7) -> None:

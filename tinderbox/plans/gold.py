@@ -234,9 +234,46 @@ def country_names(enriched: DataFrame) -> DataFrame:
 def place_names(enriched: DataFrame) -> DataFrame:
     """All place names, most frequent first, with their share and running share of all events."""
     named = enriched.withColumn("geo_full_name", F.col("action_geo_full_name"))
-    counts = A.share_of_total(A.log_counts(named, ["geo_full_name"]))
+    return _place_shares(A.log_counts(named, ["geo_full_name"]))
+
+
+def _place_shares(log_counts: DataFrame) -> DataFrame:
+    counts = A.share_of_total(log_counts)
     # A key without nulls: events without a place count too, and the running share ends at 1.
     key = F.coalesce(F.concat(F.lit("="), "geo_full_name"), F.lit("null"))
     ranked = running_total(counts.withColumn("__key", key), "__key")
     total = counts.agg(F.sum("cnt")).scalar()
     return ranked.select(*counts.columns, (F.col("cum_cnt") / total).alias("fraction_cumsum"))
+
+
+# What the named tables count, by the raw codes of an event; descriptions are looked up when a table is made.
+NAME_KEYS = {
+    "country": ["action_geo_country_code"],
+    "event": ["quad_class", "ev_root_code", "ev_code"],
+    "place": ["action_geo_full_name"],
+}
+
+
+def name_parts(bronze: DataFrame, day: str, kind: str) -> DataFrame:
+    """How often each combination of codes occurs per day."""
+    dated = bronze.withColumn("part_day", F.col(day).cast("string"))
+    return dated.groupBy("part_day", *NAME_KEYS[kind]).agg(F.count(F.lit(1)).alias("n"))
+
+
+def names_of(kind: str, counts: DataFrame, d: silver.Dictionaries) -> DataFrame:
+    """`country_names`, `event_descriptions` or `place_names` from folded counts."""
+    if kind == "place":
+        return _place_shares(A.log_sums(counts.withColumnRenamed("action_geo_full_name", "geo_full_name"), ["geo_full_name"]))
+    if kind == "country":
+        named = describe_all(counts, [(d.fips_country, "action_geo_country_code", "fips_country_code", "country_name", "country")])
+        return A.log_sums(named, ["country"])
+    keys = ["quad_class_desc", "ev_root_desc", "ev_desc"]
+    named = describe_all(
+        counts,
+        [
+            (d.quad_classes, "quad_class", "quad_class", "ev_desc", "quad_class_desc"),
+            (d.cameo_event, "ev_root_code", "ev_code", "ev_desc", "ev_root_desc"),
+            (d.cameo_event, "ev_code", "ev_code", "ev_desc", "ev_desc"),
+        ],
+    )
+    return A.log_sums(named, keys).withColumn("full_desc", text.full_description(*[F.col(k) for k in keys]))
