@@ -7,8 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A date: a year after 999, then month and day of two digits, each with a dash before it or not.
-DATE_PATTERN = "[1-9][0-9]{3}" + 2 * "-?[0-9]{2}"
+# Fixed value: how dates are written in file names, a year after 999, month and day, with or without dashes.
+DATE_PATTERN = "[1-9][0-9]{3}-?[0-9]{2}-?[0-9]{2}"
 
 
 def blank_to_null(c: Column) -> Column:
