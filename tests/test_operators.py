@@ -299,3 +299,51 @@ def test_build_cache_then_fall_back(spark):
     wanted = spark.createDataFrame([("place 3",), ("elsewhere",)], "t string")
     out = embedding.cached_or_encoded(wanted, cache, "t", "v", encoder, finish).collect()
     assert [len(r.v) for r in out] == [4, 4]
+
+
+def test_sifted_store_keeps_what_is_wanted(spark):
+    from tinderbox.operators import sift
+
+    key = F.sha2(F.col("id").cast("string"), 256).alias("k")
+    store = spark.range(60_000).select(key, "id").unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
+    wanted = spark.range(0, 60_000, 40).select(key).unionByName(spark.createDataFrame([(None,), ("unknown",)], "k string"))
+    kept = {r.id for r in sift.sifted(store, "k", wanted, 1500).collect()}
+    assert kept >= set(range(0, 60_000, 40)) and -1 not in kept and len(kept) < 1500 + 0.05 * 60_000
+    assert sift.sifted(store, "k", wanted.limit(0), 10).count() == 0
+    assert len(sift.bloom_words(wanted, "k", 1 << 14).first().words) == (1 << 14) // 64
+
+
+def test_bodies_nobody_wants_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store = spark.range(500).selectExpr("cast(id % 100 as string) as k", "id", "id % 3 = 0 as ok", "repeat('x', 50) as body")
+    store.unionByName(store.where("id < 20")).write.parquet(path)  # some rows twice
+    wanted = spark.createDataFrame([("7",), ("7",), ("55",), ("none",)], "k string")
+    out = joins.cached_responses(wanted, spark.read.parquet(path), "k", "ok", "id", expected=100)
+    got = sorted((r.k, r.id, r.is_hit) for r in out.collect())
+    assert got == [("55", 255, True), ("7", 207, True), ("7", 207, True), ("none", None, False)]
+    again = joins.cached_responses(wanted, spark.read.parquet(path), "k", "ok", "id", expected=100)
+    lines = again._jdf.queryExecution().executedPlan().toString().splitlines()  # not run yet: one tree, leaves last
+    scan = next(i for i, line in enumerate(lines) if "FileScan parquet" in line)
+    shuffle = max(i for i, line in enumerate(lines[:scan]) if "Exchange hashpartitioning(__key" in line)
+    assert any("Filter" in line and "getbit(Subquery" in line for line in lines[shuffle:scan])
+
+
+def test_cells_follow_the_values(spark):
+    shares = spark.range(60_000).selectExpr("if(id % 3 > 0, 'hot', concat('k', id % 40)) as k", "rand(3) * rand(4) as x")
+    counts = medians.value_counts(shares, ["k"], ["x"])
+    cells = medians._cells(counts, ["k", "measure"], 64, 2000).groupBy("k", "cell").count().collect()
+    hot = [r["count"] for r in cells if r.k == "hot"]
+    assert len(hot) == 64 and max(hot) < 3 * sum(hot) / 64
+    assert {r.cell for r in cells if r.k != "hot"} == {0}
+    got = {r.k: r.x for r in medians.medians_of_counts(counts, ["k"], ["x"], cells=64, small=2000).collect()}
+    assert got == {r.k: r.m for r in shares.groupBy("k").agg(F.median("x").alias("m")).collect()}
+
+
+def test_medians_of_large_groups_with_odd_values(spark):
+    values = [0.0, -0.0, 1e300, -1e300, float("inf"), float("-inf"), float("nan"), None]
+    rows = spark.range(3000).selectExpr("id % 2 as k", "if(id % 5 = 0, 7.25, id * 1.5) as x")
+    odd = spark.createDataFrame([(k, v) for k in (0, 1, 2) for v in values], "k long, x double")
+    every = rows.unionByName(odd).unionByName(spark.range(2000).selectExpr("3L as k", "cast('NaN' as double) as x"))
+    counts = medians.value_counts(every, ["k"], ["x"])
+    got = {r.k: str(r.x) for r in medians.medians_of_counts(counts, ["k"], ["x"], cells=16, small=100).collect()}
+    assert got == {r.k: str(r.m) for r in every.groupBy("k").agg(F.median("x").alias("m")).collect()}

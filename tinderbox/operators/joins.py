@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tinderbox.operators.sift import EXPECTED, sifted
+
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi join on `keys` where NULL equals NULL; each key appears once in the result."""
@@ -31,27 +33,26 @@ def pending(work: DataFrame, done: DataFrame, key: str, needs: str) -> DataFrame
 
 
 def prefer_success(responses: DataFrame, key: str, success: str, tie: str) -> DataFrame:
-    """One response per key: a successful one if there is any, then the one with the smallest `tie`.
+    """One response per key: a successful one if there is any, then the one with the smallest `tie`, then the one whose
+    columns have the smallest hash; rows that are still equal are equal in all columns.
 
-    Only (key, success, tie) are ranked, by an aggregate that combines before the shuffle; the bodies of the winners
-    are joined back.
+    Responses compete before the shuffle, so that one per key and task moves.
     """
-    failed = F.coalesce(~F.col(success), F.lit(True)).alias("__failed")
-    best = responses.groupBy(key).agg(F.min(F.struct(failed, F.col(tie).alias("__tie"))).alias("__best"))
-    winners = best.select(F.col(key).alias("__key"), F.col("__best.__tie").alias("__tie"))
-    chosen = (F.col(key) == F.col("__key")) & F.col(tie).eqNullSafe(F.col("__tie"))
-    return responses.join(winners, chosen).drop("__key", "__tie").dropDuplicates([key])
+    failed = F.coalesce(~F.col(success), F.lit(True))
+    rank = F.struct(failed, F.col(tie), F.xxhash64(*[F.col(f"`{c}`") for c in responses.columns]))
+    rows = responses.select(F.col(key).alias("__key"), rank.alias("__rank"), F.struct("*").alias("__row"))
+    return rows.groupBy("__key").agg(F.min_by("__row", "__rank").alias("__row")).select("__row.*")
 
 
 def cached_responses(
-    wanted: DataFrame, responses: DataFrame, key: str, success: str, tie: str
+    wanted: DataFrame, responses: DataFrame, key: str, success: str, tie: str, expected: int = EXPECTED
 ) -> DataFrame:
     """Attach the best known response to each wanted row; `is_hit` marks the found ones.
 
-    The store is cut to the wanted keys first, so bodies nobody asked for are not shuffled.
+    The store is sifted where it is scanned, so bodies nobody asked for are not shuffled; about `expected` keys
+    are wanted.
     """
-    asked = responses.join(wanted.select(key), key, "left_semi")
-    best = prefer_success(asked, key, success, tie).withColumn("is_hit", F.lit(True))
+    best = prefer_success(sifted(responses, key, wanted, expected), key, success, tie).withColumn("is_hit", F.lit(True))
     return wanted.join(best, key, "left").withColumn(
         "is_hit", F.coalesce("is_hit", F.lit(False))
     )
@@ -60,8 +61,8 @@ def cached_responses(
 def cached_vectors(
     rows: DataFrame, cache: DataFrame, key: str, vector: str, dim: int
 ) -> DataFrame:
-    """Look up a vector per key; an unknown key gets the zero vector."""
+    """Look up a vector per key; an unknown key gets the zero vector. Vectors nobody asked for stop at the scan."""
     zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    return rows.join(cache.select(key, vector), key, "left").withColumn(
+    return rows.join(sifted(cache.select(key, vector), key, rows), key, "left").withColumn(
         vector, F.coalesce(vector, zero)
     )
