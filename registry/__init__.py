@@ -11,5 +11,5 @@ def load_all() -> None:
     """Import the modules that register queries."""
     import importlib
 
-    for name in ("relational", "indicators", "ranking", "fields", "quality", "series", "external", "storage", "jobs"):
+    for name in ("relational", "indicators", "ranking", "fields", "quality", "series", "external", "storage", "jobs", "basics"):
         importlib.import_module(f"registry.{name}")
