@@ -133,6 +133,19 @@ def _vector_sql(rows: str, key: str, body: str) -> str:
     SELECT doc_id, CAST(slot AS INTEGER) AS slot, {R('weight')} AS weight FROM vec""",
 )
 def _(spark, d):
+    docs = fx.table(spark, d, "documents").select("doc_id", "text")
+    vectors = E.embed_words(docs, "text", "vector", _DIM).drop("text")
+    entries = vectors.select("doc_id", F.posexplode("vector").alias("slot", "weight"))
+    return rounded(entries.where("weight <> 0"))
+
+
+@query(
+    "embed_text_batches",
+    f"""WITH {_vector_sql('documents', 'doc_id', 'text')}
+    SELECT doc_id, CAST(slot AS INTEGER) AS slot, {R('weight')} AS weight FROM vec""",
+)
+def _(spark, d):
+    """The same vectors from an encoder that sees Arrow batches, as any outside model does."""
     docs = fx.table(spark, d, "documents").select("doc_id", "text")
     vectors = E.embed(docs, "text", "vector", E.hashed_words(_DIM)).drop("text")
     entries = vectors.select("doc_id", F.posexplode("vector").alias("slot", "weight"))

@@ -179,3 +179,35 @@ def test_damaged_archives_are_repaired_once(spark, landing):
     waiting = spark.read.parquet(writers.unreadable_path(to.table)).select("filename", "line", "num_articles")
     assert [tuple(r) for r in waiting.collect()] == [("20240103.gkg.csv.zip", 1, 3)]
     assert to.damaged(spark).count() == 0 and to.files(spark).where(F.col("error").isNull()).count() == 3
+
+
+def test_a_name_shows_old_or_new_rows(spark, monkeypatch):
+    name = "swap_check"
+
+    def shown():
+        return spark.table(name).count()
+
+    def versions():
+        return writers._versions(spark, name)
+
+    spark.range(2).withColumn("p", F.lit(1)).write.partitionBy("p").saveAsTable(name)  # as older runs left it
+    writers.swap_table(spark.table(name).unionByName(spark.range(1).withColumn("p", F.lit(2))), name, "p")
+    assert shown() == 3 and spark.table(name).where("p = 2").count() == 1
+    point, seen = writers._point, []
+
+    def lost(*_args):
+        seen.append(shown())  # a reader between the two steps
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(writers, "_point", lost)
+    with pytest.raises(RuntimeError):
+        writers.swap_table(spark.range(9).withColumn("p", F.lit(1)), name, "p")
+    assert seen == [3] and shown() == 3
+    monkeypatch.setattr(writers, "_point", point)
+    for n in (4, 5, 6):
+        before = spark.table(name)
+        writers.swap_table(spark.range(n).withColumn("p", F.lit(1)), name, "p")
+        assert shown() == n and before.count() > 0 and len(versions()) == 2
+    writers.swap_table(spark.range(1), "default.swap_plain")
+    writers.swap_table(spark.range(2), "default.swap_plain")
+    assert spark.table("swap_plain").count() == 2

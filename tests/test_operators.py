@@ -347,3 +347,15 @@ def test_medians_of_large_groups_with_odd_values(spark):
     counts = medians.value_counts(every, ["k"], ["x"])
     got = {r.k: str(r.x) for r in medians.medians_of_counts(counts, ["k"], ["x"], cells=16, small=100).collect()}
     assert got == {r.k: str(r.m) for r in every.groupBy("k").agg(F.median("x").alias("m")).collect()}
+
+
+def test_words_are_embedded_inside_the_jvm(spark):
+    texts = ["Red red GREEN 12", "", None, "one two three " * 50, "Ünïcode ß word-word", "İstanbul K"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    plain = {r.id: r.v for r in embedding.embed(df, "t", "v", embedding.hashed_words(16)).collect()}
+    out = embedding.embed_words(df, "t", "v", 16)
+    assert out.columns == ["id", "t", "v"]
+    for r in out.collect():
+        assert r.v == pytest.approx(plain[r.id])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan

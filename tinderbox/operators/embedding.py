@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.feature import PCA, CountVectorizerModel, Normalizer, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,17 @@ def hashed_words(dim: int = 64) -> Encoder:
     return encode
 
 
+def embed_words(df: DataFrame, text: str, vector: str, dim: int = 64) -> DataFrame:
+    """What `embed` adds with the encoder `hashed_words(dim)`, inside the JVM: words are hashed by built-in functions,
+    counted by a vectorizer over the slots and scaled to unit length. A null text counts as empty."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
+    slot = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("long"), F.lit(dim)).cast("string")
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dim)], inputCol="__slots", outputCol="__counts")
+    counted = counter.transform(df.withColumn("__slots", F.transform(words, slot)))
+    scaled = Normalizer(p=2.0, inputCol="__counts", outputCol="__unit").transform(counted)
+    return scaled.withColumn(vector, vector_to_array("__unit", "float32")).drop("__slots", "__counts", "__unit")
+
+
 def embed(df: DataFrame, text: str, vector: str, encoder: Encoder) -> DataFrame:
     """Add the vector of each text; the encoder sees one Arrow batch at a time."""
 

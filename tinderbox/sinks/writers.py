@@ -150,15 +150,53 @@ def replace_batch(df: DataFrame, path: str, batch: str, key: str, part: str, ide
         storage.drop_partition(df.sparkSession, own, part, value)
 
 
+CURRENT = "current_version"
+
+
+def _versions(spark: SparkSession, name: str) -> list[int]:
+    """Numbers of the tables that stand behind `name`, in use or not."""
+    base, _, last = name.rpartition(".")
+    where = f" IN {base}" if base else ""
+    found = [r["tableName"] for r in spark.sql(f"SHOW TABLES{where} LIKE '{last}__v*'").collect()]
+    numbers = [t.rpartition("__v")[2] for t in found]
+    return sorted(int(n) for n in numbers if n.isdigit())
+
+
+def _current(spark: SparkSession, name: str) -> int:
+    """The version that the view `name` shows; 0 if there is no such view."""
+    if not spark.catalog.tableExists(name):
+        return 0
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return int(properties.get(CURRENT, 0))
+
+
+def _point(spark: SparkSession, name: str, version: int) -> None:
+    """Let `name` show this version, in one statement of the catalog."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{CURRENT}' = '{version}') AS SELECT * FROM {name}__v{version}")
+
+
 def swap_table(df: DataFrame, name: str, part: str | None = None) -> None:
-    """Build a catalog table beside the old one, then take its place."""
-    spark = df.sparkSession
+    """Build the next version of a catalog table beside the one in use, then let the name show it.
+
+    The name is a view on the current version, replaced in one statement: readers see the old rows or the new ones, and a
+    run that is cut off leaves the old ones. `df` may read the table itself. The version before stays, so that a reader that has just opened
+    it is not cut off; older ones, and what interrupted runs left, are dropped. A plain table of that name is taken over
+    once, which takes two statements: it becomes the version before.
+    """
+    spark, used = df.sparkSession, _current(df.sparkSession, name)
+    plain = not used and spark.catalog.tableExists(name)
+    version = max([used, *_versions(spark, name)]) + 1 + plain
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(part) if part else writer).saveAsTable(f"{name}_next")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {name}_next RENAME TO {name}")
-    if part:  # registered partitions still name the folder the table was built in
-        spark.catalog.recoverPartitions(name)
+    (writer.partitionBy(part) if part else writer).saveAsTable(f"{name}__v{version}")
+    if plain:
+        used = version - 1
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v{used}")
+        if part:  # registered partitions still name the folder the table was built in
+            spark.catalog.recoverPartitions(f"{name}__v{used}")
+    _point(spark, name, version)
+    for old in _versions(spark, name):
+        if old not in (used, version):
+            spark.sql(f"DROP TABLE {name}__v{old}")
 
 
 def external_table(
