@@ -196,3 +196,31 @@ def test_names_from_folded_counts(spark, sf, tmp_path):
             counts = folding.fold(spark, root, gold.name_parts(some, "date_added", kind), days, ["n"])
         got = base.rounded(gold.names_of(kind, counts, d)).select(want.columns)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, base.rounded(want).collect()))
+
+
+def test_profiles_merge_over_days(spark, tmp_path):
+    from tinderbox.operators import profiles, quality
+
+    path = str(tmp_path / "p")
+    rows = spark.range(4000).selectExpr(
+        "cast(id % 8 as int) as day", "id % 700 as a", "if(id % 9 = 0, null, sqrt(id)) as b", "if(id % 8 = 3, null, id / 7) as c",
+        "concat('t', id % 50) as d", "if(id % 4 = 0, cast('NaN' as double), 1.5) as e", "array(id) as f", "cast(null as double) as g",
+    )
+    for days in ([0, 1, 2, 3, 4], [4, 5, 6, 7]):
+        profiles.refresh_profiles(rows.where(F.col("day").isin(days)), path, "day", days)
+    got = {r.column: r for r in profiles.profile_of(spark, path).collect()}
+    want = {r.column: r for r in quality.profile(rows.drop("day")).collect()}
+    assert got.keys() == want.keys() == set("abcdeg")
+    for c in "abcdg":
+        for field in ("n", "nulls", "min_length", "max_length", "min", "max", "mean", "std"):
+            assert got[c][field] == (None if want[c][field] is None else pytest.approx(want[c][field]))
+        assert got[c].approx_distinct == pytest.approx(want[c].approx_distinct, rel=0.1)
+        for q in ("q25", "q50", "q75"):
+            assert got[c][q] == (None if want[c][q] is None else pytest.approx(want[c][q], rel=0.1))
+    assert (got["e"].n, got["e"].q50) == (4000, 1.5)
+    part = {r.column: r.n for r in profiles.profile_of(spark, path, F.col("day") < 2).collect()}
+    assert part["a"] == 1000
+    profiles.refresh_profiles(rows.limit(0), path, "day", [0])
+    assert {r.column: r.n for r in profiles.profile_of(spark, path).collect()}["a"] == 3500
+    with pytest.raises(FileNotFoundError):
+        profiles.profile_of(spark, path + "x")
