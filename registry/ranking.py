@@ -163,3 +163,27 @@ def _(spark, d):
 @query("sample_fraction")
 def _(spark, d):
     return S.sample_fraction(ev(spark, d), 0.1, seed=0).select("ev_id", "date_added")
+
+
+@query(
+    "heavy_words",
+    f"""WITH w AS (SELECT unnest(string_split_regex(text, '[^A-Za-z]+')) AS word FROM documents)
+    SELECT word AS value, count(*) AS cnt, {R("count(*) * 100.0 / (SELECT count(*) FROM w WHERE word <> '')")} AS pct
+    FROM w WHERE word <> '' GROUP BY 1 ORDER BY cnt DESC, value LIMIT 25""",
+)
+def _(spark, d):
+    """Totals of two halves add up; a few words stand out, so the others are not counted one by one."""
+    words = fx.table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "[^A-Za-z]+")).alias("word")).where("word <> ''")
+    parts = [Q.bucket_totals(words.where(F.col("doc_id") % 2 == k), "word") for k in (0, 1)]
+    totals = parts[0].unionByName(parts[1]).groupBy("bucket").agg(F.sum("total").alias("total"))
+    return rounded(Q.heavy_hitters(words, "word", 25, totals=totals))
+
+
+@query(
+    "heavy_urls",
+    f"""WITH {EV_SQL} SELECT source_url AS value, count(*) AS cnt, {R("count(*) * 100.0 / (SELECT count(*) FROM ev)")} AS pct
+    FROM ev GROUP BY 1 ORDER BY cnt DESC, value LIMIT 10""",
+)
+def _(spark, d):
+    """All urls are about as frequent, so bucket totals can't tell them apart and all are counted."""
+    return rounded(Q.heavy_hitters(ev(spark, d), "source_url", 10, buckets=64))

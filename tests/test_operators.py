@@ -359,3 +359,22 @@ def test_words_are_embedded_inside_the_jvm(spark):
         assert r.v == pytest.approx(plain[r.id])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
+
+
+def test_heavy_hitters_propose_and_confirm(spark, monkeypatch):
+    rnd = random.Random(9)
+    values = ["a"] * 400 + ["b"] * 300 + [None] * 200 + [f"v{rnd.randrange(3000)}" for _ in range(6000)]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    counted, plain = [], frequency.value_frequencies
+
+    def counting(rows, column):
+        counted.append(rows.count())
+        return plain(rows, column)
+
+    monkeypatch.setattr(frequency, "value_frequencies", counting)
+    top = [(r.value, r.cnt) for r in frequency.heavy_hitters(df, "x", 3, 1024).collect()]
+    assert top == [("a", 400), ("b", 300), ("__NULL__", 200)] and len(counted) == 1 and counted[0] < 1500
+    for k, buckets in ((5, 64), (40, 8), (5000, 1024), (1, 1)):
+        got = [tuple(r) for r in frequency.heavy_hitters(df, "x", k, buckets).select("value", "cnt").collect()]
+        assert got == [tuple(r) for r in plain(df, "x").orderBy(F.col("cnt").desc(), "value").limit(k).collect()]
+    assert frequency.heavy_hitters(df.limit(0), "x", 3).collect() == []

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-NULL_LABEL = "__NULL__"
+NULL_LABEL = "__NULL__"  # fixed value
+BUCKETS = 1 << 16
 
 
 def value_frequencies(df: DataFrame, column: str) -> DataFrame:
@@ -20,6 +21,38 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def bucket_totals(df: DataFrame, column: str, buckets: int = BUCKETS) -> DataFrame:
+    """Rows (bucket, total): how many rows fall into each hash bucket of the value. Totals add up over parts of the
+    rows, and a bucket's total bounds the count of every value in it."""
+    value = F.coalesce(F.col(column).cast("string"), F.lit(NULL_LABEL))
+    return df.groupBy(F.pmod(F.xxhash64(value), F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("total"))
+
+
+def heavy_hitters(df: DataFrame, column: str, top: int, buckets: int = BUCKETS, totals: DataFrame | None = None) -> DataFrame:
+    """Rows (value, cnt, pct) of the `top` most frequent values, exactly; ties by value, NULL under its own label.
+
+    Totals by hash bucket propose: only values in the heaviest buckets are counted one by one. They are the answer if the
+    last of them is more frequent than any bucket left out is heavy. If not, as with many values of like
+    frequency, all values are counted. So what is usually shuffled is the buckets and the values of a few of them. `totals` are stored
+    `bucket_totals` of the same rows, with which the first pass is saved.
+    """
+    totals = bucket_totals(df, column, buckets) if totals is None else totals
+    heaviest = totals.orderBy(F.col("total").desc(), "bucket").limit(4 * top + 1).collect()
+    whole = totals.agg(F.sum("total")).first()[0] or 0
+    chosen, bound = [r["bucket"] for r in heaviest[: 4 * top]], heaviest[-1]["total"] if len(heaviest) > 4 * top else 0
+    value = F.coalesce(F.col(column).cast("string"), F.lit(NULL_LABEL))
+
+    def first(rows: DataFrame) -> DataFrame:
+        return value_frequencies(rows, column).orderBy(F.col("cnt").desc(), "value").limit(top)
+
+    proposed = first(df.where(F.pmod(F.xxhash64(value), F.lit(buckets)).isin(chosen)))
+    if bound:
+        counts = [r["cnt"] for r in proposed.collect()]  # at most `top`
+        if len(counts) < top or counts[-1] <= bound:
+            proposed = first(df)
+    return proposed.select("value", "cnt", (F.col("cnt") * 100.0 / F.lit(max(whole, 1))).alias("pct"))
+
+
 def tie_prefix(key: Column, digits: int) -> Column:
     return F.substring(F.md5(key), 1, digits)
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import date
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tinderbox.functions.scalars import int_date
 from tinderbox.operators import embedding, external, folding, ranking, vector_cache
-from tinderbox.operators.windows import in_int_window, in_window
+from tinderbox.operators.windows import in_int_window, in_window, job_window
 from tinderbox.plans import gold, silver
 from tinderbox.schemas import feed
 from tinderbox.session import WIDE_LOOKUPS, scoped, staged
@@ -281,3 +282,96 @@ def training_extract(
     vectors = embedding.embed(sentences, "svp_description", "svp_embedding", encoder)
     writers.overwrite(vectors.withColumn("window_start", window), path, "window_start")
 
+
+
+EXPORTS = tuple(COUNTRY_TABLES)
+
+
+def export_country_tables(spark: SparkSession, lake: Lake, folder: str, now: datetime | None = None) -> list[str]:
+    """One stamped dump per country aggregate; the folders written."""
+    return [writers.dump_stamped(lake.read(spark, table), folder, table, now) for table in EXPORTS]
+
+
+@dataclass(frozen=True)
+class Job:
+    """What a run needs to know besides its window; steps without their input are left out.
+
+    `folders` and `listings` (of `catalog.parse_listing`) are by feed name.
+    """
+
+    lake: Lake
+    dictionaries: silver.Dictionaries
+    folders: dict[str, str] = field(default_factory=dict)
+    listings: dict[str, DataFrame] = field(default_factory=dict)
+    encoder: embedding.Encoder | None = None
+    dim: int = 0
+    encoder_name: str = "default"
+    responses: DataFrame | None = None
+    fetcher: external.Fetcher = external.offline
+    completer: external.Completer | None = None
+    summary: str = ""
+    labels: str = ""
+    model: str = ""
+    params: dict = field(default_factory=dict)
+    slots: int = 4
+    exports: str | None = None
+
+
+def steps_of(spark: SparkSession, job: Job, start: date, end: date) -> list[tuple[str, Callable[[], object]]]:
+    """Names and calls of a run's steps, in the order in which they need each other."""
+    lake, d = job.lake, job.dictionaries
+    steps: list[tuple[str, Callable[[], object]]] = [
+        (f"ingest {feed}", lambda feed=feed: ingest(spark, lake, feed, job.folders[feed], job.listings[feed], start, end)) for feed in job.folders
+    ]
+    if "events" in job.folders:
+        steps += [
+            ("silver events", lambda: refresh_silver(spark, lake, d, start, end)),
+            ("heat", lambda: refresh_heat(spark, lake, start, end)),
+            ("root heat", lambda: refresh_root_heat(spark, lake, d, start, end)),
+            ("country tables", lambda: refresh_country_tables(spark, lake, d, start, end)),
+            ("place tables", lambda: refresh_place_tables(spark, lake, d, start, end)),
+            ("zone forecast", lambda: refresh_zone_forecast(spark, lake)),
+            ("forecast", lambda: refresh_forecast(spark, lake, end)),
+        ]
+        if job.exports is not None:
+            steps.append(("exports", lambda: export_country_tables(spark, lake, job.exports)))
+        if job.encoder is not None:
+            steps += [
+                ("name embeddings", lambda: refresh_embedding_caches(spark, lake, d, job.encoder, job.dim, start, end, job.encoder_name)),
+                ("event embeddings", lambda: refresh_embeddings(spark, lake, job.encoder, start, end)),
+            ]
+        if job.responses is not None:
+            steps.append(("top news", lambda: refresh_top_news(spark, lake, job.responses, start, end, job.fetcher)))
+            if job.completer is not None and job.summary:
+                asks = (job.summary, job.completer, job.model, job.params, job.slots)
+                steps.append(("summaries", lambda: refresh_summaries(spark, lake, *asks, start, end)))
+            if job.completer is not None and job.labels:
+                steps.append(("labels", lambda: refresh_labels(spark, lake, job.labels, job.completer, job.model, job.params)))
+    if "gkg" in job.folders:
+        steps.append(("silver gkg", lambda: refresh_silver_gkg(spark, lake, start, end)))
+    if "gkgcounts" in job.folders:
+        steps.append(("silver counts", lambda: refresh_silver_counts(spark, lake, d, start, end)))
+    return steps
+
+
+def run(
+    spark: SparkSession, job: Job, start: str | date | None = None, end: str | date | None = None,
+    lookback_days: int | str | None = None, since: str | None = None, now: date | None = None,
+) -> dict[str, object]:
+    """All steps for one window (`windows.job_window`): what each returned, by name.
+
+    Each step can be repeated for the same window, so a run that failed is run again, from the step named `since` if
+    those before are to be spared. The first failure ends the run and names its step.
+    """
+    low, high = job_window(start, end, lookback_days, now)
+    steps, done = steps_of(spark, job, low, high), {}
+    names = [name for name, _ in steps]
+    if since is not None and since not in names:
+        raise ValueError(f"no step {since!r} in {names}")
+    for name, step in steps[names.index(since) if since else 0 :]:
+        try:
+            done[name] = step()
+        except Exception as err:
+            err.add_note(f"in step {name!r} for {low}..{high}; repeat with since={name!r}")
+            raise
+    return done
