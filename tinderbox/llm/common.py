@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +43,12 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES) -> I
             at += piece.num_rows
 
 
+def by_position(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """`mapInArrow` to the same columns, under plain names while it runs: a name may hold dots."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def held_out(doc_id) -> F.Column:
     """Rows no model may learn from: crc32 of the id's text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

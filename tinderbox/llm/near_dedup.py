@@ -270,5 +270,5 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """The documents that `near_duplicates` keeps, with all their columns; rows without an id stay."""
-    gone = near_duplicates(docs.select("doc_id", "text"), shingle_words, percent).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs["doc_id"] == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs.select("doc_id", "text"), shingle_words, percent).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])

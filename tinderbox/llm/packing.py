@@ -16,7 +16,6 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -263,17 +262,18 @@ def complete(lengths: list[int], capacity: int, max_nodes: int = MAX_NODES) -> l
 
 
 def packer(capacity: int, max_nodes: int) -> Callable:
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "piece", "ids_crc32"], ignore_index=True)
-        lengths = group["length"].tolist()
+    def pack(group: pa.Table) -> pa.Table:
+        # Arrow, as pandas would turn whole ids beside a null into floats.
+        group = group.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32")])
+        lengths = group.column("length").to_pylist()
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        base = int(group["pack_group"].iloc[0]) << 24
+        base = group.column("pack_group")[0].as_py() << 24
         for b, members in enumerate(complete(lengths, capacity, max_nodes)):
             at = 0
             for i in members:
                 sequence[i], offset[i] = base + b, at
                 at += lengths[i]
-        return group.drop(columns="pack_group").assign(sequence_id=sequence, offset=offset)
+        return group.drop_columns(["pack_group"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     return pack
 
@@ -297,7 +297,7 @@ def pack_documents(
     )
     groups = max(1, -(-pieces.count() // group_pieces))
     drawn = pieces.withColumn("pack_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    return drawn.groupBy("pack_group").applyInPandas(
+    return drawn.groupBy("pack_group").applyInArrow(
         packer(capacity, max_nodes),
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
     )

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tinderbox.llm.common import slices
+from tinderbox.llm.common import by_position, slices
 
 Span = tuple[int, int]
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
@@ -181,17 +181,17 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 
 def mask_pii(docs: DataFrame) -> DataFrame:
-    """The same rows and columns with the spans of `text` replaced; null texts stay null. An
-    `n_chars` column, if there is one, follows the new text."""
+    """The same rows and columns, whatever these are named, with the spans of `text` replaced; null texts stay null,
+    repeated rows are masked each, and no rows give no rows. An `n_chars` column, if there is one, follows the new text."""
     names, at = docs.columns, docs.columns.index("text")
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = [None if t is None else masked(t) for t in batch.column(at).to_pylist()]
             cols = [pa.array(texts, batch.schema.field(i).type) if i == at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
 
-    out = docs.mapInArrow(mask, docs.schema)
+    out = by_position(docs, mask)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tinderbox.llm.common import slices
+from tinderbox.llm.common import by_position, slices
 from tinderbox.llm.ngrams import Sparse, mean_value
 from tinderbox.llm.training import Sample, labelled_sample, platt, sigmoid
 
@@ -159,4 +159,4 @@ def drop_low_quality(
             good = [judge(t, model, threshold)[6] for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return by_position(docs, keep)
