@@ -12,7 +12,7 @@ LABELS = "doc_id long, quality int"
 @pytest.fixture
 def docs(spark):
     long = " ".join(f"word{i}" for i in range(90))
-    rows = [(1, long, 1), (2, long, 2), (None, long, 3), (4, "mail me@example.org " + long[50:], 4)]
+    rows = [(1, long, 1), (2, long, 2), (None, long, 3), (4, "mail me@example.org " + " ".join(f"other{i}" for i in range(90)), 4)]
     return spark.createDataFrame([(*r, 5, 6, 7, 8) for r in rows], "doc_id long, text string, `a.b` int, _gone int, c0 int, component int, n_chars int")
 
 
