@@ -2,8 +2,9 @@
 
 The reader gives tasks byte ranges of the files. A task looks for gzip magic in its range; a candidate is a record
 if it decodes to a WARC head and a block of the stated length. The first one must also be followed by another record's
-head or the end of the file; if it is not, it may lie inside a record that is stored uncompressed, and the file is
-walked from its start to tell. From there on records follow each other. A task owns the records that start inside its
+head or the end of the file, whole members of other kinds between them aside; if it is not, it may lie inside a record
+that is stored uncompressed, and records are walked to it from one before it that is in no doubt, to tell. From there
+on records follow each other, read through one buffer. A task owns the records that start inside its
 range, wherever they end, and reports stretches after them that hold no record. Only several records in a row, stored
 uncompressed inside another one, could still pass for records of their own; what `write_warc` writes cannot hold
 them, as UTF-8 text never contains gzip magic.
@@ -29,7 +30,7 @@ from tinderbox.llm.common import materialize, slices
 
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 18
-HEAD_LIMIT = 1 << 16
+FIRST_PIECE = 1 << 12
 SPLIT_BYTES = 4 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMES = {n.lower(): n for n in (
@@ -95,8 +96,8 @@ def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) -> int
 
     Of pages with equal payloads of at least `min_revisit_bytes` bytes, the one with the smallest id is
     the response and the others revisit it; rows that share this id are all responses, and null ids
-    come after all others. Payloads count as equal by SHA-256, so the counts are pre-aggregated and a
-    payload that a third of all pages share is only a hot join key, which Spark splits.
+    come after all others. Payloads count as equal by SHA-256. Those that several pages share are written
+    as a table first, so that Spark can split the join where a third of all pages share one.
     """
     store, path = open_folder(folder)
     store.create_dir(path, recursive=True)
@@ -111,7 +112,7 @@ def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) -> int
         .drop("n")
     )
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    records = rows.join(shared, "same", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+    records = rows.join(materialize(shared, "shared-payloads"), "same", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
     written = materialize(records.mapInArrow(writer(folder), "file string, records long"), "warc-manifest")
     return written.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
 
@@ -131,37 +132,57 @@ def _head(data: bytes) -> dict[str, str]:
     return {name: "\n".join(values) for name, values in fields.items()}
 
 
-def opens_record(file, at: int, size: int) -> bool:
+class Buffered:
+    """A file read by position. The last two stretches fetched are kept, so going on, or a little back, fetches nothing twice."""
+
+    def __init__(self, file, size: int):
+        self.file, self.size, self.held = file, size, [(0, b""), (0, b"")]
+
+    def read(self, at: int, n: int) -> bytes:
+        """Up to `n` bytes from `at`, none at the end of the file only."""
+        for start, data in self.held:
+            if start <= at < start + len(data):
+                return data[at - start : at - start + n]
+        self.file.seek(at)
+        data = self.file.read(min(CHUNK, self.size - at))
+        self.held = [(at, data), self.held[0]]
+        return data[:n]
+
+    def pieces(self, at: int) -> Iterator[bytes]:
+        """The bytes from `at` on, in pieces that begin small: many records are."""
+        n = FIRST_PIECE
+        while at < self.size and (piece := self.read(at, n)):
+            yield piece
+            at += len(piece)
+            n = min(2 * n, CHUNK)
+
+
+def opens_record(file: Buffered, at: int) -> bool:
     """Whether a gzip member starts at `at` that decodes to the first word of a record."""
     decoder, data = zlib.decompressobj(31), b""
     try:
-        while len(data) < 5 and at < size and not decoder.eof:
-            file.seek(at)
-            chunk = file.read(min(HEAD_LIMIT, size - at))
-            at += len(chunk)
-            data += decoder.decompress(chunk, 5 - len(data))
+        for piece in file.pieces(at):
+            data += decoder.decompress(piece, 5 - len(data))
+            if len(data) == 5 or decoder.eof:
+                break
     except zlib.error:
         return False
     return data == b"WARC/"
 
 
-def member(file, at: int, size: int) -> tuple[int, dict[str, str], bytes] | None:
+def member(file: Buffered, at: int) -> tuple[int, dict[str, str], bytes] | None:
     """(end, headers, block) of the record that starts at `at`, or None if none does."""
     decoder, data, pos = zlib.decompressobj(31), bytearray(), at
     try:
-        while not decoder.eof:
-            file.seek(pos)
-            chunk = file.read(min(CHUNK, size - pos))
-            if not chunk:
-                return None
-            pos += len(chunk)
-            data += decoder.decompress(chunk)
-            if len(data) >= 5 and not data.startswith(b"WARC/"):
-                return None
+        for piece in file.pieces(at):
+            pos += len(piece)
+            data += decoder.decompress(piece)
+            if decoder.eof or (len(data) >= 5 and not data.startswith(b"WARC/")):
+                break
     except zlib.error:
         return None
     cut = data.find(b"\r\n\r\n")
-    if cut < 0 or not data.startswith(b"WARC/"):
+    if not decoder.eof or cut < 0 or not data.startswith(b"WARC/"):
         return None
     headers = _head(bytes(data[:cut]))
     block = bytes(data[cut + 4 :])
@@ -171,72 +192,95 @@ def member(file, at: int, size: int) -> tuple[int, dict[str, str], bytes] | None
     return pos - len(decoder.unused_data), headers, block[:-4]
 
 
-def _member_end(file, at: int, size: int) -> int | None:
+def _member_end(file: Buffered, at: int) -> int | None:
     """The end of the gzip member that starts at `at`, whatever it holds, or None if none does."""
     decoder = zlib.decompressobj(31)
     try:
-        while not decoder.eof:
-            file.seek(at)
-            chunk = file.read(min(CHUNK, size - at))
-            if not chunk:
-                return None
-            at += len(chunk)
-            decoder.decompress(chunk)
+        for piece in file.pieces(at):
+            at += len(piece)
+            decoder.decompress(piece)
+            if decoder.eof:
+                return at - len(decoder.unused_data)
     except zlib.error:
-        return None
-    return at - len(decoder.unused_data)
+        pass
+    return None
 
 
-def _next_magic(file, pos: int, limit: int) -> int:
+def _next_magic(file: Buffered, pos: int, limit: int) -> int:
     """The first gzip magic in [pos, limit), else `limit`."""
+    last = b""
     while pos < limit:
-        file.seek(pos)
-        window = file.read(min(CHUNK, limit - pos))
+        window = last + file.read(pos, limit - pos)
         hit = window.find(MAGIC)
         if hit >= 0:
-            return pos + hit
-        pos += max(1, len(window) - 2)
+            return pos - len(last) + hit
+        pos += len(window) - len(last)
+        last = window[1 - len(MAGIC) :]
     return limit
 
 
-def _in_sequence(file, pos: int, size: int) -> Iterator[tuple[int, tuple[int, dict[str, str], bytes] | int]]:
+def _in_sequence(file: Buffered, pos: int) -> Iterator[tuple[int, tuple[int, dict[str, str], bytes] | int]]:
     """(start, record) of all records from `pos` on, where a record starts or ended, and (start, end) of stretches without."""
-    while pos < size:
-        found = member(file, pos, size)
+    while pos < file.size:
+        found = member(file, pos)
         if found is not None:
             yield pos, found
             pos = found[0]
             continue
         at = pos
-        while at < size and found is None:
-            at = _member_end(file, at, size) or _next_magic(file, at + 1, size)
-            found = member(file, at, size) if at < size else None
+        while at < file.size and found is None:
+            at = _member_end(file, at) or _next_magic(file, at + 1, file.size)
+            found = member(file, at) if at < file.size else None
         yield pos, at
         pos = at
 
 
-def _first_start(file, start: int, end: int, size: int) -> int:
-    """Where a sequence that covers the records starting in [start, end) begins."""
-    pos = start
-    while pos < end:
-        at = _next_magic(file, pos, min(end + 2, size))
-        if at >= end:
-            return size
-        found = member(file, at, size)
+def _followed(file: Buffered, at: int) -> bool:
+    """Whether a record or the end of the file comes at `at`, or after whole gzip members that hold no record."""
+    while at < file.size:
+        if opens_record(file, at):
+            return True
+        end = _member_end(file, at)
+        if end is None:
+            return False
+        at = end
+    return True
+
+
+def _candidates(file: Buffered, pos: int, end: int) -> Iterator[tuple[int, bool]]:
+    """Starts of sound records in [pos, end) that lie in no other one of them, and whether each is followed as records are."""
+    while pos < end and (at := _next_magic(file, pos, min(end + 2, file.size))) < end:
+        found = member(file, at)
         if found is None:
             pos = at + 1
-        elif found[0] == size or opens_record(file, found[0], size):
-            return at
         else:
-            return next((s for s, _ in _in_sequence(file, 0, size) if s >= start), size)
-    return size
+            yield at, _followed(file, found[0])
+            pos = found[0]
+
+
+def _first_start(file: Buffered, start: int, end: int) -> int:
+    """Where a sequence that covers the records starting in [start, end) begins.
+
+    If what follows the first candidate leaves in doubt whether it is a record of its own, records are walked
+    to it from the nearest place before it that is in no doubt, looked for in stretches that double.
+    """
+    at, sure = next(_candidates(file, start, end), (file.size, True))
+    if sure:
+        return at
+    back = CHUNK
+    while True:
+        low = max(0, start - back)
+        origin = next((s for s, proven in _candidates(file, low, start) if proven), None) if low else 0
+        if origin is not None:
+            return next((s for s, _ in _in_sequence(file, origin) if s >= start), file.size)
+        back *= 2
 
 
 def records_between(file, start: int, end: int, size: int) -> Iterator[tuple[int, dict[str, str] | None, bytes]]:
     """(start, headers, block) of the records that start in [start, end); and (start, None, message) of each stretch
     without a record that follows one of them, or the start of the file."""
-    reports = start == 0
-    for at, found in _in_sequence(file, _first_start(file, start, end, size) if start else 0, size):
+    reports, file = start == 0, Buffered(file, size)
+    for at, found in _in_sequence(file, _first_start(file, start, end) if start else 0):
         if isinstance(found, int):
             if reports:
                 yield at, None, f"no record in bytes {at} to {found}".encode()
