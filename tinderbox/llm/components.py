@@ -11,10 +11,11 @@ from tinderbox.llm.common import materialize
 def _stars(links: DataFrame, large: bool) -> DataFrame:
     """Hang neighbours on the smallest one: those above a node (large star), or those up to it (small star).
 
-    Minima are aggregated before the join, so a hub is only a hot join key.
+    Minima are written as a table before the join: Spark splits a hub's rows only if no aggregate is in the way.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else links
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = materialize(least, "least")
     met = both.join(least, "a")
     if large:
         out = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -184,6 +184,7 @@ def _meetings(stars: DataFrame, sets: DataFrame) -> DataFrame:
     spans = sizes.groupBy("first").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
     blocks = lambda n: F.ceil(n / GROUP_BLOCK).cast("int")
     spans = spans.select("first", F.col("top.component").alias("top"), blocks(F.col("top.n")).alias("inner"), blocks(F.col("n") - F.col("top.n")).alias("rest"))
+    spans = materialize(spans, "spans")
     inside, h = F.col("component") == F.col("top"), F.xxhash64("node")
     block = F.when(inside, F.col("rest") + F.pmod(h, F.col("inner"))).otherwise(F.pmod(h, F.col("rest"))).cast("int")
     others = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("inner"))
@@ -210,7 +211,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         "sketches",
     )
     full = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("high", "low").agg(F.min("doc_id").alias("node"))
+    # Aggregates are written before rows are joined with them: Spark splits a hot key only if none is in the way.
+    classes = materialize(full.groupBy("high", "low").agg(F.min("doc_id").alias("node")), "least-ids")
     members = materialize(
         full.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low"]).select("doc_id", "node").distinct(), "classes"
     )
@@ -219,7 +221,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         .select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("bucket"))
     )
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").drop("last")
-    crowded = materialize(buckets.join(shared, "bucket"), "buckets")
+    crowded = materialize(buckets.join(materialize(shared, "shared-buckets"), "bucket"), "buckets")
 
     def compatible(a: str, b: str):
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -237,21 +239,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         true_link = 100 * common >= percent * (F.size("sa") + F.size("sb") - common)
         return pairs.join(a, "a").join(b, "b").where(true_link).select("a", "b")
 
-    sizes = crowded.select(F.col("node").alias("first"), F.col("n_shingles").alias("first_size")).distinct()
+    sizes = materialize(crowded.select(F.col("node").alias("first"), F.col("n_shingles").alias("first_size")).distinct(), "sizes")
+    rays = materialize(crowded.where("node <> first").select("first", "node", "n_shingles").distinct(), "rays")
     pairs = (
-        crowded.where("node <> first")
-        .select("first", "node", "n_shingles").distinct()
-        .join(sizes, "first")
+        rays.join(sizes, "first")
         .where(compatible("n_shingles", "first_size"))
         .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     )
     split_ids = members.groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("doc_id")
     same_id = members.join(split_ids, "doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     found = components(confirmed(pairs).unionByName(same_id))
-    labelled = materialize(
-        crowded.select("first", "node").distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled"
+    stars = materialize(
+        crowded.select("first", "node").distinct().join(found, "node", "left")
+        .select("first", "node", F.coalesce("component", "node").alias("component")).distinct(),
+        "stars",
     )
-    stars = labelled.select("first", "node", "component").distinct()
     meeting = _meetings(stars, sets)
     meeting = meeting.repartition("first", "i", "j").sortWithinPartitions("first", "i", "j")
     late = materialize(meeting.mapInArrow(_comparer(percent), "a long, b long"), "late-links")
@@ -260,6 +262,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     by_doc = members.join(final, "node", "left").select(
         F.col("doc_id").alias("id"), F.coalesce("component", "node").alias("component")
     ).groupBy("id").agg(F.min("component").alias("component"))
+    by_doc = materialize(by_doc, "by-document")
     out = sketches.select("doc_id", "n_shingles").join(by_doc, F.col("doc_id") == F.col("id"), "left")
     component = F.coalesce("component", "doc_id").cast(kind)
     return out.select(
