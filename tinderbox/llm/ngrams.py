@@ -2,8 +2,8 @@
 
 Characters are code points, words are those of `common.WORD`; case counts, since shouting is a
 feature. A word pair whose halves are equal is hashed as "a repeated word", whatever the word.
-Texts beyond `BLOCK` characters are cut at white space, so memory stays bounded; n-grams across
-such a cut are left out, in training and scoring alike.
+Texts are read in blocks of `BLOCK` characters, so memory stays bounded; n-grams across the
+end of a block are carried over, so the cuts change nothing.
 """
 
 from __future__ import annotations
@@ -18,17 +18,6 @@ CHAR_SIZES = (3, 4)
 REPEATED = 0x51ED270B
 
 
-def blocks(text: str) -> Iterator[str]:
-    at = 0
-    while len(text) - at > BLOCK:
-        cut = text.find(" ", at + BLOCK)
-        if cut < 0:
-            break
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
-
 def _buckets(h: np.ndarray, bits: int) -> np.ndarray:
     h = h ^ (h >> np.uint32(15))
     h *= np.uint32(0x2C1B3C6D)
@@ -37,24 +26,41 @@ def _buckets(h: np.ndarray, bits: int) -> np.ndarray:
     return h >> np.uint32(32 - bits)
 
 
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    pair = (left * np.uint32(0x1B873593)) ^ (right * np.uint32(0xE6546B64) + right)
+    pair[left == right] = REPEATED
+    return pair
+
+
 def grams(text: str, bits: int) -> Iterator[np.ndarray]:
     """Bucket numbers below 2**bits, in arrays; an empty text gives none."""
-    for part in blocks(text):
-        chars = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+    held, before = None, np.empty(0, np.uint32)  # hash of a word cut by the block's end, and of the word before
+    for at in range(0, len(text), BLOCK):
+        part = text[at : at + BLOCK]
+        tail = text[max(0, at - max(CHAR_SIZES) + 1) : at]
+        chars = np.frombuffer((tail + part).encode("utf-32-le", "surrogatepass"), np.uint32)
         h = chars * np.uint32(0x9E3779B1)
         for n in range(2, max(CHAR_SIZES) + 1):
             if len(chars) < n:
                 break
             h = (h[:-1] ^ (h[:-1] >> np.uint32(13))) * np.uint32(0x85EBCA6B) + chars[n - 1 :]
             if n in CHAR_SIZES:
-                yield _buckets(h + np.uint32(n), bits)
-        words = part.encode("utf-8", "surrogatepass").split()
-        if words:
-            w = np.fromiter(map(crc32, words), np.uint32, len(words))
+                yield _buckets(h[max(0, len(tail) - n + 1) :] + np.uint32(n), bits)
+        raw = part.encode("utf-8", "surrogatepass")
+        words = raw.split()
+        hashes = list(map(crc32, words))
+        if held is not None:
+            if raw[:1].isspace():
+                hashes.insert(0, held)
+            else:
+                hashes[0] = crc32(words[0], held)
+        held = hashes.pop() if at + BLOCK < len(text) and not raw[-1:].isspace() else None
+        if hashes:
+            w = np.array(hashes, np.uint32)
             yield _buckets(w * np.uint32(0xCC9E2D51) + np.uint32(101), bits)
-            pair = (w[:-1] * np.uint32(0x1B873593)) ^ (w[1:] * np.uint32(0xE6546B64) + w[1:])
-            pair[w[:-1] == w[1:]] = REPEATED
-            yield _buckets(pair + np.uint32(202), bits)
+            run = np.concatenate([before, w])
+            yield _buckets(_pair(run[:-1], run[1:]) + np.uint32(202), bits)
+            before = w[-1:]
 
 
 def mean_value(text: str, values: np.ndarray, bits: int) -> float:
