@@ -30,7 +30,7 @@ TRIGGER = 24
 BLOCK = 1 << 22
 PLACE_BITS = 24
 # Dictionary bytes that one suffix array holds, and phrases of one trigger beyond which their strings
-# are compared by hash in a shuffle of their own instead.
+# are compared by 128-bit hash in a shuffle of their own instead.
 ARRAY_BYTES = 2 << 20
 HOT_PHRASES = 4096
 NO_ID = (1 << 63) - 1
@@ -191,14 +191,15 @@ def _sorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(string hash, doc, start) of every string of the phrases of hot triggers."""
+    """(128-bit hash of the string, doc, start) of every string of the phrases of hot triggers."""
     for batch in slices(batches, 1 << 20):
         rows = []
         for _, doc, start, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for k in range(len(data) - LENGTH + 1):
-                rows.append((xxhash.xxh3_64_intdigest(data[k : k + LENGTH]) - (1 << 63), doc, start + k))
+                rows.append((xxhash.xxh3_128_digest(data[k : k + LENGTH]), doc, start + k))
         cols = list(zip(*rows, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["string", "doc", "start"])
+        kinds = [pa.binary(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["string", "doc", "start"])
 
 
 def removed_ranges(text: bytes, repeats: list[int], ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -282,7 +283,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     )
     calm = dictionary.join(hot, "trigger", "left_anti").repartition("trigger").sortWithinPartitions("trigger")
     ranges = calm.mapInArrow(_sorter, "doc long, start long, end long")
-    strings = dictionary.join(hot, "trigger", "left_semi").mapInArrow(_strings, "string long, doc long, start long")
+    strings = dictionary.join(hot, "trigger", "left_semi").mapInArrow(_strings, "string binary, doc long, start long")
     least = strings.groupBy("string").agg(F.min(F.struct("doc", "start")).alias("least"))
     late = strings.join(least, "string").where(F.struct("doc", "start") > F.col("least"))
     ranges = ranges.unionByName(late.select("doc", "start", (F.col("start") + 1).alias("end")))
