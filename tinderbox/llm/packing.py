@@ -2,8 +2,9 @@
 
 Documents become token ids plus an end id; longer ones are cut into pieces of the sequence length.
 Pieces are dealt into groups of bounded size, and each group is packed by itself: best fit gives a
-first solution, then bins are completed around the largest piece left with undominated fillings,
-branches that waste more than a better solution may waste are cut, and the best solution stays.
+first solution, then bins are completed around the largest piece left with undominated fillings, least
+waste first; branches that waste more than a better solution may waste are cut, those that leave the first
+choice least often are searched first, and the best solution stays.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,9 @@ CAPACITY = 4096
 END_ID = 1
 # Pieces packed together: each group leaves at most about one sequence unfilled.
 GROUP_PIECES = 4000
-# Effort of the search in a group; when it is spent, the best solution found so far stands.
-MAX_NODES = 4000
-BRANCHES = 4
+# Effort of the search in a group: fillings looked at for each bin of the first solution. When it is
+# spent, the best solution found so far stands.
+EFFORT = 4
 # Texts whose distinct words are encoded together.
 TEXT_BYTES = 16 << 20
 ENCODED_AT_ONCE = 20_000
@@ -162,50 +163,91 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(sizes: list[int], counts: dict[int, int], space: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of a space from the sizes left (ascending), least waste first.
+def fillings(sizes: list[int], counts: dict[int, int], space: int, most: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    """All fillings of a space from the sizes left (ascending) that waste up to `most`, with their waste: least waste
+    first, and of equal waste the one whose smallest piece is largest.
 
-    Fillings of up to three pieces are listed, from large to small, and closed with the largest that
-    fit; one is dominated, and left out, if another of no more pieces uses at least as much room with
-    one piece in place of several, which leaves the smaller pieces for later.
+    Bit t of `sums[k]` says whether some of the first k pieces, from large to small, add up to t; so only
+    choices that lead to a filling are followed, and sums are formed as far as they are asked for.
     """
-    found: dict[tuple[int, ...], int] = {}
-
-    def close(chosen: list[int], room: int) -> None:
-        taken = {s: chosen.count(s) for s in chosen}
-        while room and (at := bisect_left(sizes, room + 1)):
-            while at and counts[sizes[at - 1]] <= taken.get(sizes[at - 1], 0):
-                at -= 1
-            if not at:
-                break
-            s = sizes[at - 1]
-            taken[s] = taken.get(s, 0) + 1
+    pieces = [s for s in reversed(sizes) if s <= space for _ in range(min(counts[s], space // s))]
+    sums, mask = [1], (2 << space) - 1
+
+    def smallest(limit: int, target: int) -> Iterator[int]:
+        """Places up to `limit` whose piece can be the smallest of pieces that add up to the target."""
+        k = max(1, bisect_left(sums, 1, 0, min(limit + 1, len(sums)), key=lambda bits: bits >> target & 1))
+        while k <= limit:
+            if k == len(sums):
+                sums.append(sums[-1] | sums[-1] << pieces[k - 1] & mask)
+            if pieces[k - 1] <= target and sums[k - 1] >> (target - pieces[k - 1]) & 1:
+                yield k
+            k += 1
+
+    for waste in range(min(most, space) + 1):
+        target = space - waste
+        if not target:
+            yield (), waste
+            return
+        if waste and not sums[-1] >> target & 1:
+            continue
+        open_places, chosen = [smallest(len(pieces), target)], []
+        while open_places:
+            k = next(open_places[-1], None)
+            if k is None:
+                open_places.pop()
+                target += chosen.pop() if chosen else 0
+                continue
+            s = pieces[k - 1]
+            target -= s
+            if k > 1 and pieces[k - 2] == s:  # of equal pieces, the first ones are taken
+                ahead = [k - 1] if target >= s and sums[k - 2] >> (target - s) & 1 else []
+                open_places.append(iter(ahead))
+            elif target:
+                open_places.append(smallest(k - 1, target))
+            else:
+                yield (*chosen, s), waste
+                target += s
+                continue
             chosen.append(s)
-            room -= s
-        found[tuple(sorted(chosen, reverse=True))] = room
-
-    close([], space)
-    top = bisect_left(sizes, space + 1)
-    for s in sizes[max(0, top - 2 * BRANCHES) : top][::-1]:
-        if counts[s] > 0:
-            close([s], space - s)
-        rest = bisect_left(sizes, space - s + 1)
-        for t in sizes[max(0, rest - BRANCHES) : rest][::-1]:
-            if t <= s and counts[t] > (t == s) and counts[s] > 0:
-                close([s, t], space - s - t)
-    ordered = sorted(found.items(), key=lambda f: (f[1], len(f[0]), [-x for x in f[0]]))
-    kept: list[tuple[tuple[int, ...], int]] = []
-    for filling, waste in ordered:
-        if not any(w <= waste and len(k) == 1 and k[0] >= sum(filling) and len(filling) > 1 for k, w in kept):
-            kept.append((filling, waste))
-    return [k for k, _ in kept[:BRANCHES]]
-
-
-def complete(lengths: list[int], capacity: int, max_nodes: int = MAX_NODES) -> list[list[int]]:
-    """Pack by bin completion, with best fit as the first incumbent."""
+
+
+def dominated(filling: tuple[int, ...], waste: int, left: int) -> bool:
+    """Whether a piece that is left (bit s of `left`: a piece of size s is) could take the place of a part of the
+    filling: of nothing, of a smaller piece, or of several pieces no larger together. Such a filling leaves
+    smaller pieces for later, so it need not be tried. Of more than eight pieces, parts of up to two are tested."""
+    window = (2 << waste) - 1
+    if left >> 1 & (window >> 1) or any(left >> (s + 1) & (window >> 1) for s in set(filling)):
+        return True
+    top = len(filling) if len(filling) <= 8 else 2
+    return any(left >> sum(part) & window for n in range(2, top + 1) for part in set(combinations(filling, n)))
+
+
+def least_bins(lengths: list[int], capacity: int) -> int:
+    """A lower bound: whole room, and pieces of over half a bin, which share with none of their kind nor with
+    pieces too large for what they leave."""
+    bound = -(-sum(lengths) // capacity)
+    ordered = sorted(lengths)
+    upto = np.concatenate([[0], np.cumsum(ordered, dtype=np.int64)])
+    half = bisect_left(ordered, capacity // 2 + 1)
+    for small in sorted({s for s in ordered if 2 * s <= capacity} | {0}):
+        alone = bisect_left(ordered, capacity - small + 1)  # pieces from here on leave less than `small`
+        low = bisect_left(ordered, small)
+        over = max(alone, half)
+        rest = int(upto[half] - upto[low])
+        room = (over - half) * capacity - int(upto[over] - upto[half])
+        bound = max(bound, len(ordered) - half + max(0, -(-(rest - room) // capacity)))
+    return bound
+
+
+def complete(lengths: list[int], capacity: int, max_nodes: int | None = None) -> list[list[int]]:
+    """Pack by bin completion, with best fit as the first incumbent, looking at up to `max_nodes` fillings
+    (EFFORT for each bin of best fit, if not given).
+
+    The search runs in waves: in wave d, a solution departs from the fillings tried first d times in
+    all, so what was chosen for early bins is tried otherwise as well as what was chosen for late ones.
+    """
     best = best_fit(lengths, capacity)
-    total = sum(lengths)
-    least = max(-(-total // capacity), sum(2 * s > capacity for s in lengths))
+    least = least_bins(lengths, capacity)
     if len(best) <= least:
         return best
     places: dict[int, list[int]] = {}
@@ -213,55 +255,68 @@ def complete(lengths: list[int], capacity: int, max_nodes: int = MAX_NODES) -> l
         places.setdefault(s, []).append(i)
     counts = {s: len(p) for s, p in places.items()}
     sizes = sorted(counts)
+    left = sum(1 << s for s in sizes)
+    total, bound, nodes, wave = sum(lengths), len(best), 0, 0
+    budget = EFFORT * len(best) if max_nodes is None else max_nodes
     solution: list[tuple[int, ...]] | None = None
-    bound = len(best)
-    stack: list[list] = []  # [bin's largest, fillings left, filling in use]
-    wasted = nodes = 0
 
-    def take(filling, sign: int) -> None:
-        for s in filling:
+    def take(pieces: tuple[int, ...], sign: int) -> None:
+        nonlocal left
+        for s in pieces:
             counts[s] -= sign
-
-    def largest() -> int:
-        return next((s for s in reversed(sizes) if counts[s] > 0), 0)
-
-    def open_bin() -> bool:
-        """Start the next bin; False when nothing is left."""
-        first = largest()
-        if not first:
-            return False
-        counts[first] -= 1
-        stack.append([first, iter(fillings(sizes, counts, capacity - first)), None])
-        return True
-
-    open_bin()
-    while stack and nodes < max_nodes and bound > least:
-        frame = stack[-1]
-        if frame[2] is not None:
-            take(frame[2], -1)
-            wasted -= capacity - frame[0] - sum(frame[2])
-            frame[2] = None
-        filling = next(frame[1], None)
-        if filling is None:
-            counts[frame[0]] += 1
-            stack.pop()
-            continue
-        nodes += 1
-        waste = capacity - frame[0] - sum(filling)
-        if wasted + waste > (bound - 1) * capacity - total:
-            continue
-        frame[2] = filling
-        take(filling, 1)
-        wasted += waste
-        if not open_bin():
-            bound = len(stack)
-            solution = [(f[0], *f[2]) for f in stack]
-    if solution is None or len(solution) >= len(best):
+            left = left | 1 << s if counts[s] else left & ~(1 << s)
+
+    more = True
+    while more and nodes < budget and bound > least:
+        more, wasted, departed = False, 0, 0
+        stack: list[list] = []  # [bin's largest, fillings looked at, undominated ones among them, filling in use, its waste]
+        down = True
+        while down or stack:
+            if down and left:
+                first = left.bit_length() - 1
+                take((first,), 1)
+                stack.append([first, 0, 0, None, 0])
+            elif down:
+                bound, solution = len(stack), [(f[0], *f[3]) for f in stack]
+            frame = stack[-1]
+            if frame[3] is not None:
+                take(frame[3], -1)
+                wasted -= frame[4]
+                departed -= frame[2] - 1
+                frame[3] = None
+            down = False
+            most = (bound - 1) * capacity - total - wasted
+            if bound <= least or nodes >= budget:
+                break
+            if departed + frame[2] > wave:
+                more = True
+            elif most >= 0:
+                ways = fillings([s for s in sizes if counts[s]], counts, capacity - frame[0], most)
+                for filling, waste in islice(ways, frame[1], None):
+                    frame[1] += 1
+                    nodes += 1
+                    take(filling, 1)
+                    if not dominated(filling, waste, left):
+                        departed += frame[2]
+                        frame[2:] = [frame[2] + 1, filling, waste]
+                        wasted += waste
+                        down = True
+                        break
+                    take(filling, -1)
+                    if nodes >= budget:
+                        break
+            if not down:
+                take((frame[0],), -1)
+                stack.pop()
+        for frame in stack:  # the wave was ended: everything is left again
+            take((frame[0], *(frame[3] or ())), -1)
+        wave += 1
+    if solution is None:
         return best
     return [[places[s].pop() for s in one] for one in solution]
 
 
-def packer(capacity: int, max_nodes: int) -> Callable:
+def packer(capacity: int, max_nodes: int | None) -> Callable:
     def pack(group: pa.Table) -> pa.Table:
         # Arrow, as pandas would turn whole ids beside a null into floats.
         group = group.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32")])
@@ -279,7 +334,7 @@ def packer(capacity: int, max_nodes: int) -> Callable:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, max_nodes: int = MAX_NODES
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, max_nodes: int | None = None
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset.
 
