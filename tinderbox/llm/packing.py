@@ -34,6 +34,9 @@ EFFORT = 4
 # Texts whose distinct words are encoded together.
 TEXT_BYTES = 16 << 20
 ENCODED_AT_ONCE = 20_000
+# Latin parts that are encoded as one string; what stands between them is a token no letters give.
+JOINED = 64
+BETWEEN = " 0"
 
 
 def ragged(flat: np.ndarray, ends: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -82,20 +85,38 @@ class WordIds:
         # For Latin letters in lower case, normalizing changes nothing and there is nothing to split.
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = normalizers.Sequence([])
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.between = self.letters.encode(BETWEEN, add_special_tokens=False).ids
+
+    def latin_ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts of Latin letters, one after the other, and how many each has."""
+        if len(self.between) != 1:
+            return self.other_ids(parts, self.letters)
+        edges = pa.array([*range(0, len(parts), JOINED), len(parts)], pa.int32())
+        lines = [line + BETWEEN for line in pc.binary_join(pa.ListArray.from_arrays(edges, parts), BETWEEN + " ").to_pylist()]
+        step, ids = ENCODED_AT_ONCE // JOINED, [np.empty(0, np.uint32)]
+        for at in range(0, len(lines), step):
+            ids += [np.array(e.ids, np.uint32) for e in self.letters.encode_batch_fast(lines[at : at + step], add_special_tokens=False)]
+        flat = np.concatenate(ids)
+        ends = np.flatnonzero(flat == self.between[0])
+        return np.delete(flat, ends), np.diff(ends, prepend=-1) - 1
+
+    def other_ids(self, parts: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        texts, ids, lengths = as_text(parts), [np.empty(0, np.uint32)], []
+        for at in range(0, len(texts), ENCODED_AT_ONCE):
+            found = [e.ids for e in tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+            lengths += map(len, found)
+        return np.concatenate(ids), np.array(lengths, np.int64)
 
     def part_ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all parts, where those of each part end, and how many these are."""
         latin = pc.match_substring_regex(parts, LATIN)
         order = np.argsort(pc.invert(latin).to_numpy(zero_copy_only=False), kind="stable")  # Latin parts first
-        ids, lengths = [np.empty(0, np.uint32)], []
-        for kind, tokenizer in ((latin, self.letters), (pc.invert(latin), self.whole)):
-            texts = as_text(parts.filter(kind))
-            for at in range(0, len(texts), ENCODED_AT_ONCE):
-                found = [e.ids for e in tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)]
-                ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
-                lengths += map(len, found)
-        found_lengths = np.array(lengths, np.int64)
+        ids, lengths = zip(self.latin_ids(parts.filter(latin)), self.other_ids(parts.filter(pc.invert(latin)), self.whole), strict=True)
+        found_lengths = np.concatenate(lengths)
         ends, by_part = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
         ends[order], by_part[order] = np.cumsum(found_lengths), found_lengths
         return np.concatenate(ids), ends, by_part
