@@ -39,8 +39,8 @@ def ev(spark: SparkSession, d: str) -> DataFrame:
     return fx.view(spark, d, fx.EV)
 
 
-def bronze(spark: SparkSession, d: str) -> DataFrame:
-    return fx.view(spark, d, fx.BRONZE_EVENTS)
+def bronze(spark: SparkSession, d: str, spread: bool = False) -> DataFrame:
+    return fx.view(spark, d, fx.BRONZE_EVENTS, spread)
 
 
 def dicts(spark: SparkSession, d: str) -> Dictionaries:

@@ -171,15 +171,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, sql: str, spread: bool = False) -> DataFrame:
     """Run a view's text over the Parquet tables it names.
 
-    Events are few and slim before they are widened, so a one-file table is spread first.
+    `spread` deals events over all tasks while they are slim: a table of few files or row groups is else widened by
+    as few tasks.
     """
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql}
     if "events" in used:
         slim = used["events"].select("event_id", "ts", "user_id", "event_type", "value")
-        used["events"] = slim
+        used["events"] = slim.hint("rebalance", "event_id") if spread else slim
     return spark.sql(sql, **used)
 
 

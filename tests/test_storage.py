@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from registry import base, fixtures as fx
 from registry.external import digest_completer, label_completer
-from registry.storage import feed_lines
+from registry.storage import day_lines, feed_lines, zip_days
 from tinderbox.functions.text import url_hash
 from tinderbox.operators import embedding, external
 from tinderbox.plans import daily, gold, silver
 from tinderbox.schemas import feed
+from tinderbox.session import scoped
 from tinderbox.sinks import storage, writers
 from tinderbox.sources import archives, catalog, delimited, dictionaries, tables
 from tinderbox.streaming import ingest
@@ -422,3 +423,34 @@ def test_bronze_variants(spark, sf):
     assert dated["ev_date"].dataType.typeName() == "date" and len(dated) == 58
     listed = silver.listed_counts(fx.view(spark, sf, fx.BRONZE_COUNTS)).first()
     assert isinstance(listed.event_ids, list) and isinstance(listed.pub_date, date)
+
+
+ALL_PARTS = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def parts(df):
+    return df.select(F.spark_partition_id()).distinct().count()
+
+
+def test_events_of_one_file_are_widened_and_parsed_by_many_tasks(spark, tmp_path):
+    spark.range(400).selectExpr(
+        "id AS event_id", "timestamp '2024-01-01' + make_interval(0, 0, 0, int(id % 2)) AS ts", "id % 7 AS user_id",
+        "'view' AS event_type", "1.5D AS value",
+    ).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'PERU' AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    plain, rows = (base.bronze(spark, str(tmp_path), spread) for spread in (False, True))
+    assert {r.asDict()["ev_id"]: r for r in rows.collect()} == {r.asDict()["ev_id"]: r for r in plain.collect()}
+    lines = day_lines(rows).where("day >= 20240102")
+    assert lines.count() == 200
+    assert {r.value for r in lines.collect()} == {r.value for r in feed_lines(rows.where("date_added = 20240102")).collect()}
+    # The condition needs one cell, not the line.
+    assert "split(" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    (tmp_path / "feed").mkdir()
+    with scoped(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "60"}):  # a day's lines go through several batches
+        sent = {r.day: r.filename for r in zip_days(day_lines(rows), str(tmp_path / "feed")).collect()}
+    assert sent == {d: f"{d}.export.CSV.zip" for d in (20240101, 20240102)}
+    read = archives.archive_lines(spark, str(tmp_path / "feed"), EVENTS).where("day = '20240102'")
+    assert sorted(r.value.decode() for r in read.where("value IS NOT NULL").collect()) == sorted(r.value for r in lines.collect())
+    with scoped(spark, ALL_PARTS):
+        assert parts(lines) > 1
+        assert parts(archives.typed_rows(read, EVENTS)) > 1

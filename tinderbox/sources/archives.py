@@ -222,11 +222,14 @@ def archive_lines(spark: SparkSession, folder: str, spec: FeedSpec, md5: dict[st
 
 
 def typed_rows(lines: DataFrame, spec: FeedSpec) -> DataFrame:
-    """The feed's columns, and filename, line, value_read (false for the row that ends an archive) and error."""
+    """The feed's columns, and filename, line, value_read (false for the row that ends an archive) and error.
+
+    An archive is inflated by one task; its lines are dealt over all tasks before they are parsed, which costs more.
+    """
     named = lines.select(
         "filename", "line", F.col("value").isNotNull().alias("value_read"), "error", F.col("value").cast("string").alias("value")
     )
-    return parse_lines(named, spec.schema)
+    return parse_lines(named.hint("rebalance", "filename", "line"), spec.schema)
 
 
 def unpack(archives: DataFrame, header: bool) -> DataFrame:
