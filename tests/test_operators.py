@@ -266,6 +266,25 @@ def test_completions_fail_softly(spark):
     assert got["ok"] == ("ok!", None) and got["bad"] == (None, "API failure: RuntimeError('quota')")
 
 
+def test_completions_hold_few_prompts(spark):
+    df = spark.range(2000).coalesce(1).selectExpr("rpad(cast(id AS string), 10000, 'x') AS p", "id")
+
+    def completer(prompt, slot):
+        import tracemalloc
+
+        if not tracemalloc.is_tracing():
+            tracemalloc.start()
+        held = tracemalloc.get_traced_memory()[0]
+        if prompt.startswith("1999x"):
+            tracemalloc.stop()
+        return f"{held} {prompt}"
+
+    done = external.complete(df, "p", "a", completer).select("id", "error_msg", F.split("a", " ").alias("a"), "p")
+    got = done.selectExpr("id", "error_msg", "cast(a[0] AS bigint) AS held", "a[1] = p AS same").collect()
+    assert sorted(r.id for r in got) == list(range(2000)) and all(r.same and r.error_msg is None for r in got)
+    assert max(r.held for r in got) < 4e6  # all prompts are 20 MB, and so are all answers
+
+
 def test_embeddings(spark):
     df = spark.createDataFrame([("a b",), ("a b",), ("c d e",), ("x",)], "t string")
     vectors = embedding.embed(df, "t", "v", embedding.hashed_words(16))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ Fetcher = Callable[[str], tuple[int, str | None, str | None]]
 # (prompt, slot) -> answer; the slot picks a quota, such as one API key per partition
 Completer = Callable[[str, int], str]
 
+PROMPTS_HELD = 64
+
 
 def offline(url: str) -> tuple[int, str | None, str | None]:
     """Fetcher for places without a network."""
@@ -118,7 +121,8 @@ def complete(
 ) -> DataFrame:
     """Add the completion of each prompt and the error of a failed call.
 
-    `slots` fixes the number of partitions, so that each owns one quota.
+    `slots` fixes the number of partitions, so that each owns one quota. Of a batch, only `PROMPTS_HELD` prompts and
+    their answers are Python objects at a time; the rows themselves pass through as Arrow slices.
     """
     spread = df if slots is None else df.repartition(slots)
 
@@ -128,14 +132,17 @@ def complete(
         except Exception as err:  # a failed call is a result, not a failed task
             return None, f"API failure: {err!r}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         slot = context.partitionId() if context else 0
-        for pdf in batches:
-            pairs = [ask(text, slot) for text in pdf[prompt]]
-            yield pdf.assign(**{answer: [p[0] for p in pairs], "error_msg": [p[1] for p in pairs]})
-
-    return spread.mapInPandas(run, f"{ddl(spread.schema)}, `{answer}` string, error_msg string")
+        for batch in batches:
+            for at in range(0, batch.num_rows, PROMPTS_HELD):
+                rows = batch.slice(at, PROMPTS_HELD)
+                pairs = [ask(text, slot) for text in rows.column(prompt).to_pylist()]
+                added = [pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *added], names=[*rows.schema.names, answer, "error_msg"])
+
+    return spread.mapInArrow(run, f"{ddl(spread.schema)}, `{answer}` string, error_msg string")
 
 
 def summarize(
